@@ -12,8 +12,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bins import Axis, Edges, inside
-from ..functions.predicates import Operand, col
+from ..functions import bits
+from ..functions.bins import Axis, inside, overlapping_bins
+from ..functions.predicates import Operand, col, select_rows
 
 AXES = ("ix", "iy", "iz", "iv")
 
@@ -303,3 +304,84 @@ def simulated_yield(
         selected = selected.where(c)
     h, s = fill(selected, axes), scale.scalar()
     return h.withColumn("content", F.col("content") * s).withColumn("sumw2", F.col("sumw2") * s * s)
+
+
+def spectra_in_bins(
+    df: DataFrame,
+    axis: tuple[Operand, Axis],
+    by: Sequence[str],
+    second: str,
+    lows: Sequence[float],
+    highs: Sequence[float],
+    weight: Operand | None = None,
+) -> DataFrame:
+    """Histogram per group and per (overlapping, closed) second bin.
+
+    Rows are first aggregated on the set of second bins they belong to, and only
+    these partial sums are spread over the bins.  Overlap therefore multiplies a
+    few bins instead of every row.
+    """
+    tagged = df.withColumn("__bins", overlapping_bins(second, lows, highs))
+    h = fill(tagged, [axis], [*by, "__bins"], weight)
+    spread = h.withColumn("ibin2", F.explode("__bins")).drop("__bins")
+    return project(spread, [*by, "ibin2", "ix"])
+
+
+def inverse_weight(w: Operand) -> Column:
+    """1/w, a zero weight counting as 1."""
+    w = col(w).cast("double")
+    return F.lit(1.0) / F.when(w == 0, 1.0).otherwise(w)
+
+
+# fixed bit numbers of the event-rejection map
+NOT_VERTEX_RELATED = [0, 5, 6, 10, 11]
+VERTEX_MISSING = [1, 2, 7, 12]
+VERTEX_OUTSIDE = 3
+
+
+def norm_parts(events: DataFrame, bitmap: str, selected: Column, by: Sequence[str]) -> DataFrame:
+    """Selected, vertex-less and outside-vertex event counts in one aggregation."""
+    kept = bits.has_bits(bitmap, off=NOT_VERTEX_RELATED)
+    has_vertex = bits.has_bits(bitmap, off=VERTEX_MISSING)
+    return events.groupBy(*by).agg(
+        F.count_if(selected).alias("n_sel"),
+        F.count_if(kept & ~has_vertex).alias("n_no_vertex"),
+        F.count_if(kept & bits.has_bits(bitmap, [VERTEX_OUTSIDE], VERTEX_MISSING)).alias("n_vertex_out"),
+    )
+
+
+def range_counts(df: DataFrame, reco: Column, gen: Column, by: Sequence[str]) -> DataFrame:
+    """Rows inside the reconstructed range, the generated range, and both."""
+    return df.groupBy(*by).agg(
+        F.count_if(reco).alias("n_reco"), F.count_if(gen).alias("n_gen"), F.count_if(reco & gen).alias("n_both"))
+
+
+def with_total(df: DataFrame, period: str, by: Sequence[str], total: str = "all") -> DataFrame:
+    """Counts per period plus the sum over periods.
+
+    Rows are counted per period first; the total is formed from the counts.
+    """
+    counts = df.groupBy(period, *by).agg(F.count("*").cast("double").alias("content"))
+    out = counts.rollup(*by, period).agg(F.grouping(period).alias("__t"), F.grouping(by[-1]).alias("__b"), F.sum("content").alias("content"))
+    return out.where("__b = 0").withColumn(period, F.when(F.col("__t") == 1, F.lit(total)).otherwise(F.col(period))).drop("__t", "__b")
+
+
+def distribution_job(
+    df: DataFrame,
+    query: str | None,
+    unique: Sequence[str],
+    columns: Sequence[str],
+    axis: tuple[Operand, Axis],
+    by: Sequence[str],
+    slices: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Filter, keep one entry per key, and fill one histogram per group and slice.
+
+    ``columns`` must be functions of the ``unique`` key (event quantities), so one
+    entry per key is a plain aggregation and a repeated key never travels.
+    """
+    kept = select_rows(df, query).select(*unique, *columns).groupBy(*unique).agg(*[F.min(c).alias(c) for c in columns])
+    if not slices:
+        return fill(kept, [axis], by)
+    tags = F.array_compact(F.array(*[F.when(F.coalesce(F.expr(q), F.lit(False)), F.lit(s)) for s, q in slices.items()]))
+    return fill(kept.withColumn("slice", F.explode(tags)), [axis], [*by, "slice"])
