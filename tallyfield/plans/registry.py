@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("inputs", "selections", "columns", "matching", "spectra", "order", "ratios")
+MODULES = ("inputs", "selections", "columns", "matching", "spectra", "order", "ratios", "peaks", "corrections", "budgets")
 
 
 def query(key: str, sql: str | None = None):
