@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import Axis
 from ..functions.predicates import Operand, col
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from .hist import normalise, project, rebin
 from .joins import align
 
@@ -159,15 +159,15 @@ def unfold(
     every round P(g|r) = P(r|g) p_g / sum_g' P(r|g') p_g' distributes the
     measured content over gen bins, and the result is the next prior (its
     normalisation cancels).  Response pairs and measured bins are matched once
-    and stored in the shared folder, so the event tables are read a single time
-    whatever the number of rounds; later plans are cut every few rounds.
+    and stored in the shared folder, so no round goes back to the inputs; later
+    plans are cut every few rounds.  Pass stored inputs when they come from
+    event tables.
     """
     shared = [c for c in by if c in response.columns]
     measured = data.select(*by, *reco, F.col("content").alias("__d"), F.col("sumw2").alias("__e2"))
     base = column_normalised(response, shared, gen).join(measured, [*shared, *reco])
-    base = cut_lineage(base.select(*by, *gen, *reco, "p", "w", "__d", "__e2"))
-    start = cut_lineage(response.groupBy(*shared, *gen).agg(F.sum("w").alias("__prior")))
-    prior, keys = start, shared
+    base = stored(base.select(*by, *gen, *reco, "p", "__d", "__e2"), "unfold")
+    prior, keys = response.groupBy(*shared, *gen).agg(F.sum("w").alias("__prior")), shared
     for step in range(1, iterations + 1):
         joint = base.join(prior, [*keys, *gen]).withColumn("__j", F.col("p") * F.col("__prior"))
         total = F.sum("__j").over(Window.partitionBy(*by, *reco))

@@ -6,28 +6,26 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform
 from ..operators import algebra, budgets, corrections, hist, joins, peaks
+from ..session import stored
 from .matching import MULT, orders
-from .peaks import OUT, PK, LIN, fit_sql, labelled_peaks, line_integral_sql, linear_background, peak_ctes
-from .ratios import (DATA_SQL, EFF_SQL, G_KEYS, IN_G, KIN_G_SQL, KIN_R_SQL, P_SQL, R_KEYS, kinematic, level, measured,
-                     out, response)
-from .registry import PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, table
+from .peaks import LIN, PK, fit_sql, labelled_peaks, line_integral_sql, linear_background, mass, mass_cube, peak_ctes
+from .ratios import (DATA_SQL, G_KEYS, IN_G, KIN_G_SQL, KIN_R_SQL, P_SQL, R_KEYS, gen_level, kinematic, measured, out,
+                     pair_cube, response)
+from .registry import PT, SHAPE, query, rounded, sql_bin, table
 from .selections import PROB, PROB_SQL, items
-from .spectra import GEN, IPT_SQL, N, PAIRS_SQL, count_sql, pairs, with_ipt
+from .spectra import IPT_SQL, N, PAIRS_SQL, with_ipt
 
 REGIONS = corrections.Regions(1.0, 1.5, 3.0, 1.5, 3.0, signal_share=0.68)
 
 
-def mass_shape(spark, sf):
-    df = with_ipt(items(spark, sf)).where(F.col("l_returnflag") == "N")
-    return hist.fill(df, [("l_extendedprice", PK), ("l_discount", SHAPE)], ["ipt"])
+def mass_shape(cube):
+    return hist.project(cube, ["ipt", "ix", "iy"], F.col("l_returnflag") == "N")
 
 
-def ipt_efficiency(spark, sf, flag="A"):
-    """Preselected over generated per pt bin, both counted in one pass."""
-    c = with_ipt(items(spark, sf)).where(F.col("l_returnflag") == flag).groupBy("ipt").agg(
-        F.count_if(F.col("l_linestatus") == "F").cast("double").alias("n"), F.count("*").cast("double").alias("d"))
-    n, d = F.col("n"), F.col("d")
-    return c.select("ipt", algebra.ratio(n, d).alias("content"), algebra.binomial_variance(n, n, d, d).alias("sumw2"))
+def ipt_efficiency(cube, flag="A"):
+    """Preselected over generated per pt bin."""
+    sample = cube.where(F.col("l_returnflag") == flag)
+    return algebra.divide_binomial(hist.project(sample, ["ipt"], F.col("l_linestatus") == "F"), hist.project(sample, ["ipt"]), ["ipt"])
 
 
 def eff_sql(flag: str) -> str:
@@ -50,13 +48,15 @@ SUB_CTES = peak_ctes() + f""", lin AS {LIN}, ms AS (SELECT {IPT_SQL} AS ipt, {sq
            FROM reg JOIN ar USING (ipt) JOIN {eff_sql('A')} e USING (ipt))"""
 
 
-def fitted(spark, sf):
-    pk = labelled_peaks(spark, sf)
-    return linear_background(spark, sf, pk=pk).join(pk, "ipt")
+def fitted(cube):
+    pk = labelled_peaks(cube)
+    return linear_background(mass(cube, "N"), pk).join(pk, "ipt")
 
 
 def subtracted(spark, sf):
-    return corrections.subtract_sidebands(mass_shape(spark, sf), fitted(spark, sf), ipt_efficiency(spark, sf), ["ipt"], ["ipt"], PK, ["c0", "c1"], REGIONS)
+    cube = mass_cube(spark, sf)
+    fits = stored(fitted(cube), "fits")
+    return corrections.subtract_sidebands(mass_shape(cube), fits, ipt_efficiency(cube), ["ipt"], ["ipt"], PK, ["c0", "c1"], REGIONS)
 
 
 @query("G14_sideband_subtraction", SUB_CTES + " SELECT iy, round(sum(content), 4) AS content, round(sum(sumw2), 4) AS sumw2 FROM sub GROUP BY iy")
@@ -83,7 +83,8 @@ def g15(spark, sf):
     SUB_CTES + """ SELECT ipt, iy, round(CASE WHEN lft = 0 THEN 0 ELSE (rgt / nullif(sum(rgt) OVER w, 0)) / (lft / nullif(sum(lft) OVER w, 0)) END, 6) AS content FROM reg WINDOW w AS (PARTITION BY ipt)""",
 )
 def g16(spark, sf):
-    areas = corrections.sideband_regions(mass_shape(spark, sf), fitted(spark, sf), ["ipt"], PK, REGIONS)
+    cube = mass_cube(spark, sf)
+    areas = corrections.sideband_regions(mass_shape(cube), fitted(cube), ["ipt"], PK, REGIONS)
     return corrections.sideband_ratio(areas, ["ipt"]).select("ipt", "iy", rounded("content").alias("content"))
 
 
@@ -93,16 +94,17 @@ FD_CTES = f"""WITH sim AS (SELECT {IPT_SQL} AS ipt, ix_g, iy_g, {N} AS c FROM {P
    fd AS (SELECT ix_r, iy_r, c / e AS c FROM fd0 JOIN {KIN_R_SQL} USING (ix_r, iy_r)), dat AS {DATA_SQL}"""
 
 
-def feeddown(spark, sf):
-    p = with_ipt(pairs(spark, sf)).where(F.col("l_returnflag") == "R")
+def feeddown(cube):
+    sim = gen_level(cube.where(F.col("l_returnflag") == "R"), ["ipt"])
     return corrections.feeddown_yield(
-        level(p, GEN, G_KEYS, ["ipt"]), ipt_efficiency(spark, sf, "R"), ipt_efficiency(spark, sf, "A"), ["ipt"], G_KEYS,
-        kinematic(spark, sf, "gen"), response(spark, sf), R_KEYS, kinematic(spark, sf, "reco"), 0.4)
+        sim, ipt_efficiency(cube, "R"), ipt_efficiency(cube, "A"), ["ipt"], G_KEYS, kinematic(cube, "gen"), response(cube),
+        R_KEYS, kinematic(cube, "reco"), 0.4)
 
 
 @query("G17_feeddown_subtraction", FD_CTES + " SELECT ix_r, iy_r, round(greatest(d.c - fd.c, 0), 4) AS content FROM dat d JOIN fd USING (ix_r, iy_r)")
 def g17(spark, sf):
-    h = corrections.subtract_feeddown(measured(spark, sf), feeddown(spark, sf), R_KEYS)
+    cube = pair_cube(spark, sf)
+    h = corrections.subtract_feeddown(measured(cube), feeddown(cube), R_KEYS)
     return h.select(*R_KEYS, rounded("content", 4).alias("content"))
 
 
@@ -112,7 +114,8 @@ def g17(spark, sf):
         round(greatest(fd.c / d.c - fd.c * 1.2 / d.c, fd.c / d.c - fd.c * 0.7 / d.c, 0), 6) AS err_down FROM dat d JOIN fd USING (ix_r, iy_r)""",
 )
 def g18(spark, sf):
-    central = corrections.feeddown_fraction(feeddown(spark, sf), measured(spark, sf), R_KEYS)
+    cube = pair_cube(spark, sf)
+    central = stored(corrections.feeddown_fraction(feeddown(cube), measured(cube), R_KEYS), "fraction")
     factors = F.explode(F.array(F.lit(1.2), F.lit(0.7)))
     variations = algebra.scale(central.withColumn("k", factors), "k")
     e = budgets.envelope(variations, central, R_KEYS)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.bins import Uniform
+from ..functions.bins import Uniform, inside
 from ..operators import hist, peaks, scans
-from .registry import query, rounded, sql_bin
+from ..session import stored
+from .registry import SHAPE, query, rounded, sql_bin
 from .selections import items
 from .spectra import IPT_SQL, N, with_ipt
 
@@ -20,9 +21,15 @@ def mass_sql(flag: str) -> str:
         (SELECT {IPT_SQL} AS ipt, {sql_bin('l_extendedprice', PK)} AS ix FROM lineitem WHERE l_returnflag = '{flag}') WHERE ix BETWEEN 1 AND {PK.n} GROUP BY ALL)"""
 
 
-def mass(spark, sf, flag):
-    df = with_ipt(items(spark, sf)).where(F.col("l_returnflag") == flag)
-    return hist.fill(df, [("l_extendedprice", PK)], ["ipt"], flow=False)
+def mass_cube(spark, sf):
+    """(ipt, l_returnflag, l_linestatus, ix mass, iy shape): all a peak study needs, from one scan."""
+    df = with_ipt(items(spark, sf))
+    axes = [("l_extendedprice", PK), ("l_discount", SHAPE)]
+    return stored(hist.fill(df, axes, ["ipt", "l_returnflag", "l_linestatus"]), "mass")
+
+
+def mass(cube, flag):
+    return hist.project(cube, ["ipt", "ix"], (F.col("l_returnflag") == flag) & inside("ix", PK))
 
 
 def _moments(source: str) -> str:
@@ -64,21 +71,19 @@ OUT = "(x < mean - 1.5 * sigma OR x > mean + 1.5 * sigma)"
 LIN = fit_sql("(SELECT * FROM dh JOIN pk USING (ipt))", "ipt", 1, OUT)
 
 
-def labelled_peaks(spark, sf):
-    return peaks.clipped_moments(mass(spark, sf, "R"), ["ipt"], PK, CLIP, 3)
+def labelled_peaks(cube):
+    return peaks.clipped_moments(mass(cube, "R"), ["ipt"], PK, CLIP, 3)
 
 
-def linear_background(spark, sf, data=None, pk=None):
-    """Straight line through the data outside mean +- 1.5 sigma, with peaks joined: (ipt, c0, c1)."""
-    data = mass(spark, sf, "N") if data is None else data
-    pk = labelled_peaks(spark, sf) if pk is None else pk
+def linear_background(data, pk):
+    """Straight line through the data outside mean +- 1.5 sigma: (ipt, c0, c1, n_points)."""
     m, s = F.col("mean"), F.col("sigma")
     return peaks.sideband_fit(data.join(pk, "ipt"), ["ipt"], PK, 1, m - 1.5 * s, m + 1.5 * s)
 
 
 @query("H01_peak_moments", peak_ctes() + " SELECT ipt, round(mean, 4) AS mean, round(sigma, 4) AS sigma FROM pk")
 def h01(spark, sf):
-    return labelled_peaks(spark, sf).select("ipt", rounded("mean", 4).alias("mean"), rounded("sigma", 4).alias("sigma"))
+    return labelled_peaks(mass_cube(spark, sf)).select("ipt", rounded("mean", 4).alias("mean"), rounded("sigma", 4).alias("sigma"))
 
 
 @query(
@@ -87,7 +92,7 @@ def h01(spark, sf):
     + fit_sql("dh", "ipt", 2, "(x < 40000 OR x > 60000)"),
 )
 def h02(spark, sf):
-    fit = peaks.sideband_fit(mass(spark, sf, "N"), ["ipt"], PK, 2, F.lit(40000.0), F.lit(60000.0))
+    fit = peaks.sideband_fit(mass(mass_cube(spark, sf), "N"), ["ipt"], PK, 2, F.lit(40000.0), F.lit(60000.0))
     return fit.select("ipt", *[rounded(f"c{i}", 5).alias(f"c{i}") for i in range(3)], "n_points")
 
 
@@ -100,7 +105,7 @@ EXP_FIT = fit_sql("dh", "ipt", 1, "(x < 40000 OR x > 60000) AND content > 0", y=
         round({HALF} * exp(c0) * (exp(c1 * ((60000 - {CENTRE}) / {HALF})) - exp(c1 * ((40000 - {CENTRE}) / {HALF}))) / c1 / {PK.width}, 4) AS under FROM {EXP_FIT}""",
 )
 def h03(spark, sf):
-    fit = peaks.exponential_fit(mass(spark, sf, "N"), ["ipt"], PK, F.lit(40000.0), F.lit(60000.0))
+    fit = peaks.exponential_fit(mass(mass_cube(spark, sf), "N"), ["ipt"], PK, F.lit(40000.0), F.lit(60000.0))
     under = peaks.exponential_integral(F.lit(40000.0), F.lit(60000.0), PK) / PK.width
     return fit.select("ipt", rounded("c0", 5).alias("c0"), rounded("c1", 5).alias("c1"), rounded(under, 4).alias("under"))
 
@@ -117,15 +122,17 @@ BKG_CTE = f""", lin AS {LIN}, side AS (SELECT ipt, sum(content) AS n_side FROM d
 
 
 def background(spark, sf):
-    data, pk = mass(spark, sf, "N"), labelled_peaks(spark, sf)
+    cube = mass_cube(spark, sf)
+    data, pk = mass(cube, "N"), labelled_peaks(cube)
     m, s, x = F.col("mean"), F.col("sigma"), PK.centre("ix")
     side = data.join(pk, "ipt").where((x < m - 1.5 * s) | (x > m + 1.5 * s)).groupBy("ipt").agg(F.sum("content").alias("n_side"))
-    return peaks.background_under_peak(linear_background(spark, sf, data, pk), pk, side, ["ipt"], PK, 1.5, ["c0", "c1"])
+    return peaks.background_under_peak(linear_background(data, pk), pk, side, ["ipt"], PK, 1.5, ["c0", "c1"])
 
 
 def signal(spark, sf):
-    data, pk = mass(spark, sf, "N"), labelled_peaks(spark, sf)
-    return peaks.counted_yield(data, linear_background(spark, sf, data, pk), pk, ["ipt"], PK, 1.5, ["c0", "c1"])
+    cube = mass_cube(spark, sf)
+    data, pk = mass(cube, "N"), labelled_peaks(cube)
+    return peaks.counted_yield(data, linear_background(data, pk), pk, ["ipt"], PK, 1.5, ["c0", "c1"])
 
 
 @query("H04_background_under_peak", peak_ctes() + BKG_CTE + " SELECT ipt, round(bkg, 4) AS bkg, round(abs(bkg) / sqrt(n_side), 4) AS bkg_err FROM bkg")
@@ -173,13 +180,18 @@ def _trial_ctes() -> str:
       sc AS (SELECT *, CASE WHEN signal > 0 AND signal + bkg > 0 THEN signal / sqrt(signal + bkg) ELSE 0 END AS signif FROM res)"""
 
 
+def trials(spark, sf):
+    cube = mass_cube(spark, sf)
+    return peaks.multi_trial(mass(cube, "N"), labelled_peaks(cube), ["ipt"], PK, TRIALS, 3.0, 0.2, reject_sigma=1.5)
+
+
 @query(
     "H07_multi_trial",
     _trial_ctes() + """ SELECT ipt, CAST(trial AS INTEGER) AS trial, round(signal, 3) AS signal, round(signal_err, 4) AS signal_err, round(chi2, 4) AS chi2, round(signif, 4) AS signif,
        chi2 <= 3 AND signif >= 0.2 AS accepted FROM sc""",
 )
 def h07(spark, sf):
-    out = peaks.multi_trial(mass(spark, sf, "N"), labelled_peaks(spark, sf), ["ipt"], PK, TRIALS, 3.0, 0.2, reject_sigma=1.5)
+    out = trials(spark, sf)
     return out.select("ipt", "trial", rounded("signal", 3).alias("signal"), *[rounded(c, 4).alias(c) for c in ("signal_err", "chi2", "signif")], "accepted")
 
 
@@ -188,7 +200,7 @@ def h07(spark, sf):
     _trial_ctes() + """ SELECT ipt, round(avg(signal), 3) AS mean, round(stddev_pop(signal), 3) AS rms FROM sc WHERE chi2 <= 3 AND signif >= 0.2 GROUP BY ipt""",
 )
 def h07_spread(spark, sf):
-    t = peaks.multi_trial(mass(spark, sf, "N"), labelled_peaks(spark, sf), ["ipt"], PK, TRIALS, 3.0, 0.2, reject_sigma=1.5).where("accepted")
+    t = trials(spark, sf).where("accepted")
     out = scans.trial_spread(t, ["ipt"], "signal", F.col("trial") == 0)
     return out.select("ipt", rounded("mean", 3).alias("mean"), rounded("rms", 3).alias("rms"))
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.bins import Uniform
+from ..functions.bins import first_bin, inside
 from ..functions.hashing import in_fraction
 from ..operators import algebra, hist
-from .registry import PT, SHAPE, query, rounded, sql_bin, table
+from ..session import stored
+from .registry import PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin
 from .selections import KEY, KEY_SQL, items
 from .spectra import FINE, GEN, N, PAIRS_IN, PAIRS_SQL, RECO, TAX, VALUE_G, VALUE_R, pairs
 
@@ -90,6 +91,48 @@ IN_R = "ix_r BETWEEN 1 AND 4 AND iy_r BETWEEN 1 AND 4"
 IN_G = "ix_g BETWEEN 1 AND 3 AND iy_g BETWEEN 1 AND 3"
 
 
+def pair_cube(spark, sf):
+    """Counts per (ipt, class, status, half, reco bins, gen bins) including flow bins: one scan of the pairs."""
+    p = pairs(spark, sf).withColumns({
+        "ipt": first_bin("l_quantity", PT_LOW, PT_HIGH), "is_test": in_fraction(KEY, 0.5, 3),
+        **{n: a.index(x) for n, (x, a) in zip(R_KEYS + G_KEYS, RECO + GEN)}})
+    groups = ["ipt", "l_returnflag", "l_linestatus", "is_test", *R_KEYS, *G_KEYS]
+    return stored(p.groupBy(*groups).agg(F.count("*").cast("double").alias("content")).withColumn("sumw2", F.col("content")), "pairs")
+
+
+G_KEYS, R_KEYS = ["ix_g", "iy_g"], ["ix_r", "iy_r"]
+SEEN = inside("ix_r", SHAPE) & inside("iy_r", VALUE_R)
+MADE = inside("ix_g", TAX) & inside("iy_g", VALUE_G)
+
+
+def kinematic(cube, level="gen"):
+    """Share of pairs inside both ranges among those inside the range of one level."""
+    keys, own, other = (G_KEYS, MADE, SEEN) if level == "gen" else (R_KEYS, SEEN, MADE)
+    c = cube.where(own).groupBy(*keys).agg(F.sum(F.when(other, F.col("content")).otherwise(0.0)).alias("n"), F.sum("content").alias("d"))
+    n, d = F.col("n"), F.col("d")
+    return c.select(*keys, algebra.ratio(n, d).alias("content"), algebra.binomial_variance(n, n, d, d).alias("sumw2"))
+
+
+def response(cube, *by):
+    return cube.where(SEEN & MADE).groupBy(*by, *R_KEYS, *G_KEYS).agg(F.sum("content").alias("w"))
+
+
+def gen_level(cube, by=()):
+    return hist.project(cube, [*by, *G_KEYS], MADE)
+
+
+def reco_level(cube, by=()):
+    return hist.project(cube, [*by, *R_KEYS], SEEN)
+
+
+def measured(cube):
+    return reco_level(cube.where(F.col("l_returnflag") == "N"))
+
+
+IN_R = "ix_r BETWEEN 1 AND 4 AND iy_r BETWEEN 1 AND 4"
+IN_G = "ix_g BETWEEN 1 AND 3 AND iy_g BETWEEN 1 AND 3"
+
+
 @query(
     "G08_kinematic_efficiency",
     f"""SELECT ix_g, iy_g, round(count(*) FILTER ({IN_R}) / count(*), 6) AS content,
@@ -97,42 +140,21 @@ IN_G = "ix_g BETWEEN 1 AND 3 AND iy_g BETWEEN 1 AND 3"
         FROM {PAIRS_SQL} WHERE {IN_G} GROUP BY ALL""",
 )
 def g08(spark, sf):
-    h = kinematic(spark, sf)
+    h = kinematic(pair_cube(spark, sf))
     return h.select("ix_g", "iy_g", rounded("content").alias("content"), rounded("sumw2", 9).alias("sumw2"))
 
 
-def kinematic(spark, sf, level="gen"):
-    """Share of pairs inside both ranges among those inside the range of one level, in one pass."""
-    p = pairs(spark, sf).select(*[a.index(x).alias(n) for n, (x, a) in zip(("ix_r", "iy_r", "ix_g", "iy_g"), RECO + GEN)])
-    in_r = F.col("ix_r").between(1, SHAPE.n) & F.col("iy_r").between(1, VALUE_R.n)
-    in_g = F.col("ix_g").between(1, TAX.n) & F.col("iy_g").between(1, VALUE_G.n)
-    keys, own, other = (["ix_g", "iy_g"], in_g, in_r) if level == "gen" else (["ix_r", "iy_r"], in_r, in_g)
-    c = p.where(own).groupBy(*keys).agg(F.count_if(other).cast("double").alias("n"), F.count("*").cast("double").alias("d"))
-    n, d = F.col("n"), F.col("d")
-    return c.select(*keys, algebra.ratio(n, d).alias("content"), algebra.binomial_variance(n, n, d, d).alias("sumw2"))
-
-
 RESP_SQL = f"(SELECT ix_r, iy_r, ix_g, iy_g, {N} AS w FROM {PAIRS_SQL} WHERE {PAIRS_IN} GROUP BY ALL)"
 P_SQL = f"(SELECT *, w / sum(w) OVER (PARTITION BY ix_g, iy_g) AS p FROM {RESP_SQL})"
 GEN_SQL = f"(SELECT ix_g, iy_g, {N} AS c, {N} AS v FROM {PAIRS_SQL} WHERE {IN_G} AND l_returnflag = 'R' GROUP BY ALL)"
 FOLD_SQL = f"(SELECT ix_r, iy_r, sum(c * p) AS c, sum(v * p * p) AS v FROM {GEN_SQL} JOIN {P_SQL} USING (ix_g, iy_g) GROUP BY ALL)"
-G_KEYS, R_KEYS = ["ix_g", "iy_g"], ["ix_r", "iy_r"]
-
-
-def response(spark, sf):
-    return hist.response(pairs(spark, sf), RECO, GEN)
-
-
-def level(df, axes, keys, by=()):
-    """Histogram on one level with its own bin names."""
-    h = hist.fill(df, axes, by, flow=False)
-    return h.withColumnsRenamed(dict(zip(("ix", "iy"), keys)))
 
 
 @query("G09_fold", f"SELECT ix_r, iy_r, round(c, 6) AS content, round(v, 6) AS sumw2 FROM {FOLD_SQL}")
 def g09(spark, sf):
-    gen = level(pairs(spark, sf).where(F.col("l_returnflag") == "R"), GEN, G_KEYS)
-    return out(algebra.fold(gen, response(spark, sf), [], G_KEYS, R_KEYS), R_KEYS)
+    cube = pair_cube(spark, sf)
+    gen = gen_level(cube.where(F.col("l_returnflag") == "R"))
+    return out(algebra.fold(gen, response(cube), [], G_KEYS, R_KEYS), R_KEYS)
 
 
 KIN_G_SQL = f"(SELECT ix_g, iy_g, count(*) FILTER ({IN_R}) / count(*) AS e FROM {PAIRS_SQL} WHERE {IN_G} GROUP BY ALL)"
@@ -148,11 +170,11 @@ KIN_R_SQL = f"(SELECT ix_r, iy_r, count(*) FILTER ({IN_G}) / count(*) AS e FROM
         SELECT ipt, iy_r, round(r.c / s.c, 6) AS content FROM r JOIN s USING (ipt, iy_r)""",
 )
 def g10(spark, sf):
-    p = pairs(spark, sf).withColumn("ipt", PT.index("l_quantity"))
-    gen = level(p, GEN, G_KEYS, ["ipt"])
-    reco = hist.project(level(p.where(F.col("l_linestatus") == "F"), RECO, R_KEYS, ["ipt"]), ["ipt", "iy_r"])
-    kin_g, kin_r = kinematic(spark, sf, "gen"), kinematic(spark, sf, "reco")
-    folded = algebra.fold(algebra.scale_by(gen, kin_g, G_KEYS), response(spark, sf), ["ipt"], G_KEYS, R_KEYS)
+    cube = pair_cube(spark, sf).withColumn("ipt", F.col("ipt") + 1)
+    gen = gen_level(cube, ["ipt"])
+    reco = hist.project(reco_level(cube.where(F.col("l_linestatus") == "F"), ["ipt"]), ["ipt", "iy_r"])
+    kin_g, kin_r = kinematic(cube, "gen"), kinematic(cube, "reco")
+    folded = algebra.fold(algebra.scale_by(gen, kin_g, G_KEYS), response(cube), ["ipt"], G_KEYS, R_KEYS)
     seen = hist.project(algebra.scale_by(folded, kin_r, R_KEYS, "divide"), ["ipt", "iy_r"])
     eff = algebra.divide(reco, seen, ["ipt", "iy_r"]).where("content > 0")
     return eff.select("ipt", "iy_r", rounded("content").alias("content"))
@@ -178,13 +200,10 @@ def measured_sql(where: str) -> str:
 DATA_SQL = measured_sql("l_returnflag = 'N'")
 
 
-def measured(spark, sf):
-    return level(pairs(spark, sf).where(F.col("l_returnflag") == "N"), RECO, R_KEYS)
-
-
 @query("G11_unfold", unfold_sql(RESP_SQL, DATA_SQL, 4) + " SELECT ix_g, iy_g, round(c, 4) AS content, round(v, 4) AS sumw2 FROM u4")
 def g11(spark, sf):
-    return out(algebra.unfold(measured(spark, sf), response(spark, sf), [], G_KEYS, R_KEYS, 4), G_KEYS, 4)
+    cube = pair_cube(spark, sf)
+    return out(algebra.unfold(measured(cube), response(cube), [], G_KEYS, R_KEYS, 4), G_KEYS, 4)
 
 
 @query(
@@ -193,7 +212,8 @@ def g11(spark, sf):
        d AS (SELECT iy_r, sum(c) AS c FROM dat GROUP BY 1) SELECT iy_r, round(d.c / f.c, 6) AS content FROM d JOIN f USING (iy_r)""",
 )
 def g12(spark, sf):
-    data, resp = measured(spark, sf), response(spark, sf)
+    cube = pair_cube(spark, sf)
+    data, resp = measured(cube), response(cube)
     unfolded = algebra.unfold(data, resp, [], G_KEYS, R_KEYS, 3)
     h = algebra.refold(unfolded, data, resp, [], G_KEYS, R_KEYS, ["iy_r"])
     return h.select("iy_r", rounded("content").alias("content"))
@@ -210,8 +230,7 @@ HALF_SQL = f"CAST('0x' || substr(md5(concat_ws('|', '3', {KEY_SQL})), 1, 8) AS B
          SELECT iy_g, round((u.c / (SELECT sum(c) FROM u)) / (t.c / (SELECT sum(c) FROM t)), 6) AS content FROM u JOIN t USING (iy_g)""",
 )
 def g13(spark, sf):
-    p = pairs(spark, sf).withColumn("is_test", in_fraction(KEY, 0.5, 3))
-    both = hist.response(p, RECO, GEN, ["is_test"])  # one pass over the rows for every input below
+    both = response(pair_cube(spark, sf), "is_test")
     train, test = both.where("not is_test").drop("is_test"), both.where("is_test")
     pseudo = test.groupBy(*R_KEYS).agg(F.sum("w").alias("content"), F.sum("w").alias("sumw2"))
     truth = test.groupBy(*G_KEYS).agg(F.sum("w").alias("content"), F.sum("w").alias("sumw2"))

@@ -69,3 +69,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write a (small) intermediate table to the shared folder and read it back.
+
+    Histograms filled from the event tables are used several times by the algebra;
+    stored once, the event tables are read once, a lost executor costs nothing,
+    and the optimizer knows the true size when it picks join strategies.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
