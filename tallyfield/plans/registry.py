@@ -16,7 +16,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("inputs", "selections", "columns", "matching", "spectra", "order", "ratios", "peaks", "corrections", "budgets")
+MODULES = ("inputs", "selections", "columns", "matching", "spectra", "order", "ratios", "peaks", "corrections", "budgets",
+           "learning", "custom")
 
 
 def query(key: str, sql: str | None = None):
