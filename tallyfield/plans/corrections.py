@@ -12,7 +12,7 @@ from .peaks import LIN, PK, fit_sql, labelled_peaks, line_integral_sql, linear_b
 from .ratios import (DATA_SQL, G_KEYS, IN_G, KIN_G_SQL, KIN_R_SQL, P_SQL, R_KEYS, gen_level, kinematic, measured, out,
                      pair_cube, response)
 from .registry import PT, SHAPE, query, rounded, sql_bin, table
-from .selections import PROB, PROB_SQL, items
+from .selections import prob, PROB_SQL, items
 from .spectra import IPT_SQL, N, PAIRS_SQL, with_ipt
 
 REGIONS = corrections.Regions(1.0, 1.5, 3.0, 1.5, 3.0, signal_share=0.68)
@@ -202,7 +202,7 @@ def g31(spark, sf):
         SELECT t.ipt, t.trial, round(CASE WHEN n.c = 0 THEN 0 ELSE t.c / n.c END, 6) AS ratio FROM t JOIN t n ON t.ipt = n.ipt AND n.trial = 'cut_5'""",
 )
 def g32(spark, sf):
-    trials = {f"cut_{k}": PROB > (k + 0.03) / 10 for k in range(2, 9)}
+    trials = {f"cut_{k}": prob() > (k + 0.03) / 10 for k in range(2, 9)}
     t = joins.count_trials(with_ipt(items(spark, sf)), ["ipt"], trials)
     return corrections.ratio_to_nominal(t, ["ipt"], "trial", "cut_5").select("ipt", "trial", rounded("ratio").alias("ratio"))
 

@@ -43,7 +43,7 @@ DEFAULTS = {f"p{i}": f"{i}.50" for i in range(1, 6)}
                CASE WHEN ix = 2 THEN '#' ELSE CAST(count(*) AS VARCHAR) END AS value
                FROM (SELECT *, {sql_bin('l_quantity', PT)} AS ix FROM lineitem WHERE l_linenumber <> 7) GROUP BY l_returnflag, l_linestatus, l_linenumber, ix)
         SELECT category, variation, idx, d.param, CASE WHEN value IS NULL OR value = '#' THEN d.def ELSE value END AS value, coalesce(value <> '#', false) AS changed
-        FROM (SELECT DISTINCT category, variation, idx FROM v) g, (SELECT unnest({list(DEFAULTS)}) AS param, unnest({list(DEFAULTS.values())}) AS def) d LEFT JOIN v USING (category, variation, idx, param)""",
+        FROM (SELECT * FROM (SELECT DISTINCT category, variation, idx FROM v), (SELECT unnest({list(DEFAULTS)}) AS param, unnest({list(DEFAULTS.values())}) AS def)) d LEFT JOIN v USING (category, variation, idx, param)""",
 )
 def u05(spark, sf):
     ix = PT.index("l_quantity")

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform
-from ..functions.predicates import half_open, gt
 from ..operators import hist
 from ..session import fresh_path
 from ..sources import layout, scan, errors_table
 from ..streaming import incremental
-from .registry import MASS, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin, table
+from .registry import PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin, table
+from .selections import PROB_SQL, prob
 
-SCORE = (F.col("l_quantity") + F.col("l_linenumber") * 10) / 125.0
-SCORE_SQL = "(l_quantity + l_linenumber * 10) / 125.0"
 
 
 @query("A01_column_scan", "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem")
@@ -126,14 +124,14 @@ def a10(spark, sf):
 
 @query(
     "A11_scored_export",
-    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round({SCORE_SQL}, 6) AS y_test_prob,
-               CAST({SCORE_SQL} > 0.5 AS INTEGER) AS y_test_prediction FROM lineitem""",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round({PROB_SQL}, 6) AS y_test_prob,
+               CAST({PROB_SQL} > 0.5 AS INTEGER) AS y_test_prediction FROM lineitem""",
 )
 def a11(spark, sf):
     li = table(spark, sf, "lineitem")
     scored = li.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rounded(SCORE).alias("y_test_prob"),
-        (SCORE > 0.5).cast("int").alias("y_test_prediction"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", rounded(prob()).alias("y_test_prob"),
+        (prob() > 0.5).cast("int").alias("y_test_prediction"),
     )
     return layout.write_table(scored, fresh_path(spark, "scored"))
 

@@ -14,7 +14,7 @@ from ..operators import evaluate, hist, learners, samples
 from ..session import fresh_path, stored
 from .peaks import fit_sql
 from .registry import PT_HIGH, PT_LOW, query, rounded, sql_bin, table
-from .selections import KEY, KEY_SQL, PROB, PROB_SQL, items
+from .selections import KEY, KEY_SQL, prob, PROB_SQL, items
 from .spectra import IPT_SQL, N, with_ipt
 
 E_FEATURES = [f"e{i}" for i in range(64)]
@@ -169,7 +169,7 @@ CURVE_SQL = f"""(SELECT threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp,
 
 def scored_items(spark, sf):
     """Line items with a score made from two columns; label: returned."""
-    return items(spark, sf).select(*KEY, PROB.alias("prob"), (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_linestatus", "l_quantity", "l_extendedprice")
+    return items(spark, sf).select(*KEY, prob().alias("prob"), (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_linestatus", "l_quantity", "l_extendedprice")
 
 
 @query("K13_precision_recall", f"SELECT round(threshold, 6) AS threshold, round(tp / (tp + fp), 6) AS precision, round(tp / n_pos, 6) AS recall FROM {CURVE_SQL}")
@@ -329,7 +329,7 @@ BKG_SCAN_SQL = f"""(SELECT s.step, s.threshold, CASE WHEN n > 5 AND b IS NOT NUL
 
 
 def background_rows(spark, sf):
-    df = items(spark, sf).where(SIDE).withColumn("prob", PROB)
+    df = items(spark, sf).where(SIDE).withColumn("prob", prob())
     return evaluate.background_scan(df, "prob", "l_extendedprice", STEPS, MASS28, 40000.0, 60000.0)
 
 
@@ -406,7 +406,7 @@ LIMITS_CTE = f"""WITH base AS (SELECT {IPT_SQL} AS ipt, {PROB_SQL} AS p FROM lin
 
 
 def limits(spark, sf):
-    df = with_ipt(items(spark, sf)).withColumn("prob", PROB)
+    df = with_ipt(items(spark, sf)).withColumn("prob", prob())
     return evaluate.working_point_limits(df, "ipt", "prob", F.col("l_returnflag") == "R", MID, LOW, HIGH, WP_STEPS, CHANGE)
 
 

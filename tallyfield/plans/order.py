@@ -8,7 +8,7 @@ from ..functions.hashing import take_by_hash
 from ..operators import scans
 from ..sources.scan import concatenate
 from .registry import query, rounded, table
-from .selections import KEY, KEY_SQL, PROB, PROB_SQL, items
+from .selections import KEY, KEY_SQL, prob, PROB_SQL, items
 
 SCAN = {"l_quantity": "lt", "l_extendedprice": "st", "l_discount": "abslt", "l_tax": "absst"}
 CENTRES = {"l_discount": 0.047, "l_tax": 0.043}
@@ -36,7 +36,7 @@ def scan_rows(df):
 
 @query("F01_cut_scan", scan_sql(f"{PROB_SQL} > 0.304"))
 def f01(spark, sf):
-    return scan_rows(items(spark, sf).where(PROB > 0.304))
+    return scan_rows(items(spark, sf).where(prob() > 0.304))
 
 
 @query("F02_size_scan", scan_sql("true"))
@@ -62,7 +62,7 @@ def _f03_sql():
 
 @query("F03_probability_scan", _f03_sql())
 def f03(spark, sf):
-    out = scans.probability_scan(items(spark, sf), F03_VARS, PROB, [c + 0.003 for c in F03_CUTS])
+    out = scans.probability_scan(items(spark, sf), F03_VARS, prob(), [c + 0.003 for c in F03_CUTS])
     return out.withColumn("ratio", rounded("ratio"))
 
 

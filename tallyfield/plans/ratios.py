@@ -101,28 +101,36 @@ def pair_cube(spark, sf):
 
 
 G_KEYS, R_KEYS = ["ix_g", "iy_g"], ["ix_r", "iy_r"]
-SEEN = inside("ix_r", SHAPE) & inside("iy_r", VALUE_R)
-MADE = inside("ix_g", TAX) & inside("iy_g", VALUE_G)
+
+
+def seen():
+    """Inside both reconstructed ranges."""
+    return inside("ix_r", SHAPE) & inside("iy_r", VALUE_R)
+
+
+def made():
+    """Inside both generated ranges."""
+    return inside("ix_g", TAX) & inside("iy_g", VALUE_G)
 
 
 def kinematic(cube, level="gen"):
     """Share of pairs inside both ranges among those inside the range of one level."""
-    keys, own, other = (G_KEYS, MADE, SEEN) if level == "gen" else (R_KEYS, SEEN, MADE)
+    keys, own, other = (G_KEYS, made(), seen()) if level == "gen" else (R_KEYS, seen(), made())
     c = cube.where(own).groupBy(*keys).agg(F.sum(F.when(other, F.col("content")).otherwise(0.0)).alias("n"), F.sum("content").alias("d"))
     n, d = F.col("n"), F.col("d")
     return c.select(*keys, algebra.ratio(n, d).alias("content"), algebra.binomial_variance(n, n, d, d).alias("sumw2"))
 
 
 def response(cube, *by):
-    return cube.where(SEEN & MADE).groupBy(*by, *R_KEYS, *G_KEYS).agg(F.sum("content").alias("w"))
+    return cube.where(seen() & made()).groupBy(*by, *R_KEYS, *G_KEYS).agg(F.sum("content").alias("w"))
 
 
 def gen_level(cube, by=()):
-    return hist.project(cube, [*by, *G_KEYS], MADE)
+    return hist.project(cube, [*by, *G_KEYS], made())
 
 
 def reco_level(cube, by=()):
-    return hist.project(cube, [*by, *R_KEYS], SEEN)
+    return hist.project(cube, [*by, *R_KEYS], seen())
 
 
 def measured(cube):

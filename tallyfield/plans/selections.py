@@ -16,7 +16,9 @@ KEY_SQL = ", ".join(KEY)
 COLS = KEY + ["l_quantity", "l_extendedprice"]
 COLS_SQL = ", ".join(COLS)
 PROB_SQL = "((l_quantity + l_linenumber * 10) / 125.0)"
-PROB = (F.col("l_quantity") + F.col("l_linenumber") * 10) / 125.0
+def prob():
+    """Stand-in for a model score, in [0, 1]."""
+    return (F.col("l_quantity") + F.col("l_linenumber") * 10) / 125.0
 
 
 def items(spark, sf):
@@ -129,7 +131,7 @@ def b15(spark, sf):
 
 @query("B16_probability_cut", rows(f"{PROB_SQL} > 0.604"))
 def b16(spark, sf):
-    return items(spark, sf).where(P.gt(PROB, 0.604)).select(*COLS)
+    return items(spark, sf).where(P.gt(prob(), 0.604)).select(*COLS)
 
 
 WP = {0: (0.3, 0.302), 1: (0.25, 0.402), 2: (0.2, 0.502), 3: (0.15, 0.552), 4: (0.1, 0.602)}
@@ -145,7 +147,7 @@ WP_SQL = " ".join(f"WHEN {i} THEN {{}}{i}" for i in WP)
 def b17(spark, sf):
     ipt = first_bin("l_quantity", PT_LOW, PT_HIGH)
     cuts = [P.chosen_by_bin(ipt, {i: v[k] for i, v in WP.items()}) for k in (0, 1)]
-    return items(spark, sf).where(P.working_point([F.col("l_discount") * 4, PROB], cuts)).select(*COLS)
+    return items(spark, sf).where(P.working_point([F.col("l_discount") * 4, prob()], cuts)).select(*COLS)
 
 
 @query("B18_no_model_fallback", rows("(l_linenumber & 1) = 1"))

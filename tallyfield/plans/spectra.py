@@ -11,7 +11,7 @@ from ..operators import hist, joins, scans
 from .matching import BINS2_SQL, MULT, orders
 from .registry import (MASS, MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin,
                        table)
-from .selections import KEY, KEY_SQL, PROB, PROB_SQL, items
+from .selections import KEY, KEY_SQL, prob, PROB_SQL, items
 
 IPT_SQL = f"CAST({sql_first_bin('l_quantity', PT_LOW, PT_HIGH)} AS INTEGER)"
 N = "CAST(count(*) AS DOUBLE)"
@@ -49,7 +49,7 @@ def e02(spark, sf):
     for name, flag in (("pr", "A"), ("fd", "R")):
         gen = F.col("l_returnflag") == flag
         presel = gen & (F.col("l_linestatus") == "F")
-        counters |= {f"gen_{name}": gen, f"presel_{name}": presel, f"sel_{name}": presel & (PROB > 0.404)}
+        counters |= {f"gen_{name}": gen, f"presel_{name}": presel, f"sel_{name}": presel & (prob() > 0.404)}
     out = hist.counts_by_class(df, ["ipt", "ibin2"], counters)
     return out.select("ipt", "ibin2", "gen_pr", rounded("gen_pr_err").alias("gen_pr_err"), "presel_pr", "sel_pr",
                       "gen_fd", "presel_fd", "sel_fd")
