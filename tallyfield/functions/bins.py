@@ -71,8 +71,8 @@ class Edges:
     def edges(self) -> list[float]:
         return list(self.values)
 
-    def index(self, x: Operand) -> Column:
-        """Number of edges at or below x, by a balanced comparison tree.
+    def index(self, x: Operand, strict: bool = False) -> Column:
+        """Number of edges at or below x (with ``strict``: below x), by a balanced comparison tree.
 
         The tree needs log2(n) comparisons per row and stays inside generated
         code, unlike a lambda over an edge array.
@@ -83,7 +83,8 @@ class Edges:
             if lo == hi:
                 return F.lit(lo)
             mid = (lo + hi) // 2
-            return F.when(x < self.values[mid], tree(lo, mid)).otherwise(tree(mid + 1, hi))
+            left = x <= self.values[mid] if strict else x < self.values[mid]
+            return F.when(left, tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
         return F.when(x.isNotNull(), tree(0, len(self.values))).cast("int")
 
@@ -139,3 +140,20 @@ def overlapping_bins(c: Operand, lows, highs, closed: bool = True) -> Column:
         for i, (lo, hi) in enumerate(zip(lows, highs))
     ]
     return F.array_compact(F.array(*hits))
+
+
+def bin_mask(c: Operand, lows, highs, closed: bool = True) -> Column:
+    """The same membership as one number, bit i for bin i; a compact grouping key for up to 63 bins."""
+    if len(lows) > 63:
+        raise ValueError("more than 63 overlapping bins")
+    c, out = col(c), F.lit(0).cast("long")
+    for i, (lo, hi) in enumerate(zip(lows, highs)):
+        hit = (c >= lo) & ((c <= hi) if closed else (c < hi)) & ~F.isnan(c.cast("double"))
+        out = out + F.when(hit, F.lit(1 << i)).otherwise(F.lit(0))
+    return out
+
+
+def mask_bins(mask: Operand, n: int) -> Column:
+    """Bin numbers of a mask, to be exploded after aggregation."""
+    m = col(mask)
+    return F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.getbit(m, i) == 1)

@@ -69,11 +69,10 @@ def take_by_hash(
     )
     # at most 2**16 rows of a few bytes: a checked size
     joined = marked.join(F.broadcast(edges), "__prefix")
+    ranked = F.row_number().over(Window.partitionBy("__prefix").orderBy("__digest", *keys))
+    if n is not None:
+        # little more than n rows are left, so one more shuffle of them beats a further scan
+        return joined.withColumn("__rank", ranked).where("not __partial or __rank <= __room").select(*df.columns)
     whole = joined.where(~F.col("__partial"))
-    cut = (
-        joined.where("__partial")
-        .withColumn("__rank", F.row_number().over(Window.partitionBy("__prefix").orderBy("__digest", *keys)))
-        .where("__rank <= __room")
-        .drop("__rank")
-    )
-    return whole.unionByName(cut).select(*df.columns)
+    cut = joined.where("__partial").withColumn("__rank", ranked).where("__rank <= __room")
+    return whole.select(*df.columns).unionByName(cut.select(*df.columns))

@@ -8,7 +8,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bins import Uniform
+from ..functions.bins import Edges, Uniform
 from ..functions.predicates import Operand, chosen_by_bin, col, ge
 from .algebra import efficiency
 from .hist import fill, project
@@ -104,8 +104,6 @@ def scan_thresholds(n_steps: int) -> list[float]:
 
 def thresholds_passed(score: Operand, thresholds: Sequence[float]) -> Column:
     """How many of the sorted thresholds are at or below the score (NaN passes none)."""
-    from ..functions.bins import Edges
-
     s = col(score).cast("double")
     return F.when(F.isnan(s), F.lit(0)).otherwise(Edges(tuple(thresholds)).index(s))
 
@@ -176,33 +174,42 @@ def working_point_limits(
 ) -> DataFrame:
     """(bin, min_cut, max_cut): outermost cuts per bin whose efficiency differs from the nominal one by less than ``max_change``.
 
-    All 2n + 1 cuts of a bin are conditional counts of one aggregation; the first
+    Each row is located once among the 2n + 1 cuts of its bin; counts per
+    position are aggregated in one scan and summed up per cut afterwards.  The first
     step (from outside inwards) that fulfils the condition wins, null if none does.
     """
-    def below(i: int) -> dict[int, float]:
-        return {b: low[b] + i * (centre[b] - low[b]) / n_steps for b in centre}
-
-    def above(i: int) -> dict[int, float]:
-        return {b: high[b] - i * (high[b] - centre[b]) / n_steps for b in centre}
-
+    cuts = {
+        b: [low[b] + i * (c - low[b]) / n_steps for i in range(n_steps)] + [c] + [high[b] - i * (high[b] - c) / n_steps for i in range(n_steps)]
+        for b, c in centre.items()
+    }
     s = F.col(score)
-
-    def passed(cuts: Mapping[int, float]) -> Column:
-        return F.count_if(denominator & (s > chosen_by_bin(bin_col, cuts)) & ~F.isnan(s))
-
-    counts = df.groupBy(bin_col).agg(
-        F.count_if(denominator).alias("den"), passed(centre).alias("nom"),
-        *[passed(below(i)).alias(f"lo{i}") for i in range(n_steps)], *[passed(above(i)).alias(f"hi{i}") for i in range(n_steps)])
-
-    def first_hit(side: str, cuts) -> Column:
-        nominal = F.try_divide(F.col("nom"), F.col("den"))
+    pos = F.lit(None).cast("int")
+    for b, values in cuts.items():
+        pos = F.when(F.col(bin_col) == b, Edges(tuple(sorted(values))).index(s, strict=True)).otherwise(pos)
+    pos = F.when(F.isnan(s), F.lit(0)).otherwise(pos)
+    counts = df.where(denominator & F.col(bin_col).isin(list(cuts))).groupBy(bin_col, pos.alias("__pos")).agg(F.count("*").alias("__c"))
+    per_bin = counts.groupBy(bin_col).agg(F.map_from_entries(F.collect_list(F.struct("__pos", "__c"))).alias("__m"))
+
+    def passed(k: int) -> Column:
+        """Rows above the k-th cut of the list; its rank among the sorted cuts depends on the bin."""
+        rank = F.lit(None).cast("int")
+        for b, values in cuts.items():
+            rank = F.when(F.col(bin_col) == b, F.lit(sorted(values).index(values[k]) + 1)).otherwise(rank)
+        total = F.aggregate(F.map_entries("__m"), F.lit(0).cast("long"), lambda a, e: a + F.when(e["key"] >= rank, e["value"]).otherwise(F.lit(0)))
+        return total
+
+    n_cuts = 2 * n_steps + 1
+    table = per_bin.select(bin_col, F.array(*[passed(k) for k in range(n_cuts)]).alias("__n"))
+    nominal = F.col("__n")[n_steps]
+
+    def first_hit(first: int) -> Column:
         hits = []
-        for i in range(n_steps):
-            eff = F.try_divide(F.col(f"{side}{i}"), F.col("den"))
-            hits.append(F.when(F.abs(F.try_divide(eff - nominal, nominal)) < max_change, chosen_by_bin(bin_col, cuts(i))))
+        for k in range(first, first + n_steps):
+            change = F.abs(F.try_divide(F.col("__n")[k] - nominal, nominal))
+            hits.append(F.when(change < max_change, chosen_by_bin(bin_col, {b: v[k] for b, v in cuts.items()})))
         return F.coalesce(*hits)
 
-    return counts.select(bin_col, first_hit("lo", below).alias("min_cut"), first_hit("hi", above).alias("max_cut"))
+    return table.select(bin_col, first_hit(0).alias("min_cut"), first_hit(n_steps + 1).alias("max_cut"))
 
 
 def working_point_grid(limits: DataFrame, bin_col: str, centre: Mapping[int, float], n: int) -> DataFrame:

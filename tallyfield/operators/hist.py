@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bits
-from ..functions.bins import Axis, inside, overlapping_bins
+from ..functions.bins import Axis, bin_mask, inside, mask_bins
 from ..functions.predicates import Operand, col, select_rows
 
 AXES = ("ix", "iy", "iz", "iv")
@@ -168,10 +168,23 @@ def range_bin(v: Operand, lo: Operand, hi: Operand, n: int) -> Column:
 
 
 def melt(df: DataFrame, variables: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """One row per (row, variable)."""
-    return df.select(*keep, *[F.col(v).cast("double").alias(v) for v in variables]).unpivot(
-        list(keep), list(variables), "variable", "x"
-    )
+    """One row per (row, variable): keep..., ``v`` (position in the variable list), ``x``.
+
+    A number instead of the name keeps the grouping keys of fixed width.
+    """
+    columns = ", ".join(f"{i}, cast(`{v}` as double)" for i, v in enumerate(variables))
+    return df.select(*keep, *[F.col(f"`{v}`") for v in dict.fromkeys(variables) if v not in keep]).select(
+        *keep, F.expr(f"stack({len(variables)}, {columns}) as (v, x)"))
+
+
+def variable_names(variables: Sequence[str], v: Operand = "v") -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in variables]), col(v) + 1)
+
+
+def numbered(ranges: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """(v, lo, hi) from (variable, lo, hi)."""
+    numbers = F.create_map(*[F.lit(x) for i, n in enumerate(variables) for x in (n, i)])
+    return ranges.select(F.try_element_at(numbers, F.col("variable")).alias("v"), "lo", "hi").where("v is not null")
 
 
 def auto_hist(
@@ -196,13 +209,15 @@ def auto_hist(
         lo = F.when(F.col("variable") == v, F.lit(float(a))).otherwise(lo)
         hi = F.when(F.col("variable") == v, F.lit(float(b))).otherwise(hi)
     r = r.select("variable", lo.alias("lo"), hi.alias("hi"))
-    long = melt(df, variables, by).join(F.broadcast(r), "variable")
-    return (
-        long.withColumn("ix", range_bin("x", "lo", "hi", n))
+    r = numbered(r, variables)
+    long = melt(df, variables, by).join(F.broadcast(r), "v")
+    counts = (
+        long.select("v", *by, range_bin("x", "lo", "hi", n).alias("ix"))
         .where("ix is not null")
-        .groupBy("variable", *by, "ix", "lo", "hi")
+        .groupBy("v", *by, "ix")
         .agg(F.count("*").cast("double").alias("content"))
     )
+    return counts.join(F.broadcast(r), "v").select(variable_names(variables).alias("variable"), *by, "ix", "lo", "hi", "content")
 
 
 def density(hist: DataFrame, by: Sequence[str], width: Column) -> DataFrame:
@@ -225,12 +240,23 @@ def cut_flow(df: DataFrame, stages: Mapping[str, Column], by: Sequence[str] = ()
     return df.groupBy(*by).agg(*aggs).unpivot(list(by), list(stages), "stage", "n")
 
 
-def counts_by_class(df: DataFrame, by: Sequence[str], counters: Mapping[str, Column]) -> DataFrame:
-    """Count and square-root error per counter, all in one aggregation."""
-    aggs = []
-    for name, p in counters.items():
-        aggs += [F.count_if(p).alias(name), F.sqrt(F.count_if(p)).alias(f"{name}_err")]
-    return df.groupBy(*by).agg(*aggs)
+def counts_by_class(
+    df: DataFrame, by: Sequence[str], counters: Mapping[str, Column], second: tuple[str, Sequence[float], Sequence[float]] | None = None
+) -> DataFrame:
+    """Count and square-root error per counter, all in one aggregation.
+
+    ``second`` (column, lows, highs) adds ``ibin2`` for overlapping closed bins; the
+    rows are counted per set of bins first.
+    """
+    if second is None:
+        counts = df.groupBy(*by).agg(*[F.count_if(p).alias(n) for n, p in counters.items()])
+        keys = list(by)
+    else:
+        c, lows, highs = second
+        sets = df.withColumn("__mask", bin_mask(c, lows, highs)).groupBy(*by, "__mask").agg(*[F.count_if(p).alias(n) for n, p in counters.items()])
+        keys = [*by, "ibin2"]
+        counts = sets.withColumn("ibin2", F.explode(mask_bins("__mask", len(lows)))).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in counters])
+    return counts.select(*keys, *[e for n in counters for e in (F.col(n), F.sqrt(n).alias(f"{n}_err"))])
 
 
 def event_norm(n_sel: Column, n_no_vertex: Column, n_vertex_out: Column) -> Column:
@@ -265,23 +291,19 @@ def spec_histograms(df: DataFrame, specs: Sequence[Mapping]) -> DataFrame:
     """Named list of 1-D/2-D histograms over one scan.
 
     A spec holds ``name``, ``x`` (column, axis), optionally ``y`` and ``where``.
-    Specs whose columns are absent are left out.  Rows become short arrays of
-    (name, ix, iy) hits, so the table is read once and aggregated once.
+    Specs whose columns are absent are left out.  The bin numbers of all specs are
+    laid out once per row and stacked; grouping keys are three numbers.
     """
-    hits = []
-    for s in specs:
-        axes = [s["x"]] + ([s["y"]] if "y" in s else [])
-        if any(isinstance(c, str) and c not in df.columns for c, _ in axes):
-            continue
-        iy = axes[1][1].index(axes[1][0]) if len(axes) == 2 else F.lit(0)
-        entry = F.struct(F.lit(s["name"]).alias("hist"), axes[0][1].index(axes[0][0]).alias("ix"), iy.alias("iy"))
-        hits.append(F.when(s["where"], entry) if s.get("where") is not None else entry)
-    return (
-        df.select(F.explode(F.array_compact(F.array(*hits))).alias("h"))
-        .groupBy("h.hist", "h.ix", "h.iy")
-        .agg(F.count("*").cast("double").alias("content"))
-    )
-
+    used = [s for s in specs if all(not isinstance(c, str) or c in df.columns for c, _ in [s["x"]] + ([s["y"]] if "y" in s else []))]
+    columns, entries = [], []
+    for i, s in enumerate(used):
+        ix = s["x"][1].index(s["x"][0])
+        columns.append((F.when(s["where"], ix) if s.get("where") is not None else ix).alias(f"x{i}"))
+        columns.append((s["y"][1].index(s["y"][0]) if "y" in s else F.lit(0)).alias(f"y{i}"))
+        entries.append(f"{i}, x{i}, y{i}")
+    stacked = df.select(*columns).selectExpr(f"stack({len(used)}, {', '.join(entries)}) as (h, ix, iy)").where("ix is not null and iy is not null")
+    counts = stacked.groupBy("h", "ix", "iy").agg(F.count("*").cast("double").alias("content"))
+    return counts.select(variable_names([s["name"] for s in used], "h").alias("hist"), "ix", "iy", "content")
 
 
 def with_meta(
@@ -321,9 +343,8 @@ def spectra_in_bins(
     these partial sums are spread over the bins.  Overlap therefore multiplies a
     few bins instead of every row.
     """
-    tagged = df.withColumn("__bins", overlapping_bins(second, lows, highs))
-    h = fill(tagged, [axis], [*by, "__bins"], weight)
-    spread = h.withColumn("ibin2", F.explode("__bins")).drop("__bins")
+    h = fill(df.withColumn("__mask", bin_mask(second, lows, highs)), [axis], [*by, "__mask"], weight)
+    spread = h.withColumn("ibin2", F.explode(mask_bins("__mask", len(lows)))).drop("__mask")
     return project(spread, [*by, "ibin2", "ix"])
 
 

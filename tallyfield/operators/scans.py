@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import Operand, col
-from .hist import auto_hist, melt, range_bin, value_range
+from .hist import auto_hist, melt, numbered, value_range, variable_names
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -91,11 +91,10 @@ def cut_scan(
         lo = F.when(F.col("variable") == v, F.lit(float(a))).otherwise(lo)
         hi = F.when(F.col("variable") == v, F.lit(float(b))).otherwise(hi)
     ranges = ranges.select("variable", lo.alias("lo"), hi.alias("hi"))
-    above = F.lit(False)
-    for v, d in variables.items():
-        above = above | ((F.col("variable") == v) & F.lit("lt" in d))
+    upward = [i for i, d in enumerate(variables.values()) if "lt" in d]
     # one row per variable: a checked size
-    long = melt(shifted, names).where("x is not null and not isnan(x)").join(F.broadcast(ranges), "variable")
+    ranges = numbered(ranges, names).withColumn("__above", F.col("v").isin(upward))
+    long = melt(shifted, names).where("x is not null and not isnan(x)").join(F.broadcast(ranges), "v")
     # number of thresholds passed: x > lo + w k for k = 0..n-1, or x < lo + w k for k = 1..n
     guess = F.try_divide((F.col("x") - F.col("lo")) * n, F.col("hi") - F.col("lo"))
     g = F.least(F.greatest(F.floor(guess), F.lit(-1)), F.lit(n + 1))
@@ -106,9 +105,9 @@ def cut_scan(
 
     up = refine(g, lambda k: F.col("x") > _thresholds("lo", "hi", n, k))
     down = refine(g, lambda k: F.col("x") >= _thresholds("lo", "hi", n, k))
-    placed = long.withColumn("__above", above).withColumn(
-        "pos", F.least(F.greatest(F.when(F.col("__above"), up).otherwise(down), F.lit(-1)), F.lit(n)).cast("int"))
-    counts = placed.groupBy("variable", "__above", "lo", "hi", "pos").agg(F.count("*").alias("c"))
+    pos = F.least(F.greatest(F.when(F.col("__above"), up).otherwise(down), F.lit(-1)), F.lit(n)).cast("int")
+    counts = long.select("v", pos.alias("pos")).groupBy("v", "pos").agg(F.count("*").alias("c")).join(F.broadcast(ranges), "v")
+    counts = counts.withColumn("variable", variable_names(names))
     steps = counts.groupBy("variable", "__above", "lo", "hi").agg(
         F.sum("c").alias("total"), F.map_from_entries(F.collect_list(F.struct("pos", "c"))).alias("m"))
     steps = steps.select("*", F.explode(F.sequence(F.lit(-1), F.lit(n))).alias("pos")).withColumn(

@@ -91,12 +91,16 @@ IN_R = "ix_r BETWEEN 1 AND 4 AND iy_r BETWEEN 1 AND 4"
 IN_G = "ix_g BETWEEN 1 AND 3 AND iy_g BETWEEN 1 AND 3"
 
 
-def pair_cube(spark, sf):
-    """Counts per (ipt, class, status, half, reco bins, gen bins) including flow bins: one scan of the pairs."""
+def pair_cube(spark, sf, halves=False):
+    """Counts per (ipt, class, status, reco bins, gen bins) including flow bins: one scan of the pairs.
+
+    ``halves`` adds the closure-test half, which costs a digest per row.
+    """
     p = pairs(spark, sf).withColumns({
-        "ipt": first_bin("l_quantity", PT_LOW, PT_HIGH), "is_test": in_fraction(KEY, 0.5, 3),
-        **{n: a.index(x) for n, (x, a) in zip(R_KEYS + G_KEYS, RECO + GEN)}})
-    groups = ["ipt", "l_returnflag", "l_linestatus", "is_test", *R_KEYS, *G_KEYS]
+        "ipt": first_bin("l_quantity", PT_LOW, PT_HIGH), **{n: a.index(x) for n, (x, a) in zip(R_KEYS + G_KEYS, RECO + GEN)}})
+    groups = ["ipt", "l_returnflag", "l_linestatus", *R_KEYS, *G_KEYS]
+    if halves:
+        p, groups = p.withColumn("is_test", in_fraction(KEY, 0.5, 3)), [*groups, "is_test"]
     return stored(p.groupBy(*groups).agg(F.count("*").cast("double").alias("content")).withColumn("sumw2", F.col("content")), "pairs")
 
 
@@ -238,7 +242,7 @@ HALF_SQL = f"CAST('0x' || substr(md5(concat_ws('|', '3', {KEY_SQL})), 1, 8) AS B
          SELECT iy_g, round((u.c / (SELECT sum(c) FROM u)) / (t.c / (SELECT sum(c) FROM t)), 6) AS content FROM u JOIN t USING (iy_g)""",
 )
 def g13(spark, sf):
-    both = response(pair_cube(spark, sf), "is_test")
+    both = response(pair_cube(spark, sf, halves=True), "is_test")
     train, test = both.where("not is_test").drop("is_test"), both.where("is_test")
     pseudo = test.groupBy(*R_KEYS).agg(F.sum("w").alias("content"), F.sum("w").alias("sumw2"))
     truth = test.groupBy(*G_KEYS).agg(F.sum("w").alias("content"), F.sum("w").alias("sumw2"))

@@ -44,13 +44,12 @@ def e01(spark, sf):
 )
 def e02(spark, sf):
     df = joins.join_events(with_ipt(items(spark, sf)), orders(spark, sf), ["l_orderkey"], ["o_totalprice"])
-    df = joins.explode_bins(df, "o_totalprice", MULT_LOW, MULT_HIGH)
     counters = {}
     for name, flag in (("pr", "A"), ("fd", "R")):
         gen = F.col("l_returnflag") == flag
         presel = gen & (F.col("l_linestatus") == "F")
         counters |= {f"gen_{name}": gen, f"presel_{name}": presel, f"sel_{name}": presel & (prob() > 0.404)}
-    out = hist.counts_by_class(df, ["ipt", "ibin2"], counters)
+    out = hist.counts_by_class(df, ["ipt"], counters, ("o_totalprice", MULT_LOW, MULT_HIGH))
     return out.select("ipt", "ibin2", "gen_pr", rounded("gen_pr_err").alias("gen_pr_err"), "presel_pr", "sel_pr",
                       "gen_fd", "presel_fd", "sel_fd")
 
