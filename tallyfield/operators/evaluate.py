@@ -30,7 +30,8 @@ def score_curve(scored: DataFrame, label: str, score: str, by: Sequence[str] = (
     running sums inside the slices are independent tasks.
     """
     counts = _score_counts(scored, label, score, by)
-    cuts = sorted(set(counts.approxQuantile("threshold", [i / slices for i in range(1, slices)], 0.5 / slices)))
+    shares = [i / slices for i in range(1, slices)]
+    cuts = sorted(set(counts.approxQuantile("threshold", shares, 0.5 / slices))) if shares else []
     sliced = (
         Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="threshold", outputCol="__slice").transform(counts)
         if cuts else counts.withColumn("__slice", F.lit(0.0))
