@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import bits
 from ..functions.bins import Axis, bin_mask, inside, mask_bins
 from ..functions.predicates import Operand, col, select_rows
+from ..session import small_side
 
 AXES = ("ix", "iy", "iz", "iv")
 
@@ -160,6 +161,17 @@ def value_range(df: DataFrame, variables: Sequence[str], by: Sequence[str] = ())
     return wide.unpivot(list(by), list(variables), "variable", "__r").select(*by, "variable", "__r.lo", "__r.hi")
 
 
+def limited_ranges(df: DataFrame, variables: Sequence[str], limits: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Configured limits where given, the data range elsewhere; no scan when all are configured."""
+    fixed = [(v, *map(float, limits[v])) for v in variables if v in limits]
+    free = [v for v in variables if v not in limits]
+    given = df.sparkSession.createDataFrame(fixed, "variable string, lo double, hi double") if fixed else None
+    if not free:
+        return given
+    found = value_range(df, free)
+    return found if given is None else found.unionByName(given)
+
+
 def range_bin(v: Operand, lo: Operand, hi: Operand, n: int) -> Column:
     """Bin 1..n of [lo, hi] with hi inside the last bin; null outside."""
     v, lo, hi = col(v), col(lo), col(hi)
@@ -202,13 +214,7 @@ def auto_hist(
     that side is bounded by the variable list.  Columns: variable, by...,
     ix, lo, hi, content.
     """
-    limits = limits or {}
-    r = ranges if ranges is not None else value_range(df, variables)
-    lo, hi = F.col("lo"), F.col("hi")
-    for v, (a, b) in limits.items():
-        lo = F.when(F.col("variable") == v, F.lit(float(a))).otherwise(lo)
-        hi = F.when(F.col("variable") == v, F.lit(float(b))).otherwise(hi)
-    r = r.select("variable", lo.alias("lo"), hi.alias("hi"))
+    r = limited_ranges(df, variables, limits or {}) if ranges is None else ranges
     r = numbered(r, variables)
     long = melt(df, variables, by).join(F.broadcast(r), "v")
     counts = (
@@ -279,9 +285,10 @@ def response(df: DataFrame, reco: Sequence[tuple[Operand, Axis]], gen: Sequence[
 def prior_weights(df: DataFrame, bins: Sequence[str]) -> DataFrame:
     """Add ``weight`` = 1 / number of rows in the same bin (1 for a bin without rows).
 
-    The counts have one row per configured bin; they are joined back by bin number.
+    The counts have one row per configured bin; they are joined back by bin number
+    without a shuffle of the rows.
     """
-    counts = df.groupBy(*bins).agg(F.count("*").cast("double").alias("__n"))
+    counts = small_side(df.groupBy(*bins).agg(F.count("*").cast("double").alias("__n")))
     return df.join(counts, list(bins), "left").withColumn(
         "weight", F.when(F.coalesce("__n", F.lit(0.0)) > 0, F.try_divide(F.lit(1.0), F.col("__n"))).otherwise(1.0)
     ).drop("__n")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bins import overlapping_bins
+from ..session import small_side
 
 
 def join_events(candidates: DataFrame, events: DataFrame, keys: Sequence[str], event_columns: Sequence[str]) -> DataFrame:
@@ -51,9 +52,9 @@ def lookup_content(df: DataFrame, hist: DataFrame, keys: Sequence[str], name: st
     """Content of the histogram bin a row falls into, as column ``name``.
 
     ``keys`` are bin-number columns present on both sides.  The histogram has at
-    most as many rows as configured bins, which the optimizer sees.
+    most as many rows as configured bins; it is broadcast after a check of its size.
     """
-    table = hist.select(*keys, F.col("content").alias(name))
+    table = small_side(hist.select(*keys, F.col("content").alias(name)))
     out = df.join(table, list(keys), "left")
     return out if default is None else out.withColumn(name, F.coalesce(name, F.lit(default)))
 

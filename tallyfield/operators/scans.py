@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import Operand, col
-from .hist import auto_hist, melt, numbered, value_range, variable_names
+from .hist import auto_hist, limited_ranges, melt, numbered, variable_names
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -85,12 +85,7 @@ def cut_scan(
         for v, d in variables.items()
     ])
     names = list(variables)
-    ranges = value_range(shifted, names)
-    lo, hi = F.col("lo"), F.col("hi")
-    for v, (a, b) in (limits or {}).items():
-        lo = F.when(F.col("variable") == v, F.lit(float(a))).otherwise(lo)
-        hi = F.when(F.col("variable") == v, F.lit(float(b))).otherwise(hi)
-    ranges = ranges.select("variable", lo.alias("lo"), hi.alias("hi"))
+    ranges = limited_ranges(shifted, names, limits or {})
     upward = [i for i, d in enumerate(variables.values()) if "lt" in d]
     # one row per variable: a checked size
     ranges = numbered(ranges, names).withColumn("__above", F.col("v").isin(upward))

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -81,3 +82,17 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Side of a join that is expected to be small (one row per bin, per file).
+
+    It is stored and counted first.  Within ``max_rows`` it is broadcast, so the
+    event table on the other side is not shuffled; beyond, it is returned as it is
+    and the optimizer picks a shuffled join, which handles skew.
+    """
+    kept = stored(df, "side")
+    return F.broadcast(kept) if kept.count() <= max_rows else kept

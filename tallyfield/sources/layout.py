@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.bins import first_bin
 
@@ -25,12 +26,12 @@ def write_skimmed(df: DataFrame, path: str, keys: Sequence[str] = ("skim_bin",),
 
     Tasks write their own share of every bin; with ``files_per_bin`` rows are first
     spread over that many tasks per bin, which bounds the number of files without
-    sending a large bin to one task.
+    sending a large bin to one task.  The slot is the input partition, not a random
+    number, so a task that runs again after a lost executor sends the same rows.
     """
     if files_per_bin:
-        from pyspark.sql import functions as F
-
-        df = df.withColumn("__slot", (F.rand(1) * files_per_bin).cast("int")).repartition(*keys, "__slot").drop("__slot")
+        slot = F.spark_partition_id() % files_per_bin
+        df = df.withColumn("__slot", slot).repartition(*keys, "__slot").drop("__slot")
     df.write.mode("overwrite").partitionBy(*keys).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import take_by_hash
+from ..session import small_side
 from .schemas import CURVE, require
 
 
@@ -75,10 +76,10 @@ def sample_files(
 ) -> dict[str, DataFrame]:
     """Keep the same ``floor(n * fraction)`` input files in every table.
 
-    The file list is small next to the tables; the join strategy is left to the
-    optimizer, which sees its real size at run time.
+    The list of kept files is broadcast after a check of its size, so the tables are
+    filtered in place.
     """
-    kept = take_by_hash(files.select(name).distinct(), [name], seed=seed, fraction=fraction)
+    kept = small_side(take_by_hash(files.select(name).distinct(), [name], seed=seed, fraction=fraction))
     return {k: t.join(kept, name, "left_semi") for k, t in tables.items()}
 
 
