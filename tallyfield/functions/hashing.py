@@ -45,8 +45,10 @@ def take_by_hash(
     A global sort would send everything to one final task.  Instead rows are
     counted per digest prefix (65536 counters at most), the prefix in which the
     wanted number is reached is found from the counters, all smaller prefixes
-    are kept as they are and only the rows of the boundary prefix are ranked.
-    ``keys`` must identify a row, so a prefix holds 1/65536 of the table.
+    are kept as they are and only the boundary prefix is looked at row by row.
+    There, equal rows are counted before they travel and written out again
+    afterwards, so a row that exists in very many copies burdens no single task.
+    Rows with equal keys are taken in the order of their other columns.
     """
     if (n is None) == (fraction is None):
         raise ValueError("give n or fraction")
@@ -63,16 +65,31 @@ def take_by_hash(
     )
     running = F.sum("__n").over(total.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     edges = (
-        counts.withColumn("__room", wanted - (running - F.col("__n")))
+        counts.withColumn("__room", wanted.cast("long") - (running - F.col("__n")))
         .where("__room > 0")
         .select("__prefix", "__room", (F.col("__n") > F.col("__room")).alias("__partial"))
     )
     # at most 2**16 rows of a few bytes: a checked size
     joined = marked.join(F.broadcast(edges), "__prefix")
-    ranked = F.row_number().over(Window.partitionBy("__prefix").orderBy("__digest", *keys))
+    order = ["__digest", *keys, *[c for c in df.columns if c not in keys]]
     if n is not None:
-        # little more than n rows are left, so one more shuffle of them beats a further scan
-        return joined.withColumn("__rank", ranked).where("not __partial or __rank <= __room").select(*df.columns)
+        # little more than n rows are left, so one shuffle of them beats a further scan
+        return _first_rows(joined, order).select(*df.columns)
     whole = joined.where(~F.col("__partial"))
-    cut = joined.where("__partial").withColumn("__rank", ranked).where("__rank <= __room")
-    return whole.select(*df.columns).unionByName(cut.select(*df.columns))
+    return whole.select(*df.columns).unionByName(_first_rows(joined.where("__partial"), order).select(*df.columns))
+
+
+COPIES_PER_TASK = 100_000
+
+
+def _first_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The first ``__room`` rows of each ``__prefix``; copies of a row travel as a count."""
+    counted = rows.groupBy("__prefix", "__room", *order).agg(F.count("*").alias("__c"))
+    before = F.sum("__c").over(Window.partitionBy("__prefix").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    take = F.least(F.col("__c"), F.col("__room") - F.coalesce(before, F.lit(0)))
+    kept = counted.withColumn("__take", take).where("__take > 0")
+    single = kept.where("__take = 1")
+    chunks = kept.where("__take > 1").withColumn("__chunk", F.explode(F.expr(f"sequence(0, (__take - 1) div {COPIES_PER_TASK})")))
+    size = F.least(F.lit(COPIES_PER_TASK), F.col("__take") - F.col("__chunk") * COPIES_PER_TASK)
+    copies = chunks.repartition("__digest", "__chunk").withColumn("__i", F.explode(F.sequence(F.lit(1), size.cast("int"))))
+    return single.select(*order).unionByName(copies.select(*order))

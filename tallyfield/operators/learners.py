@@ -141,12 +141,13 @@ def shuffled_column(df: DataFrame, column: str, keys: Sequence[str], seed: int,
     """Permute one column among randomly formed groups of about ``group_rows`` rows.
 
     Inside a group every row takes the value of the next row in hash order, the last
-    one that of the first.  Groups come from the key hash, so their size stays
-    bounded however large the table is.
+    one that of the first.  Groups come from the key hash and the input partition, so
+    their size stays bounded however large the table is and however often a key occurs.
     """
     n = df.count()
     groups = max(1, n // group_rows)
-    tagged = df.withColumn("__g", key_number(keys, seed) % groups).withColumn("__h", key_digest(keys, f"{seed}/{column}"))
+    place = key_number(keys, seed) + F.spark_partition_id() * 7919
+    tagged = df.withColumn("__g", place % groups).withColumn("__h", key_digest(keys, f"{seed}/{column}"))
     w = Window.partitionBy("__g").orderBy("__h")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     value = F.coalesce(F.lead(column).over(w), F.first(column).over(whole))

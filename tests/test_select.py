@@ -174,3 +174,21 @@ def test_curve_with_blanks(spark, tmp_path):
     p = tmp_path / "c.csv"
     p.write_text("pt, central, min, max\n 0.5, 1.5, 1.0, 2.0\n 1.0, 2.5, 2.0, 3.0\n")
     assert rows(scan.read_curve(spark, str(p))) == [(0.5, 1.5, 1.0, 2.0), (1.0, 2.5, 2.0, 3.0)]
+
+
+@pytest.mark.parametrize("n", [3, 250, 299, 500])
+def test_take_by_hash_with_a_hot_copy(spark, n):
+    """A third of the rows are copies of one row; the count stays exact and nothing is ranked row by row."""
+    from tallyfield.functions import hashing
+
+    df = spark.range(300).select(F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("k"))
+    digest = F.md5(F.concat_ws("|", F.lit("1"), F.col("k").cast("string")))
+    want = sorted(r.k for r in df.orderBy(digest, "k").limit(n).collect())
+    old, hashing.COPIES_PER_TASK = hashing.COPIES_PER_TASK, 30
+    try:
+        assert want == sorted(r.k for r in take_by_hash(df, ["k"], 1, n=n).collect())
+        if n == 250:
+            got = sorted(r.k for r in take_by_hash(df, ["k"], 1, fraction=n / 300).collect())
+            assert got == want
+    finally:
+        hashing.COPIES_PER_TASK = old
