@@ -189,28 +189,21 @@ def working_point_limits(
         pos = F.when(F.col(bin_col) == b, Edges(tuple(sorted(values))).index(s, strict=True)).otherwise(pos)
     pos = F.when(F.isnan(s), F.lit(0)).otherwise(pos)
     counts = df.where(denominator & F.col(bin_col).isin(list(cuts))).groupBy(bin_col, pos.alias("__pos")).agg(F.count("*").alias("__c"))
-    per_bin = counts.groupBy(bin_col).agg(F.map_from_entries(F.collect_list(F.struct("__pos", "__c"))).alias("__m"))
-
-    def passed(k: int) -> Column:
-        """Rows above the k-th cut of the list; its rank among the sorted cuts depends on the bin."""
-        rank = F.lit(None).cast("int")
-        for b, values in cuts.items():
-            rank = F.when(F.col(bin_col) == b, F.lit(sorted(values).index(values[k]) + 1)).otherwise(rank)
-        total = F.aggregate(F.map_entries("__m"), F.lit(0).cast("long"), lambda a, e: a + F.when(e["key"] >= rank, e["value"]).otherwise(F.lit(0)))
-        return total
-
-    n_cuts = 2 * n_steps + 1
-    table = per_bin.select(bin_col, F.array(*[passed(k) for k in range(n_cuts)]).alias("__n"))
-    nominal = F.col("__n")[n_steps]
-
-    def first_hit(first: int) -> Column:
-        hits = []
-        for k in range(first, first + n_steps):
-            change = F.abs(F.try_divide(F.col("__n")[k] - nominal, nominal))
-            hits.append(F.when(change < max_change, chosen_by_bin(bin_col, {b: v[k] for b, v in cuts.items()})))
-        return F.coalesce(*hits)
-
-    return table.select(bin_col, first_hit(0).alias("min_cut"), first_hit(n_steps + 1).alias("max_cut"))
+    per_bin = counts.groupBy(bin_col).agg(F.collect_list(F.struct("__pos", "__c")).alias("__l"))  # at most 2n + 2 positions
+    side = lambda k: "lo" if k < n_steps else "nominal" if k == n_steps else "hi"
+    rows = [(b, side(k), k, float(c), sorted(v).index(c) + 1) for b, v in cuts.items() for k, c in enumerate(v)]
+    steps = df.sparkSession.createDataFrame(rows, "__b int, __side string, __step int, __cut double, __rank int")
+    above = F.aggregate("__l", F.lit(0).cast("long"), lambda a, e: a + F.when(e["__pos"] >= F.col("__rank"), e["__c"]).otherwise(F.lit(0)))
+    tried = per_bin.join(steps, F.col(bin_col) == F.col("__b")).select(bin_col, "__side", "__step", "__cut", above.alias("__n"))
+    nominal = F.max(F.when(F.col("__side") == "nominal", F.col("__n"))).over(Window.partitionBy(bin_col))
+    near = F.coalesce(F.abs(F.try_divide(F.col("__n") - F.col("__nom"), F.col("__nom"))) < max_change, F.lit(False))
+    scored = tried.withColumn("__nom", nominal).withColumn("__ok", near)
+
+    def first_hit(which: str) -> Column:
+        hit = F.col("__ok") & (F.col("__side") == which)
+        return F.min(F.when(hit, F.struct("__step", "__cut")))["__cut"]
+
+    return scored.groupBy(bin_col).agg(first_hit("lo").alias("min_cut"), first_hit("hi").alias("max_cut"))
 
 
 def working_point_grid(limits: DataFrame, bin_col: str, centre: Mapping[int, float], n: int) -> DataFrame:

@@ -76,6 +76,12 @@ def polynomial_fit(
     Scaling x keeps the power sums well conditioned.  Null coefficients when
     there are no more points than the order, or the system is singular.
     """
+    sums = _power_sums(points, by, order, x, y, weight, centre, half_width, keep)
+    return sums.select(*by, *[c.alias(f"c{i}") for i, c in enumerate(_coefficients(order))], "n_points")
+
+
+def _power_sums(points, by, order, x, y, weight, centre, half_width, keep) -> DataFrame:
+    """(by..., n_points, __s0..__s2k, __t0..__tk) in one aggregation."""
     t = (col(x) - centre) / half_width
     v = points.select(*by, t.alias("__t"), col(y).alias("__y"), col(weight).alias("__w"), (keep if keep is not None else F.lit(True)).alias("__k"))
     v = v.where("__k and __w is not null and __y is not null")
@@ -83,14 +89,17 @@ def polynomial_fit(
     for _ in range(2 * order):
         power.append(power[-1] * F.col("__t"))
     w, yv = F.col("__w"), F.col("__y")
-    s = v.groupBy(*by).agg(
+    return v.groupBy(*by).agg(
         F.count("*").alias("n_points"),
         *[F.sum(w * p).alias(f"__s{i}") for i, p in enumerate(power)],
         *[F.sum(w * yv * p).alias(f"__t{i}") for i, p in enumerate(power[: order + 1])],
     )
+
+
+def _coefficients(order: int) -> list[Column]:
+    """Solution for one order; power sums of a higher order contain those of the lower ones."""
     coeff = solve([F.col(f"__s{i}") for i in range(2 * order + 1)], [F.col(f"__t{i}") for i in range(order + 1)])
-    enough = F.col("n_points") > order
-    return s.select(*by, *[F.when(enough, c).alias(f"c{i}") for i, c in enumerate(coeff)], "n_points")
+    return [F.when(F.col("n_points") > order, c) for c in coeff]
 
 
 def sideband_fit(hist: DataFrame, by: Sequence[str], axis: Uniform, order: int, lo: Operand, hi: Operand) -> DataFrame:
@@ -193,7 +202,7 @@ def multi_trial(
     A trial holds ``rebin``, ``lo``, ``hi`` (fit range), ``order`` (1 or 2),
     ``window`` (count window in sigma) and ``width`` (factor on sigma, 1 for the
     nominal width).  Trials multiply bins, never rows: all fits are one
-    aggregation over (group, trial), for both orders at once.
+    aggregation over (group, trial), whose power sums serve both orders.
     """
     grid = F.array(*[
         F.struct(
@@ -202,7 +211,6 @@ def multi_trial(
             F.lit(float(t["window"])).alias("window"), F.lit(float(t.get("width", 1.0))).alias("width"))
         for i, t in enumerate(trials)
     ])
-    keys = [*by, "trial", "rebin", "fit_lo", "fit_hi", "order", "window", "width"]
     fine = hist.where(F.col("ix").between(1, axis.n)).select(*by, "ix", "content", "sumw2", F.explode(grid).alias("t"))
     bins = rebin_by(fine.select(*by, "t.*", "ix", "content", "sumw2"), "rebin").join(peaks, list(by))
     x = F.lit(axis.lo) + (F.col("ix") - 0.5) * F.col("rebin") * axis.width
@@ -212,15 +220,11 @@ def multi_trial(
     used = away & F.col("x").between(F.col("fit_lo"), F.col("fit_hi")) & (F.col("__v") > 0)
     centre, half = (axis.lo + axis.hi) / 2, (axis.hi - axis.lo) / 2
     weight = F.try_divide(F.lit(1.0), F.col("__v"))
-    lin = polynomial_fit(bins, keys, 1, "x", "__y", weight, centre, half, used).withColumnsRenamed({"c0": "l0", "c1": "l1"}).withColumn("__lin", F.struct("l0", "l1", F.lit(0.0).alias("l2"), "n_points"))
-    quad = polynomial_fit(bins, keys, 2, "x", "__y", weight, centre, half, used)
-    fits = lin.select(*by, "trial", "order", "__lin").join(
-        quad.select(*by, "trial", F.struct("c0", "c1", "c2", "n_points").alias("__quad")), [*by, "trial"])
-    first = F.col("order") == 1
-    fits = fits.select(
-        *by, "trial",
-        *[F.when(first, F.col(f"__lin.l{k}")).otherwise(F.col(f"__quad.c{k}")).alias(f"c{k}") for k in range(3)],
-        F.col("__lin.n_points").alias("n_points"), (F.col("order") + 1).alias("n_par"))
+    sums = _power_sums(bins, [*by, "trial", "order"], 2, "x", "__y", weight, centre, half, used)
+    line, parabola, first = _coefficients(1) + [F.lit(0.0)], _coefficients(2), F.col("order") == 1
+    fits = sums.select(
+        *by, "trial", *[F.when(first, a).otherwise(b).alias(f"c{k}") for k, (a, b) in enumerate(zip(line, parabola))],
+        "n_points", (F.col("order") + 1).alias("n_par"))
     scored = bins.join(fits, [*by, "trial"])
     model = curve("x", ["c0", "c1", "c2"], axis)
     near = F.abs(F.col("x") - F.col("mean")) <= F.col("window") * sigma
