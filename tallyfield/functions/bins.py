@@ -77,6 +77,17 @@ class Edges:
         The tree needs log2(n) comparisons per row and stays inside generated
         code, unlike a lambda over an edge array.
         """
+        if isinstance(x, str):
+            # as text: one call to the JVM instead of several per comparison
+            name, op = f"cast(`{x}` as double)", "<=" if strict else "<"
+
+            def text(lo: int, hi: int) -> str:
+                if lo == hi:
+                    return str(lo)
+                mid = (lo + hi) // 2
+                return f"case when {name} {op} {self.values[mid]!r}D then {text(lo, mid)} else {text(mid + 1, hi)} end"
+
+            return F.expr(f"cast(case when `{x}` is not null then {text(0, len(self.values))} end as int)")
         x = col(x).cast("double")
 
         def tree(lo: int, hi: int) -> Column:

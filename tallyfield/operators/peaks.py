@@ -37,25 +37,24 @@ def clipped_moments(
     return df.groupBy(*by).agg(F.max(f"__m{last}").alias("mean"), F.max(f"__s{last}").alias("sigma"))
 
 
-def determinant(m: Sequence[Sequence[Column]]) -> Column:
-    """Laplace expansion; matrices here are at most 4 x 4."""
+def determinant(m: Sequence[Sequence[str]]) -> str:
+    """Laplace expansion over column names; matrices here are at most 4 x 4."""
     if len(m) == 1:
         return m[0][0]
-    out = None
+    terms = []
     for j, head in enumerate(m[0]):
-        term = head * determinant([[*r[:j], *r[j + 1:]] for r in m[1:]])
-        term = term if j % 2 == 0 else -term
-        out = term if out is None else out + term
-    return out
+        minor = determinant([[*r[:j], *r[j + 1:]] for r in m[1:]])
+        terms.append(f"{'+' if j % 2 == 0 else '-'} {head} * {minor}")
+    return "(" + " ".join(terms).lstrip("+ ") + ")"
 
 
-def solve(sums: Sequence[Column], rhs: Sequence[Column]) -> list[Column]:
-    """Least-squares coefficients from power sums S_0..S_2k and right-hand sides T_0..T_k; null if singular."""
+def solve(sums: Sequence[str], rhs: Sequence[str]) -> list[Column]:
+    """Least-squares coefficients from the columns of power sums S_0..S_2k and right-hand sides T_0..T_k; null if singular."""
     k = len(rhs)
     m = [[sums[i + j] for j in range(k)] for i in range(k)]
     det = determinant(m)
     return [
-        F.try_divide(determinant([[rhs[r] if c == p else m[r][c] for c in range(k)] for r in range(k)]), det)
+        F.expr(f"try_divide({determinant([[rhs[r] if c == p else m[r][c] for c in range(k)] for r in range(k)])}, {det})")
         for p in range(k)
     ]
 
@@ -98,7 +97,7 @@ def _power_sums(points, by, order, x, y, weight, centre, half_width, keep) -> Da
 
 def _coefficients(order: int) -> list[Column]:
     """Solution for one order; power sums of a higher order contain those of the lower ones."""
-    coeff = solve([F.col(f"__s{i}") for i in range(2 * order + 1)], [F.col(f"__t{i}") for i in range(order + 1)])
+    coeff = solve([f"__s{i}" for i in range(2 * order + 1)], [f"__t{i}" for i in range(order + 1)])
     return [F.when(F.col("n_points") > order, c) for c in coeff]
 
 
@@ -204,13 +203,10 @@ def multi_trial(
     nominal width).  Trials multiply bins, never rows: all fits are one
     aggregation over (group, trial), whose power sums serve both orders.
     """
-    grid = F.array(*[
-        F.struct(
-            F.lit(i).alias("trial"), F.lit(int(t["rebin"])).alias("rebin"), F.lit(float(t["lo"])).alias("fit_lo"),
-            F.lit(float(t["hi"])).alias("fit_hi"), F.lit(int(t["order"])).alias("order"),
-            F.lit(float(t["window"])).alias("window"), F.lit(float(t.get("width", 1.0))).alias("width"))
-        for i, t in enumerate(trials)
-    ])
+    grid = F.expr("array(" + ", ".join(
+        f"named_struct('trial', {i}, 'rebin', {int(t['rebin'])}, 'fit_lo', {float(t['lo'])!r}D, 'fit_hi', {float(t['hi'])!r}D, "
+        f"'order', {int(t['order'])}, 'window', {float(t['window'])!r}D, 'width', {float(t.get('width', 1.0))!r}D)"
+        for i, t in enumerate(trials)) + ")")
     fine = hist.where(F.col("ix").between(1, axis.n)).select(*by, "ix", "content", "sumw2", F.explode(grid).alias("t"))
     bins = rebin_by(fine.select(*by, "t.*", "ix", "content", "sumw2"), "rebin").join(peaks, list(by))
     x = F.lit(axis.lo) + (F.col("ix") - 0.5) * F.col("rebin") * axis.width

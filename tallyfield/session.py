@@ -35,6 +35,8 @@ def local_session(cpus: str = "8", shuffle_partitions: int = 8, memory: str = "1
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # no call-site capture per column expression: it costs several round trips to the JVM each
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
