@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import Axis, Uniform
 from ..functions.predicates import Operand, col
-from .algebra import add, clip_negative, divide, fold, multiply, ratio, ratio_variance, scale, scale_by
+from .algebra import add, clip_negative, divide, fold, ratio, ratio_variance, scale, scale_by
 from .hist import normalise, project
-from .joins import align, align_many
+from .joins import align
 from .peaks import curve_integral
 
 

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import Edges, Uniform
-from ..functions.predicates import Operand, chosen_by_bin, col, ge
+from ..functions.predicates import Operand, chosen_by_bin, col
 from .algebra import efficiency
 from .hist import fill, project
-from .peaks import background_under_peak, curve_integral, polynomial_fit, significance
+from .peaks import curve_integral, polynomial_fit, significance
 
 
 def _score_counts(scored: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:

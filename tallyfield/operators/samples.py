@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import in_fraction, key_number, take_by_hash
-from ..functions.predicates import Operand, col, gt, half_open, select_rows
+from ..functions.hashing import in_fraction, take_by_hash
+from ..functions.predicates import col, gt, select_rows
 from ..sources.scan import select_runs
 
 

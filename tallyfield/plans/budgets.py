@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import budgets, hist
+from ..operators import budgets
 from .registry import PT, query, rounded, sql_bin
 from .selections import items
 from .spectra import N

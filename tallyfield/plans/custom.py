@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.predicates import select_rows
 from ..operators import hist, variations
-from .registry import PT, query, rounded, sql_bin, table
+from .registry import PT, query, sql_bin
 from .selections import items
 from .spectra import N
 

@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform
-from ..functions.hashing import in_fraction
 from ..operators import evaluate, hist, learners, samples
 from ..session import fresh_path, stored
 from .peaks import fit_sql
-from .registry import PT_HIGH, PT_LOW, query, rounded, sql_bin, table
+from .registry import query, rounded, sql_bin, table
 from .selections import KEY, KEY_SQL, prob, PROB_SQL, items
 from .spectra import IPT_SQL, N, with_ipt
 

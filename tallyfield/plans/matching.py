@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.bins import Uniform, first_bin, inside
-from ..functions.predicates import closed
+from ..functions.bins import Uniform, first_bin
 from ..operators import hist, joins
-from .registry import (MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin,
-                       sql_values, table)
+from .registry import MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, query, sql_bin, sql_first_bin, sql_values, table
 from .selections import KEY, KEY_SQL, items
 
 MULT = Uniform(10, 0.0, 500000.0)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import bits
 from ..functions import predicates as P
 from ..functions.bins import first_bin
-from ..operators import hist, samples
+from ..operators import samples
 from ..sources import scan
-from .registry import PT_HIGH, PT_LOW, query, rounded, sql_first_bin, table
+from .registry import PT_HIGH, PT_LOW, query, sql_first_bin, table
 
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 KEY_SQL = ", ".join(KEY)

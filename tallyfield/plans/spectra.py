@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import bits
-from ..functions.bins import Edges, Uniform, by_width, first_bin, inside
-from ..functions.predicates import select_rows
+from ..functions.bins import Edges, Uniform, by_width, first_bin
 from ..operators import hist, joins, scans
 from .matching import BINS2_SQL, MULT, orders
 from .registry import (MASS, MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin,

@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from tallyfield.functions.bins import Uniform
 from tallyfield.operators import evaluate, learners, variations
 from tallyfield.session import fresh_path

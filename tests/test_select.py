@@ -1,6 +1,5 @@
 """Edge-case rows of the predicates and derived columns."""
 
-import math
 
 import pytest
 from pyspark.sql import functions as F
