@@ -46,6 +46,7 @@ from ..session import fresh_path
 from .common import slices, text_array
 
 BLOCK_BYTES = 32 << 20
+ROWS = 500  # documents of a block that are put together at once
 MAX_VOCABULARY = 1 << 22  # bound on the token-byte table that is broadcast
 
 
@@ -255,13 +256,15 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, out: str = "ids") ->
         flat = np.concatenate([np.zeros(0, np.int64), *(unpack(x) for x in right.column("__ids").to_pylist())]).astype(np.int32)
         size[number] = np.concatenate([np.zeros(0, np.int64), *sizes])
         start[number] = np.cumsum(size[number]) - size[number]
-        lists = []
-        for packed in left.column("__codes").to_pylist():
-            codes = unpack(packed)
-            lists.append(flat[gather(start[codes], size[codes])])
-        ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
-        return pa.Table.from_arrays([*(left.column(f.name).combine_chunks().cast(a.type) for f, a in zip(fields, arrow)), ids], schema=arrow)
+        made = []
+        for at in range(0, max(1, left.num_rows), ROWS):  # small chunks: no second copy of the whole block
+            part = left.slice(at, ROWS)
+            lists = [flat[gather(start[c], size[c])] for c in map(unpack, part.column("__codes").to_pylist())]
+            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
+            kept = [part.column(f.name).combine_chunks().cast(a.type) for f, a in zip(fields, arrow)]
+            made.append(pa.Table.from_arrays([*kept, ids], schema=arrow))
+        return pa.concat_tables(made)
 
     return texts.groupBy("__block").cogroup(ids.groupBy("__block")).applyInArrow(join, schema)
 

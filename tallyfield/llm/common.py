@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stored, tune
+from ..session import fresh_path, small_side, stored, tune
 
-__all__ = ["table", "stored", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower"]
+__all__ = ["table", "stored", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = np.zeros(256, bool)
@@ -23,6 +23,8 @@ SLICE_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # texts are long: fewer rows in one Arrow batch keep the memory of a Python worker low
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
