@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, rules
+from . import bpe, jaccard, quality, rules
 from .common import held_out, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,6 +35,28 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op4_jaccard_join", """
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * i >= 75 * (a.n + b.n - i)),
+e AS MATERIALIZED (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (
+  WITH RECURSIVE t(doc_id, root) AS (
+    SELECT x, x FROM e UNION SELECT e.y, t.root FROM t JOIN e ON e.x = t.doc_id)
+  SELECT doc_id, min(root) AS root FROM t GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id)""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_neighbour_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
