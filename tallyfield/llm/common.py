@@ -119,3 +119,30 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataF
     ids = stored(drawn[0].unionByName(drawn[1]), "sampled-ids")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return stored(texts.join(F.broadcast(ids.select("doc_id", "label")), "doc_id").select("text", "label"), "sample")
+
+
+def word_starts(data: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    inside = ~SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = offset[(offset > 0) & (offset < len(data))]
+    first[edges] = inside[edges]
+    return first
+
+
+def word_counts(texts: pa.Array) -> np.ndarray:
+    """Words of every text of a slice."""
+    offset = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if offset[-1] == offset[0]:
+        return np.zeros(len(texts), np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offset[0] : offset[-1]]
+    offset = offset - offset[0]
+    sums = np.concatenate([[0], np.cumsum(word_starts(data, offset))])
+    return sums[offset[1:]] - sums[offset[:-1]]
+
+
+def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """First and last-plus-one byte of every word."""
+    inside = np.concatenate([[False], ~SPACE[np.frombuffer(text.encode(), np.uint8)], [False]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    return edges[::2], edges[1::2]

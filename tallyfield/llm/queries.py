@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, quality, rules
+from . import bpe, jaccard, linededup, mixing, quality, rules
 from .common import held_out, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,6 +35,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_source_mixing")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
+
+
 @query("op4_jaccard_join", """
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
@@ -69,3 +74,32 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     judged = rules.verdicts(docs, rules.fit(docs, labels))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "ratio")
+
+
+LINES = """
+WITH l AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+h AS (
+  SELECT doc_id, text, lines, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h,
+    list_transform(lines, lambda x: len(string_split(x, ' ')) >= 50) AS g FROM l),
+a AS (
+  SELECT doc_id, text, lines, g, list_filter(range(1, len(lines) + 1), lambda i: i = 1 OR (h[i - 1] * 31 + h[i]) % 3 = 0 OR g[i - 1] OR g[i]) AS a FROM h),
+c AS (
+  SELECT doc_id, k - 1 AS pos, array_to_string(lines[a[k]:coalesce(a[k + 1], len(lines) + 1) - 1], chr(10)) AS chunk,
+    coalesce(a[k + 1], len(lines) + 1) - a[k] > 1 OR g[a[k]] AS whole
+  FROM a, unnest(range(1, len(a) + 1)) AS u(k)),
+w AS (
+  SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) AS nth FROM c
+  WHERE whole AND length(trim(translate(chunk, chr(10) || chr(9) || chr(13), '   '))) > 0),
+d AS (SELECT doc_id, pos FROM w WHERE nth > 1),
+r AS (
+  SELECT c.doc_id, string_agg(CASE WHEN d.pos IS NULL THEN chunk END, chr(10) ORDER BY c.pos) AS text, count(d.pos) AS removed
+  FROM c LEFT JOIN d ON c.doc_id = d.doc_id AND c.pos = d.pos GROUP BY c.doc_id)
+SELECT o.doc_id, CASE WHEN o.text IS NULL THEN NULL ELSE coalesce(r.text, '') END AS text, coalesce(r.removed, 0) AS removed
+FROM documents o LEFT JOIN r ON o.doc_id = r.doc_id"""
+
+
+@query("op10_line_chunks", LINES)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_lines(docs)
