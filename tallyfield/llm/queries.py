@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, linededup, mixing, quality, rules
+from . import bpe, imatch, jaccard, linededup, mixing, quality, rules
 from .common import held_out, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -103,3 +103,40 @@ FROM documents o LEFT JOIN r ON o.doc_id = r.doc_id"""
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.dedup_lines(docs)
+
+
+IMATCH = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT *, length(text) AS n, coalesce(lead(text) OVER (ORDER BY doc_id, text), first_value(text) OVER (ORDER BY doc_id, text)) AS nx FROM d),
+e AS (SELECT doc_id, text, n, nx, substr(text, 1, n - n // 2) || substr(nx, 1, n // 2) AS ed FROM t),
+f AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+')) AS w FROM d) GROUP BY w),
+x AS (SELECT list(w) AS ws FROM f WHERE w <> '' AND df BETWEEN 0.005 * (SELECT count(*) FROM d) AND 0.2 * (SELECT count(*) FROM d)),
+k AS (SELECT text, list_transform(list_sort(list_intersect(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), coalesce(ws, []))), lambda w: md5(w) || w) AS found
+  FROM (SELECT text FROM e UNION SELECT nx FROM e UNION SELECT ed FROM e) u, x),
+g AS (SELECT text, CASE WHEN len(found) > 0
+    THEN list_transform(range(1, 33), lambda i: substr(md5(coalesce(array_to_string(list_filter(found, lambda w: substr(w, i, 1) IN ('0', '1')), ' '), '')), 1, 8))
+    ELSE list_transform(range(1, 33), lambda i: substr(md5(i::VARCHAR || md5('text ' || text)), 1, 8)) END AS fp FROM k),
+j AS (SELECT e.*, a.fp AS a, b.fp AS b, c.fp AS c FROM e JOIN g a ON a.text = e.text JOIN g b ON b.text = e.ed JOIN g c ON c.text = e.nx)
+SELECT doc_id, n AS n_chars, sha256(ed) AS edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(b, '') AS edited_fingerprint,
+  CASE WHEN a = b THEN 1.0 ELSE len(list_filter(range(1, 33), lambda i: a[i] = b[i] AND a[i] <> 'd41d8cd9'))::DOUBLE / len(list_filter(range(1, 33), lambda i: a[i] <> 'd41d8cd9' OR b[i] <> 'd41d8cd9')) END AS near_edited,
+  CASE WHEN a = c THEN 1.0 ELSE len(list_filter(range(1, 33), lambda i: a[i] = c[i] AND a[i] <> 'd41d8cd9'))::DOUBLE / len(list_filter(range(1, 33), lambda i: a[i] <> 'd41d8cd9' OR c[i] <> 'd41d8cd9')) END AS near_next
+FROM j"""
+
+
+@query("op5_lexicon_fingerprints", IMATCH)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = imatch.lexicon(texts)
+    marked = imatch.fingerprint(texts, known, out="marks")
+    both = imatch.with_next(marked, "doc_id", "text", ["text", "marks"], 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    changed = both.withColumn("changed", imatch.edited(F.col("text"), F.col("next.text")))
+    full = imatch.fingerprint(changed, known, "changed", "changed_marks")
+    return full.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("changed").cast("binary"), 256).alias("edited_sha256"),
+        F.array_join("marks", "").alias("fingerprint"),
+        F.array_join("changed_marks", "").alias("edited_fingerprint"),
+        imatch.likeness(F.col("marks"), F.col("changed_marks")).alias("near_edited"),
+        imatch.likeness(F.col("marks"), F.col("next.marks")).alias("near_next"),
+    )
