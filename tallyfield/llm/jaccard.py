@@ -39,6 +39,7 @@ from .common import mix, slices, small_side, stored, text_array, words_of
 
 WIDTH = 5
 COMMON = 16  # a shingle counted so often comes last in the order
+FEW = 16  # members that meet pair by pair
 LARGE = 256  # regions above are divided further, never compared pair by pair
 CHUNK = 8_000_000  # shingles a task counts at once
 MAX_COMMON = 1 << 20  # bound on the common shingles that are broadcast
@@ -298,37 +299,39 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 LINKED = "100 * shared >= 75 * joint"
 
 
-def divide(regions: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links inside regions (region, sig) of common shingles, by document pivots."""
-    links = None
-    state = stored(regions.withColumn("open", F.lit(True)), "regions")
-    turn = 0
+def divide(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """(sig, root) of all linked nodes, after the regions (region, sig) of common shingles are joined too.
+
+    A pair counts only if its ends are in different components so far; a region within
+    one component is done.  Each turn compares one pivot of every other region with
+    the rest of it and takes it out.
+    """
+    state, turn = regions, 0
     while True:
-        counts = state.groupBy("region").agg(F.count("*").alias("size"), F.sum(F.col("open").cast("int")).alias("opened"))
-        counts = stored(counts.where("size > 1 and opened > 0"), "region-sizes")
-        if not counts.limit(1).count():
-            return links
-        state = state.join(counts.select("region", "size"), "region")
-        # few members: every open one meets every other
-        few = state.where(F.col("size") <= 16)
-        one, two = few.select("region", F.col("sig").alias("a"), F.col("open").alias("a_open")), few.select("region", F.col("sig").alias("b"), F.col("open").alias("b_open"))
-        pairs = one.join(two, "region").where("a < b and (a_open or b_open)").select("a", "b").distinct()
-        found = distances(pairs, sets).where(LINKED).select("a", "b")
-        # many: one open member of the region becomes the pivot, the same one in overlapping regions
-        many = state.where(F.col("size") > 16)
-        rank = F.struct(F.xxhash64("sig", F.lit(turn)), "sig")
-        pivots = many.where("open").groupBy("region").agg(F.min(rank).alias("best")).select("region", F.col("best.sig").alias("pivot"))
-        placed = many.join(pivots, "region").where("sig != pivot")
-        probes = placed.select(F.col("sig").alias("a"), F.col("pivot").alias("b")).distinct()
-        measured = stored(distances(probes, sets), "distances")
-        found = stored(found.unionByName(measured.where(LINKED).select("a", "b")), "links")
-        links = found if links is None else links.unionByName(found)
-        far = measured.withColumn("d", 1 - F.col("shared") / F.col("joint")).select(F.col("a").alias("sig"), F.col("b").alias("pivot"), "d", F.expr(LINKED).alias("linked"))
-        placed = placed.join(far, ["sig", "pivot"])
-        edge = placed.where("open and not linked").groupBy("region").agg(F.min("d").alias("edge"))
-        # triangle window: of the ball, and of earlier balls, only what may reach an open member
-        kept = placed.join(edge, "region").where("(open and not linked) or d >= edge - 0.2500001")
-        state = stored(kept.select("region", "sig", (F.col("open") & ~F.col("linked")).alias("open")), "regions")
+        links = stored(links, "links")
+        roots = components(links)
+        named = state.join(roots, "sig", "left").withColumn("comp", F.coalesce("root", "sig"))
+        mixed = named.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
+        live = stored(named.join(mixed.select("region", "size"), "region").select("region", "sig", "comp", "size"), "regions")
+        if live.isEmpty():
+            return roots
+        # few members: every one meets those of other components
+        few = live.where(F.col("size") <= FEW)
+        one, two = few.selectExpr("region", "sig a", "comp ca"), few.selectExpr("region", "sig b", "comp cb")
+        pairs = one.join(two, "region").where("a < b and ca != cb").select("a", "b")
+        # many: a member becomes the pivot, mostly the same one in overlapping regions
+        many = live.where(F.col("size") > FEW)
+        best = many.groupBy("region").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)), "sig", "comp")).alias("best"))
+        placed = many.join(best.selectExpr("region", "best.sig pivot", "best.comp pivot_comp"), "region").where("sig != pivot")
+        probes = placed.where("comp != pivot_comp").selectExpr("sig a", "pivot b")
+        measured = stored(distances(pairs.unionByName(probes).distinct(), sets), "distances")
+        links = links.unionByName(measured.where(LINKED).select("a", "b"))
+        far = measured.selectExpr("a sig", "b pivot", "1 - shared / joint d", f"{LINKED} linked")
+        placed = placed.join(far, ["sig", "pivot"], "left").withColumn("out", F.expr("d is not null and not linked"))
+        edge = placed.where("out").groupBy("region").agg(F.min("d").alias("edge"))
+        # triangle window: of the ball, only what may reach a member outside it
+        kept = placed.join(edge, "region").where("out or d is null or d >= edge - 0.2500001")
+        state = stored(kept.select("region", "sig"), "regions")
         turn += 1
 
 
@@ -337,7 +340,7 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
     edges = stored(both.distinct(), "edges")
     labels = stored(edges.select(F.col("u").alias("sig"), F.col("u").alias("root")).distinct(), "labels")
-    while edges.limit(1).count():
+    while not edges.isEmpty():
         to = stored(edges.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("to")), "parents")
         back = to.select(F.col("u").alias("root"), "to")
         labels = stored(labels.join(back, "root", "left").select("sig", F.coalesce("to", "root").alias("root")), "labels")
@@ -366,8 +369,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).unionByName(regions.select("sig")).distinct()
     sets = sets_of(docs, members, wanted)
     links = distances(pairs, sets).where(LINKED).select("a", "b")
-    inside = divide(regions, sets)
-    roots = components(links if inside is None else links.unionByName(inside))
+    roots = divide(regions, sets, links)
     least = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
     rooted = least.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
