@@ -39,7 +39,7 @@ from .common import mix, slices, small_side, stored, text_array, words_of
 
 WIDTH = 5
 COMMON = 16  # a shingle counted so often comes last in the order
-FEW = 16  # members that meet pair by pair
+FEW = 32  # members that meet pair by pair
 LARGE = 256  # regions above are divided further, never compared pair by pair
 CHUNK = 8_000_000  # shingles a task counts at once
 MAX_COMMON = 1 << 20  # bound on the common shingles that are broadcast
@@ -124,7 +124,7 @@ def survey(docs: DataFrame) -> DataFrame:
 
 
 def common_shingles(rows: DataFrame) -> np.ndarray:
-    """The shingles that come last in the order, sorted; at most MAX_COMMON, the most frequent ones.
+    """The shingles that come last in the order, rarer ones first; at most MAX_COMMON, the most frequent ones.
 
     A shingle that no task meets three times is in at most two sets of each counted
     chunk, which bounds the regions of all others.  The choice only sets the order; the result
@@ -137,10 +137,12 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
     while power > 0 and total + kept.get(power - 1, 0) <= MAX_COMMON:
         power -= 1
         total += kept.get(power, 0)
-    return np.sort(counts.where(F.floor(F.log2("held")) >= power).select("shingle").toArrow().column(0).to_numpy().view(np.uint64))
+    rows = counts.where(F.floor(F.log2("held")) >= power).orderBy("held", "shingle").select("shingle").toArrow()
+    return rows.column(0).to_numpy().view(np.uint64)
 
 
 def is_in(s: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of s are in the sorted array."""
     if not len(known):
         return np.zeros(len(s), bool)
     return known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s
@@ -151,10 +153,11 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
 
     info holds the size, how many of its pivots are common ones, and whether this one is.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(common)
+    order = np.argsort(common)
+    shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
+        seen, (known, rank) = set(), shared.value
         for batch in batches:
             texts = text_array(batch.column(0))
             for lo, hi in slices(texts):
@@ -165,9 +168,10 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
                         continue
                     seen.add(name)
                     k = prefix_size(n)
-                    late = is_in(s, shared.value)
+                    late = is_in(s, known)
                     first = s[~late][:k]
-                    rest = s[late][: k - len(first)]
+                    rest = s[late] if len(first) < k else s[:0]
+                    rest = rest[np.argsort(rank[np.searchsorted(known, rest)])][: k - len(first)]
                     shingle += [first, rest]
                     sig.append(np.full(k, name))
                     info.append((np.int64(n) << 31 | np.int64(len(rest)) << 1) + (np.arange(k) >= len(first)))
@@ -303,13 +307,14 @@ def divide(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """(sig, root) of all linked nodes, after the regions (region, sig) of common shingles are joined too.
 
     A pair counts only if its ends are in different components so far; a region within
-    one component is done.  Each turn compares one pivot of every other region with
-    the rest of it and takes it out.
+    one component is done.  Each turn compares some pivots of every other region with
+    the rest of it and takes them out.
     """
-    state, turn = regions, 0
+    state, turn, roots = regions, 0, None
     while True:
-        links = stored(links, "links")
-        roots = components(links)
+        if roots is None:
+            links = stored(links, "links")
+            roots = components(links)
         named = state.join(roots, "sig", "left").withColumn("comp", F.coalesce("root", "sig"))
         mixed = named.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
         live = stored(named.join(mixed.select("region", "size"), "region").select("region", "sig", "comp", "size"), "regions")
@@ -319,19 +324,22 @@ def divide(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         few = live.where(F.col("size") <= FEW)
         one, two = few.selectExpr("region", "sig a", "comp ca"), few.selectExpr("region", "sig b", "comp cb")
         pairs = one.join(two, "region").where("a < b and ca != cb").select("a", "b")
-        # many: a member becomes the pivot, mostly the same one in overlapping regions
+        # many: members become pivots, mostly the same ones in overlapping regions; more of them in later turns
         many = live.where(F.col("size") > FEW)
-        best = many.groupBy("region").agg(F.min(F.struct(F.xxhash64("sig", F.lit(turn)), "sig", "comp")).alias("best"))
-        placed = many.join(best.selectExpr("region", "best.sig pivot", "best.comp pivot_comp"), "region").where("sig != pivot")
-        probes = placed.where("comp != pivot_comp").selectExpr("sig a", "pivot b")
-        measured = stored(distances(pairs.unionByName(probes).distinct(), sets), "distances")
-        links = links.unionByName(measured.where(LINKED).select("a", "b"))
-        far = measured.selectExpr("a sig", "b pivot", "1 - shared / joint d", f"{LINKED} linked")
-        placed = placed.join(far, ["sig", "pivot"], "left").withColumn("out", F.expr("d is not null and not linked"))
-        edge = placed.where("out").groupBy("region").agg(F.min("d").alias("edge"))
-        # triangle window: of the ball, only what may reach a member outside it
-        kept = placed.join(edge, "region").where("out or d is null or d >= edge - 0.2500001")
-        state = stored(kept.select("region", "sig"), "regions")
+        rank = F.xxhash64("sig", F.lit(turn))
+        best = many.groupBy("region", F.pmod(rank, F.lit(min(32, 4**turn))).alias("class")).agg(F.min(F.struct(rank, "sig", "comp")).alias("best"))
+        best = best.selectExpr("region", "best.sig pivot", "best.comp pivot_comp")
+        placed = many.join(best, "region").where("sig != pivot and comp != pivot_comp")
+        measured = stored(distances(pairs.unionByName(placed.selectExpr("sig a", "pivot b")).distinct(), sets), "distances")
+        found = measured.where(LINKED).select("a", "b")
+        if not found.isEmpty():
+            links, roots = links.unionByName(found), None
+        far = placed.join(measured.selectExpr("a sig", "b pivot", "1 - shared / joint d", f"{LINKED} linked"), ["sig", "pivot"])
+        edge = far.groupBy("region", "pivot").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("edge"))
+        # triangle window: of a ball, only members that may reach one outside it meet the rest
+        inner = far.join(edge, ["region", "pivot"]).where("linked and d < edge - 0.2500001").select("region", "sig")
+        done = inner.unionByName(best.selectExpr("region", "pivot sig")).distinct()
+        state = stored(many.join(done, ["region", "sig"], "left_anti").select("region", "sig"), "regions")
         turn += 1
 
 
@@ -361,7 +369,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = met.where(F.col("kind") == OVERFULL).select("a").distinct().limit(MAX_COMMON).toArrow().column(0).to_numpy().view(np.uint64)
         if not len(more):
             break
-        common = np.union1d(common, more)
+        common = np.concatenate([common, np.setdiff1d(more, common)])
     pairs = stored(candidates(met), "candidates")
     regions = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("region"), F.col("b").alias("sig")).distinct()
     shared = regions.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
@@ -376,3 +384,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     named = rooted.join(smallest, "root").select("sig", "component_id")
     joined = members.join(named, "sig", "left")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` without near duplicates: of each component the document with the smallest id stays.
+
+    Documents without a set and documents with a null id stay; of rows repeated with the same id and
+    text one stays.
+    """
+    found = stored(near_duplicates(docs), "components")
+    gone = small_side(found.where("n_shingles > 0 and doc_id is not null and component_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct())
+    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    if again.isEmpty():
+        return kept
+    again = small_side(again.select(F.col("doc_id").alias("__again")))
+    single = kept.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
+    return single.unionByName(kept.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id", "text"]))
