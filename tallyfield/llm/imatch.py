@@ -36,7 +36,7 @@ def words(text: Column) -> Column:
 def lexicon(texts: DataFrame, low: float = LOW, high: float = HIGH) -> list[str]:
     """The words of the band, from the document frequencies of all words of all documents."""
     n = texts.count()
-    df = texts.select(F.explode(F.array_distinct(words(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
+    df = texts.select(F.explode_outer(F.array_distinct(words(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("df"))
     band = df.where((F.col("df") >= low * n) & (F.col("df") <= high * n) & (F.col("word") != "")).select("word")
     found = [r[0] for r in band.limit(MAX_LEXICON + 1).collect()]
     if len(found) > MAX_LEXICON:

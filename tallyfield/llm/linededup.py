@@ -52,7 +52,8 @@ def cut(docs: DataFrame, modulus: int = MODULUS, long_words: int = LONG_WORDS) -
 
 def repeated(chunked: DataFrame) -> DataFrame:
     """Stored (__id, __text_mark, __places): the chunks to remove from every document that loses some."""
-    rows = chunked.select("doc_id", "__mark", F.posexplode("__chunks").alias("pos", "c"))
+    # the outer form: else the optimizer filters by the size of the array, and computes it line by line for that
+    rows = chunked.select("doc_id", "__mark", F.posexplode_outer("__chunks").alias("pos", "c"))
     rows = rows.where("c.whole").where(F.length(F.trim(F.translate("c.chunk", "\n\t\r", "   "))) > 0)
     rows = rows.select("doc_id", "__mark", "pos", F.col("c.chunk").alias("chunk"), F.unhex(F.md5("c.chunk")).alias("key"))
     place = F.struct("doc_id", "__mark", "pos")
