@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, imatch, jaccard, linededup, mixing, quality, rules
+from . import bpe, chat, imatch, jaccard, licenses, linededup, mixing, pii, quality, rules
 from .common import held_out, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,6 +35,21 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def listed(spans: str):
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+
+@query("op2_supervised_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", is_kind(k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def is_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 @query("op3_source_mixing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(*mixing.mix(table(spark, sf_dir, "documents")))
@@ -62,6 +77,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op6_chat_repair")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query("op7_license_diagonals")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"),
+        F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 @query("op8_neighbour_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
