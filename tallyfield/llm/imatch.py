@@ -17,6 +17,8 @@ fingerprinted one by one; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,8 +94,8 @@ def range_of(key: str, cuts: list) -> Column:
     return F.when(group > 0, (group - 1) * step + inside).otherwise(0)
 
 
-def with_next(rows: DataFrame, key: str, column: str, values: list[str], ranges: int) -> DataFrame:
-    """`rows` and a struct `next` with `values` of the following row by (key, column); the first row follows the last.
+def with_next(rows: DataFrame, key: str, column: str, ranges: int, mark: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`mark(rows)` and a struct `next` of `column` and `marks` of the following row by (key, column); the first row follows the last.
 
     The key is cut into ranges that are ordered one by one; the first row of each
     range, one row per range, is joined to the last one of the range before.
@@ -103,13 +105,12 @@ def with_next(rows: DataFrame, key: str, column: str, values: list[str], ranges:
     least = stored(rows.groupBy("__range").agg(F.min(key).alias("__least"), F.max(F.col(key).isNull()).alias("__null")), "range-heads")
     there = sorted(r[0] for r in least.select("__range").collect())  # a number per range
     before = least.sparkSession.createDataFrame([(r, there[i - 1]) for i, r in enumerate(there)], "__range int, __to int")
-    at = F.broadcast(least.withColumn("__least", F.when(~F.col("__null"), F.col("__least"))))  # a row per range
-    heads = rows.join(at.withColumnRenamed("__range", "__at"), (F.col("__range") == F.col("__at")) & F.col(key).eqNullSafe(F.col("__least")))
-    heads = heads.groupBy("__range").agg(F.min(F.struct(column, *(v for v in values if v != column))).alias("__head"))
-    heads = heads.join(F.broadcast(before), "__range").select("__to", F.struct(*(F.col(f"__head.{v}").alias(v) for v in values)).alias("__head"))
-    heads = stored(heads, "range-heads")
+    at = F.broadcast(least.select(F.col("__range").alias("__at"), F.when(~F.col("__null"), F.col("__least")).alias("__least")))  # a row per range
+    heads = rows.join(at, (F.col("__range") == F.col("__at")) & F.col(key).eqNullSafe(F.col("__least")))
+    heads = stored(heads.groupBy("__range").agg(F.min(column).alias(column)).join(F.broadcast(before), "__range"), "range-heads")
+    heads = mark(heads).select("__to", F.struct(column, "marks").alias("__head"))
     order = Window.partitionBy("__range").orderBy(key, column)
-    led = rows.withColumn("__lead", F.lead(F.struct(*values)).over(order))
+    led = mark(rows).withColumn("__lead", F.lead(F.struct(column, "marks")).over(order))
     full = led.join(F.broadcast(heads), F.col("__range") == F.col("__to"), "left")  # a row per range
     return full.withColumn("next", F.coalesce("__lead", "__head")).drop("__lead", "__head", "__to", "__range")
 

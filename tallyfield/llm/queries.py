@@ -162,8 +162,8 @@ FROM j"""
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     known = imatch.lexicon(texts)
-    marked = imatch.fingerprint(texts, known, out="marks")
-    both = imatch.with_next(marked, "doc_id", "text", ["text", "marks"], 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = imatch.with_next(texts, "doc_id", "text", ranges, lambda rows: imatch.fingerprint(rows, known, out="marks"))
     changed = both.withColumn("changed", imatch.edited(F.col("text"), F.col("next.text")))
     full = imatch.fingerprint(changed, known, "changed", "changed_marks")
     return full.select(
