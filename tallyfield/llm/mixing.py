@@ -207,7 +207,8 @@ def pieces(rows: DataFrame, plan: Plan) -> DataFrame:
     """(s, start, turn, shard, slot, first, last): words first .. last-1 of a placed row, for every draw that touches it."""
     b = plan.block
     reach = rows.where("size > 0").select("s", "start", "size", F.explode(F.sequence(F.expr(f"start div {b}"), F.expr(f"(start + size - 1) div {b}"))).alias("block"))
-    met = reach.join(draws(rows.sparkSession, plan), ["s", "block"])
+    # a merge join: the optimizer takes the draws for as small as the range of shards they come from
+    met = reach.join(draws(rows.sparkSession, plan).hint("merge"), ["s", "block"])
     first = F.greatest("start", F.col("block") * b) - F.col("start")
     last = F.least(F.col("start") + F.col("size"), F.col("block") * b + F.col("words")) - F.col("start")
     return met.select("s", "start", "turn", "shard", "slot", first.alias("first"), last.alias("last")).where("last > first")
