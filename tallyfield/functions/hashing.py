@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,7 +30,8 @@ def fold_number(keys: Sequence[Operand], folds: int, seed: str | int = "") -> Co
     return (key_number(keys, seed) % folds).cast("int")
 
 
-PREFIX_BITS = 16
+DIGITS = 4  # hexadecimal digits of the digest looked at in one turn: 65536 counters
+TASK_ROWS = 100_000  # rows that are ordered one by one
 
 
 def take_by_hash(
@@ -42,11 +44,11 @@ def take_by_hash(
 ) -> DataFrame:
     """First (or last) rows of the table shuffled by key hash, exactly ``n`` or ``fraction`` of it.
 
-    A global sort would send everything to one final task.  Instead rows are
-    counted per digest prefix (65536 counters at most), the prefix in which the
-    wanted number is reached is found from the counters, all smaller prefixes
-    are kept as they are and only the boundary prefix is looked at row by row.
-    There, equal rows are counted before they travel and written out again
+    A global sort would send everything to one final task.  Instead rows are counted
+    per digest prefix (65536 counters), and the prefix in which the wanted number is
+    reached is cut finer, by further digits, until it holds at most TASK_ROWS rows or is one
+    digest.  All smaller digests are kept as they are and only the last prefix is looked at
+    row by row.  There, equal rows are counted before they travel and written out again
     afterwards, so a row that exists in very many copies burdens no single task.
     Rows with equal keys are taken in the order of their other columns.
     """
@@ -55,28 +57,37 @@ def take_by_hash(
     digest = key_digest(keys, seed)
     if tail:  # the last rows of one order are the first of the reverse order
         digest = F.translate(digest, "0123456789abcdef", "fedcba9876543210")
-    marked = df.withColumn("__digest", digest).withColumn("__prefix", F.substring("__digest", 1, PREFIX_BITS // 4))
-    counts = marked.groupBy("__prefix").agg(F.count("*").alias("__n"))
-    total = Window.partitionBy(F.lit(1))
-    wanted = (
-        F.lit(n)
-        if n is not None
-        else (F.rint(F.sum("__n").over(total) * fraction) if tail else F.floor(F.sum("__n").over(total) * fraction + 1e-9))
-    )
-    running = F.sum("__n").over(total.orderBy("__prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    edges = (
-        counts.withColumn("__room", wanted.cast("long") - (running - F.col("__n")))
-        .where("__room > 0")
-        .select("__prefix", "__room", (F.col("__n") > F.col("__room")).alias("__partial"))
-    )
-    # at most 2**16 rows of a few bytes: a checked size
-    joined = marked.join(F.broadcast(edges), "__prefix")
+    marked = df.withColumn("__digest", digest)
+    prefix, room, rows = _boundary(marked, n, fraction, tail)
+    if prefix is None:
+        return df if room else df.limit(0)
     order = ["__digest", *keys, *[c for c in df.columns if c not in keys]]
-    if n is not None:
-        # little more than n rows are left, so one shuffle of them beats a further scan
-        return _first_rows(joined, order).select(*df.columns)
-    whole = joined.where(~F.col("__partial"))
-    return whole.select(*df.columns).unionByName(_first_rows(joined.where("__partial"), order).select(*df.columns))
+    below, edge = F.col("__digest") < prefix, F.col("__digest").startswith(prefix)
+    last = marked.where(edge).withColumn("__prefix", F.lit(prefix)).withColumn("__room", F.lit(room))
+    return marked.where(below).select(*df.columns).unionByName(_first_rows(last, order).select(*df.columns))
+
+
+def _boundary(marked: DataFrame, n: int | None, fraction: float | None, tail: bool) -> tuple[str | None, int, int]:
+    """Digest prefix in which the wanted number of rows is reached, rows wanted of it, rows in it; no prefix: none or all are wanted."""
+    prefix, room = "", n
+    while True:
+        place = F.substring("__digest", len(prefix) + 1, DIGITS)
+        counts = marked.where(F.col("__digest").startswith(prefix)).groupBy(place.alias("p")).agg(F.count("*").alias("c"))
+        found = sorted((r.p, r.c) for r in counts.collect())  # 65536 counters at most
+        total = sum(c for _, c in found)
+        if room is None:
+            room = round(total * fraction) if tail else math.floor(total * fraction + 1e-9)
+        if not prefix and room >= total:
+            return None, 1, total
+        if room <= 0:
+            return (prefix, 0, 0) if prefix else (None, 0, 0)
+        for p, c in found:
+            if room <= c:
+                prefix, rows = prefix + p, c
+                break
+            room -= c
+        if rows <= TASK_ROWS or len(prefix) >= 32 or room == rows:
+            return prefix, room, rows
 
 
 COPIES_PER_TASK = 100_000

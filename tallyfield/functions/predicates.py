@@ -7,7 +7,8 @@ event selection must drop a row whose cut variable is NaN.  ``gt``, ``ge`` and
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import re
+from collections.abc import Collection, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,36 +69,107 @@ def all_of(parts: Iterable[Column | None]) -> Column:
     return out
 
 
-def select_rows(df: DataFrame, query: str | None) -> DataFrame:
+#: Strings, quoted and plain names, parameters, comparisons, other characters.
+_TOKENS = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]+`|@[A-Za-z_]\w*|[A-Za-z_][\w.]*|[0-9][\w.]*|<=>|==|!=|<>|<=|>=|\s+|.""", re.S)
+
+
+def float_columns(df: DataFrame) -> set[str]:
+    return {n for n, t in df.dtypes if t in ("double", "float")}
+
+
+def _literal(value) -> str:
+    if isinstance(value, (list, tuple)):
+        return "(" + ", ".join(map(_literal, value)) + ")"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(value, str) else str(value).lower() if isinstance(value, bool) else repr(value)
+
+
+def nan_safe(condition: str, floats: Collection[str], params: Mapping[str, object] | None = None) -> str:
+    """The condition with the comparison rules of NaN: no comparison holds, except ``!=``, which always does.
+
+    The guard sits inside each comparison: a NaN column counts as NULL, ``!=`` becomes
+    IS DISTINCT FROM, and the operand of NOT is false where it is NULL.  ``@name``
+    stands for a parameter.  Two NaN compared by ``!=`` count as equal.
+    """
+    tokens = _TOKENS.findall(condition)
+    out = []
+    for i, t in enumerate(tokens):
+        if t.startswith("@"):
+            out.append(_literal((params or {})[t[1:]]))
+        elif t in ("!=", "<>"):
+            out.append(" is distinct from ")
+        elif t.strip("`") in floats and not (i + 1 < len(tokens) and tokens[i + 1] == "("):
+            out.append(f"nanvl(`{t.strip('`')}`, null)")
+        else:
+            out.append(t)
+    return _guard_not([t for t in out])
+
+
+def _guard_not(tokens: list[str]) -> str:
+    """Wrap the operand of every prefix NOT, which reaches to the next AND or OR of its level."""
+    out, i, before = [], 0, ""
+    while i < len(tokens):
+        word = tokens[i].lower()
+        if word == "not" and before in ("", "(", "and", "or", "not"):
+            depth, between, j = 0, False, i + 1
+            while j < len(tokens):
+                t = tokens[j].lower()
+                if t == "(":
+                    depth += 1
+                elif t == ")":
+                    depth -= 1
+                    if depth < 0:
+                        break
+                elif depth == 0 and t == "between":
+                    between = True
+                elif depth == 0 and t in ("and", "or"):
+                    if not (between and t == "and"):
+                        break
+                    between = False
+                j += 1
+            out.append(f"not coalesce(({_guard_not(tokens[i + 1 : j])}), false) ")
+            i, before = j, ")"
+            continue
+        out.append(tokens[i])
+        if word.strip():
+            before = word.strip()
+        i += 1
+    return "".join(out)
+
+
+def condition(query: str, floats: Collection[str], params: Mapping[str, object] | None = None) -> Column:
+    """A user-written condition as a column that is never NULL; see `nan_safe`."""
+    return F.coalesce(F.expr(nan_safe(query, floats, params)), F.lit(False))
+
+
+def select_rows(df: DataFrame, query: str | None, params: Mapping[str, object] | None = None) -> DataFrame:
     """Filter by a user-written SQL condition; None keeps everything.
 
-    The condition is applied twice.  As written, it reaches the Parquet reader.
-    With every NaN turned into NULL, a comparison on NaN can no longer be true,
-    while the other side of an ``or`` still counts.  Whatever the second form
-    keeps the first one keeps too, so together they equal the second.
+    NaN follows `nan_safe`.  A condition without NOT, ``!=`` and calls is also applied as it is
+    written: it keeps whatever the safe one keeps, and reaches the Parquet reader.
     """
     if query is None:
         return df
-    floats = {n for n, t in df.dtypes if t in ("double", "float")}
-    if not floats:
+    floats = float_columns(df)
+    safe = nan_safe(query, floats, params)
+    if safe == query:
         return df.where(query)
-    as_null = [
-        (F.when(~F.isnan(F.col(f"`{n}`")), F.col(f"`{n}`")) if n in floats else F.col(f"`{n}`")).alias(n)
-        for n in df.columns
-    ]
-    packed = df.where(query).select(F.struct(*[F.col(f"`{n}`") for n in df.columns]).alias("__row"), *as_null)
-    return packed.where(query).select("__row.*")
+    plain = nan_safe(query, (), params)
+    words = _TOKENS.findall(query)
+    called = any(b == "(" and re.match(r"[A-Za-z_]", a) and a.lower() not in ("and", "or", "in") for a, b in zip(words, words[1:]))
+    negated = any(w.lower() in ("not", "!=", "<>", "!", "is", "case", "<=>") for w in words)
+    return (df if called or negated else df.where(plain)).where(condition(query, floats, params))
 
 
-def per_bin(bin_index: Operand, queries: Sequence[str | None]) -> Column:
+def per_bin(bin_index: Operand, queries: Sequence[str | None], of: DataFrame | None = None) -> Column:
     """One condition per bin number 0..n-1 in a single expression; None keeps the bin.
 
-    Rows outside all bins are dropped.
+    Rows outside all bins are dropped.  ``of`` is the table the conditions are about: its
+    floating-point columns follow `nan_safe`.
     """
     chosen = F.lit(False)
-    b = col(bin_index)
+    b, floats = col(bin_index), float_columns(of) if of is not None else ()
     for i, q in enumerate(queries):
-        chosen = F.when(b == i, F.lit(True) if q is None else F.coalesce(F.expr(q), F.lit(False))).otherwise(chosen)
+        chosen = F.when(b == i, F.lit(True) if q is None else condition(q, floats)).otherwise(chosen)
     return chosen
 
 

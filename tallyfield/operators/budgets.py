@@ -180,18 +180,22 @@ def _envelope_term(side: str, is_relative: bool) -> Column:
 
 def double_ratio_errors(
     num1: DataFrame, num2: DataFrame, den1: DataFrame, den2: DataFrame, rules: Mapping[str, str] = DOUBLE_RATIO,
-    same_simulation: bool = False, bin_map: Mapping[int, tuple[int, int]] | None = None, only_feeddown: bool | None = None,
+    same_simulation: bool = False, bin_map: Sequence[tuple[int, int, int]] | Mapping[int, tuple[int, int]] | None = None, only_feeddown: bool | None = None,
 ) -> DataFrame:
     """Error of (num1/num2) / (den1/den2).
 
-    ``bin_map`` gives, per output bin, the bin of both numerators and the bin of
-    both denominators.
+    ``bin_map`` lists (output bin, bin of both numerators, bin of both denominators); an input
+    bin may serve several output bins.
     """
+    if isinstance(bin_map, Mapping):
+        bin_map = [(out, *ins) for out, ins in bin_map.items()]
+
     def mapped(t: DataFrame, part: int) -> DataFrame:
         if bin_map is None:
             return t
-        pairs = F.create_map(*[F.lit(x) for out, ins in bin_map.items() for x in (ins[part], out)])
-        return t.withColumn("ibin", F.try_element_at(pairs, F.col("ibin"))).where("ibin is not null")
+        # configured bins, a few dozen: each row goes to the output bins that use it
+        outs = F.array_compact(F.array(*[F.when(F.col("ibin") == entry[1 + part], F.lit(entry[0])) for entry in bin_map]))
+        return t.withColumn("__out", F.explode(outs)).drop("ibin").withColumnRenamed("__out", "ibin")
 
     df = pair_errors({"n1": mapped(num1, 0), "n2": mapped(num2, 0), "d1": mapped(den1, 1), "d2": mapped(den2, 1)})
     df = df.withColumn("__rule", _rule(rules)).where(_wanted(only_feeddown))

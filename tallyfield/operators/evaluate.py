@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import Edges, Uniform
 from ..functions.predicates import Operand, chosen_by_bin, col
+from ..session import stored
 from .algebra import efficiency
 from .hist import fill, project
 from .peaks import curve_integral, polynomial_fit, significance
@@ -17,21 +18,25 @@ from .peaks import curve_integral, polynomial_fit, significance
 
 def _score_counts(scored: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     y = F.col(label).cast("int")
-    return scored.groupBy(*by, F.col(score).alias("threshold")).agg(
+    s = F.col(score).cast("double")
+    s = F.when(s.isNull() | F.isnan(s), float("-inf")).otherwise(s)  # below all thresholds
+    return scored.groupBy(*by, s.alias("threshold")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
-def score_curve(scored: DataFrame, label: str, score: str, by: Sequence[str] = (), slices: int = 500) -> DataFrame:
+def score_curve(scored: DataFrame, label: str, score: str, by: Sequence[str] = (), slice_rows: int = 50_000) -> DataFrame:
     """(by..., threshold, tp, fp, pos, neg, n_pos, n_neg): rows at or above each distinct score.
 
-    Rows are counted per distinct score first.  A running sum over all scores in
-    one window would end in one task, so the scores are cut into slices of equal
-    population; the slice totals (a few hundred rows) give the offsets, and the
-    running sums inside the slices are independent tasks.
+    Rows are counted per distinct score first, and the counters are stored, so a score is
+    evaluated once.  A running sum over all scores in one window would end in one
+    task, so the scores are cut into slices of about ``slice_rows`` distinct ones; the slice
+    totals give the offsets, and the running sums inside the slices are independent
+    tasks.  Scores that are NaN or NULL lie below all others, at minus infinity.
     """
-    counts = _score_counts(scored, label, score, by)
+    counts = stored(_score_counts(scored, label, score, by), "scores")
+    slices = 1 + counts.count() // slice_rows
     shares = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(counts.approxQuantile("threshold", shares, 0.5 / slices))) if shares else []
+    cuts = sorted({c for c in counts.approxQuantile("threshold", shares, 0.5 / slices) if abs(c) != float("inf")}) if shares else []
     sliced = (
         Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="threshold", outputCol="__slice").transform(counts)
         if cuts else counts.withColumn("__slice", F.lit(0.0))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.bins import Axis, bin_mask, inside, mask_bins
-from ..functions.predicates import Operand, col, select_rows
+from ..functions.predicates import Operand, col, condition, float_columns, select_rows
 from ..session import small_side
 
 AXES = ("ix", "iy", "iz", "iv")
@@ -154,10 +154,12 @@ def normalise(
 
 
 def value_range(df: DataFrame, variables: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by..., variable, lo, hi) of every variable in one scan."""
-    wide = df.groupBy(*by).agg(
-        *[F.struct(F.min(v).cast("double").alias("lo"), F.max(v).cast("double").alias("hi")).alias(v) for v in variables]
-    )
+    """(by..., variable, lo, hi) of the finite values of every variable in one scan."""
+    def finite(v: str) -> Column:
+        x = F.col(v).cast("double")
+        return F.when((x > float("-inf")) & (x < float("inf")), x)  # NaN is above infinity
+
+    wide = df.groupBy(*by).agg(*[F.struct(F.min(finite(v)).alias("lo"), F.max(finite(v)).alias("hi")).alias(v) for v in variables])
     return wide.unpivot(list(by), list(variables), "variable", "__r").select(*by, "variable", "__r.lo", "__r.hi")
 
 
@@ -411,5 +413,6 @@ def distribution_job(
     kept = select_rows(df, query).select(*unique, *columns).groupBy(*unique).agg(*[F.min(c).alias(c) for c in columns])
     if not slices:
         return fill(kept, [axis], by)
-    tags = F.array_compact(F.array(*[F.when(F.coalesce(F.expr(q), F.lit(False)), F.lit(s)) for s, q in slices.items()]))
+    floats = float_columns(kept)
+    tags = F.array_compact(F.array(*[F.when(condition(q, floats), F.lit(s)) for s, q in slices.items()]))
     return fill(kept.withColumn("slice", F.explode(tags)), [axis], [*by, "slice"])

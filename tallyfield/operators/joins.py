@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import overlapping_bins
@@ -60,12 +60,21 @@ def lookup_content(df: DataFrame, hist: DataFrame, keys: Sequence[str], name: st
 
 
 def match_periods(data: DataFrame, mc: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Data and simulation histograms of the same period and bin; a period on one side only is an error."""
+    """Data and simulation histograms of the same period and bin.
+
+    The first key is the period.  A period on one side only is an error; an empty bin, which a
+    histogram does not list, is 0.
+    """
+    period = keys[0]
     d = data.select(*keys, F.col("content").alias("data"), F.col("sumw2").alias("data_w2"), F.lit(1).alias("__d"))
     m = mc.select(*keys, F.col("content").alias("mc"), F.col("sumw2").alias("mc_w2"), F.lit(1).alias("__m"))
-    one_sided = F.col("__d").isNull() | F.col("__m").isNull()
+    both = d.join(m, list(keys), "full")
+    # the window covers the bins of one period, a configured number of rows
+    whole = Window.partitionBy(period)
+    one_sided = F.max("__d").over(whole).isNull() | F.max("__m").over(whole).isNull()
     check = F.when(one_sided, F.raise_error(F.lit("histogram without partner")).cast("boolean")).otherwise(F.lit(True))
-    return d.join(m, list(keys), "full").where(check).drop("__d", "__m")
+    filled = {c: F.coalesce(c, F.lit(0.0)) for c in ("data", "data_w2", "mc", "mc_w2")}
+    return both.withColumn("__ok", check).where("__ok").withColumns(filled).drop("__d", "__m", "__ok")
 
 
 def align(
@@ -97,15 +106,16 @@ def align_many(tables: Mapping[str, DataFrame], keys: Sequence[str], value: str
 
 
 def same_binning(left: DataFrame, right: DataFrame, keys: Sequence[str], edges: Sequence[str] = ("x_low", "x_up")) -> DataFrame:
-    """Full outer join on bin numbers that fails when the edges disagree or a bin is missing."""
+    """Full outer join on bin numbers that fails when the edges of a bin disagree; an empty bin, absent on one side, is 0."""
     l = left.select(*keys, *[F.col(e).alias(f"l_{e}") for e in edges], F.col("content").alias("a_content"), F.col("sumw2").alias("a_sumw2"))
     r = right.select(*keys, *[F.col(e).alias(f"r_{e}") for e in edges], F.col("content").alias("b_content"), F.col("sumw2").alias("b_sumw2"))
     agree = F.lit(True)
     for e in edges:
-        agree = agree & F.col(f"l_{e}").eqNullSafe(F.col(f"r_{e}"))
+        agree = agree & (F.col("a_content").isNull() | F.col("b_content").isNull() | F.col(f"l_{e}").eqNullSafe(F.col(f"r_{e}")))
     check = F.when(agree, F.lit(True)).otherwise(F.raise_error(F.lit("different binning")).cast("boolean"))
     joined = l.join(r, list(keys), "full").where(check)
-    return joined.select(*keys, *[F.col(f"l_{e}").alias(e) for e in edges], "a_content", "a_sumw2", "b_content", "b_sumw2")
+    values = [F.coalesce(c, F.lit(0.0)).alias(c) for c in ("a_content", "a_sumw2", "b_content", "b_sumw2")]
+    return joined.select(*keys, *[F.coalesce(f"l_{e}", f"r_{e}").alias(e) for e in edges], *values)
 
 
 def count_trials(df: DataFrame, by: Sequence[str], trials: Mapping[str, Column], weight: Column | None = None) -> DataFrame:

@@ -137,34 +137,31 @@ def importances(model: PipelineModel, features: Sequence[str], spark) -> DataFra
     return spark.createDataFrame([(f, float(v[i])) for i, f in enumerate(features)], "feature string, importance double")
 
 
-def shuffled_column(df: DataFrame, column: str, keys: Sequence[str], seed: int, group_rows: int = 1000) -> DataFrame:
-    """Permute one column among randomly formed groups of about ``group_rows`` rows.
+def shuffled_one_by_one(df: DataFrame, features: Sequence[str], keys: Sequence[str], seed: int, group_rows: int = 1000) -> DataFrame:
+    """For each feature a copy of the table in which that feature alone is permuted: column ``feature`` names it.
 
-    Inside a group every row takes the value of the next row in hash order, the last
-    one that of the first.  Groups come from the key hash and the input partition, so
-    their size stays bounded however large the table is and however often a key occurs.
+    Rows form random groups of about ``group_rows``; inside a group every row takes the
+    values of the next row in hash order, the last one those of the first.  Key and place in
+    the input choose the group, so its size stays bounded however large the table is and
+    however often a key occurs.  One window serves all features.
     """
-    n = df.count()
-    groups = max(1, n // group_rows)
-    place = key_number(keys, seed) + F.spark_partition_id() * 7919
-    tagged = df.withColumn("__g", place % groups).withColumn("__h", key_digest(keys, f"{seed}/{column}"))
+    groups = max(1, df.count() // group_rows)
+    tagged = df.withColumn("__h", F.xxhash64(F.lit(seed), *keys, F.monotonically_increasing_id()))
+    tagged = tagged.withColumn("__g", F.pmod("__h", F.lit(groups)))
     w = Window.partitionBy("__g").orderBy("__h")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    value = F.coalesce(F.lead(column).over(w), F.first(column).over(whole))
-    return tagged.withColumn("__new", value).drop(column).withColumnRenamed("__new", column).drop("__g", "__h")
+    values = F.struct(*features)
+    paired = tagged.withColumn("__next", F.coalesce(F.lead(values).over(w), F.first(values).over(whole)))
+    copies = [F.struct(F.lit(f).alias("feature"), *[(F.col(f"__next.{g}") if g == f else F.col(g)).alias(g) for g in features]) for f in features]
+    rest = [c for c in df.columns if c not in features]
+    return paired.select(*rest, F.explode(F.array(*copies)).alias("__c")).select(*rest, "__c.*")
 
 
 def permutation_importance(df: DataFrame, model: PipelineModel, features: Sequence[str], keys: Sequence[str], label: str, seed: int = 1) -> DataFrame:
     """Loss of area under the ROC curve when one feature is shuffled: (feature, auc, drop)."""
-    def auc(d: DataFrame) -> DataFrame:
-        return area_under_curve(score(d, model, ""), label, "y_test_prob")
-
-    base = auc(df).select(F.col("auc").alias("base"))
-    out = None
-    for f in features:
-        one = auc(shuffled_column(df, f, keys, seed)).select(F.lit(f).alias("feature"), "auc")
-        out = one if out is None else out.unionByName(one)
-    return out.withColumn("drop", base.scalar() - F.col("auc"))
+    base = area_under_curve(score(df, model, ""), label, "y_test_prob").select(F.col("auc").alias("base"))
+    out = area_under_curve(score(shuffled_one_by_one(df, features, keys, seed), model, ""), label, "y_test_prob", ["feature"])
+    return out.select("feature", "auc").withColumn("drop", base.scalar() - F.col("auc"))
 
 
 def grid(**values: Sequence) -> list[dict]:
@@ -214,14 +211,15 @@ def principal_components(df: DataFrame, columns: Sequence[str], n: int) -> tuple
     return out, [float(v) for v in model.explainedVariance]
 
 
-def decision_surface(df: DataFrame, model: PipelineModel, x: str, y: str, step: float = 0.1, margin: float = 0.5) -> DataFrame:
-    """Model score on a grid over the range of two variables plus a margin."""
-    r = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate((x, y)) for n, f in (("lo", F.min), ("hi", F.max))])
+def decision_surface(df: DataFrame, model: PipelineModel, x: str, y: str, points: int = 50, margin: float = 0.5) -> DataFrame:
+    """Model score on ``points`` x ``points`` places over the range of two variables plus a margin."""
+    r = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate((x, y)) for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    if r["lo0"] is None:
+        return score(df.sparkSession.createDataFrame([], f"`{x}` double, `{y}` double"), model, "")
 
-    def axis(i: int) -> Column:
-        lo, hi = F.col(f"lo{i}") - margin, F.col(f"hi{i}") + margin
-        steps = F.sequence(F.lit(0), F.ceil((hi - lo) / step).cast("int") - 1)
-        return F.transform(steps, lambda k: lo + k * step)
+    def axis(i: int, k: Column) -> Column:
+        lo, hi = r[f"lo{i}"] - margin, r[f"hi{i}"] + margin
+        return F.lit(lo) + k * ((hi - lo) / max(1, points - 1))
 
-    points = r.select("*", F.explode(axis(0)).alias(x)).select("*", F.explode(axis(1)).alias(y)).select(x, y)
-    return score(points, model, "")
+    grid = df.sparkSession.range(points * points).select(axis(0, F.expr(f"id div {points}")).alias(x), axis(1, F.col("id") % points).alias(y))
+    return score(grid, model, "")

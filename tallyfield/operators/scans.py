@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.predicates import Operand, col
 from .hist import auto_hist, limited_ranges, melt, numbered, variable_names
@@ -46,12 +49,24 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def correlations(df: DataFrame, variables: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Pearson coefficient of every variable pair per group, all in one aggregation."""
-    named = {f"{a}|{b}": (a, b) for i, a in enumerate(variables) for b in variables[i + 1:]}
-    wide = df.groupBy(*by).agg(*[F.corr(a, b).alias(n) for n, (a, b) in named.items()])
-    long = wide.unpivot(list(by), [F.col(f"`{n}`") for n in named], "pair", "corr")
-    parts = F.split("pair", "[|]")
-    return long.select(*by, parts[0].alias("a"), parts[1].alias("b"), "corr")
+    """Pearson coefficient of every variable pair per group.
+
+    One pass per group sums products of whole vectors; only the matrix of a group, as many
+    rows as pairs, reaches the driver.  Rows with a NULL or NaN variable are left out; a constant
+    variable has no coefficient.
+    """
+    vectors = VectorAssembler(inputCols=list(variables), outputCol="__v", handleInvalid="skip").transform(df)
+    rows = []
+    for g in df.select(*by).distinct().collect():  # classes, a configured number
+        part = vectors
+        for c in by:
+            part = part.where(F.col(c).eqNullSafe(F.lit(g[c])))
+        if part.isEmpty():
+            continue
+        m = Correlation.corr(part, "__v").first()[0].toArray()
+        rows += [(*g, a, b, None if m[i, j] != m[i, j] else float(m[i, j])) for i, a in enumerate(variables) for j, b in enumerate(variables) if i < j]
+    schema = T.StructType([*(df.schema[c] for c in by), T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("corr", T.DoubleType())])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def trial_spread(trials: DataFrame, by: Sequence[str], value: str, nominal: Column) -> DataFrame:

@@ -151,7 +151,7 @@ def g25(spark, sf):
 
 
 FOUR = {"n1": "l_returnflag = 'A' AND l_linestatus = 'F'", "n2": "l_returnflag = 'A' AND l_linestatus = 'O'", "d1": "l_returnflag = 'R' AND l_linestatus = 'F'", "d2": "l_returnflag = 'R' AND l_linestatus = 'O'"}
-BIN_MAP = {1: (1, 2), 2: (3, 3), 3: (4, 5)}
+BIN_MAP = [(1, 1, 2), (2, 3, 3), (3, 4, 5), (4, 3, 2)]  # bins 3 and 2 serve twice
 
 
 def _dr_term(s: str) -> str:
@@ -161,7 +161,7 @@ def _dr_term(s: str) -> str:
 
 @query(
     "G26_double_ratio_errors",
-    f"""SELECT CAST(m.o AS INTEGER) AS ibin, {_sum_sql({s: _dr_term(s) for s in budgets.SIDES})} FROM (VALUES (1, 1, 2), (2, 3, 3), (3, 4, 5)) m(o, n, d)
+    f"""SELECT CAST(m.o AS INTEGER) AS ibin, {_sum_sql({s: _dr_term(s) for s in budgets.SIDES})} FROM (VALUES (1, 1, 2), (2, 3, 3), (3, 4, 5), (4, 3, 2)) m(o, n, d)
         JOIN {err_sql(FOUR['n1'])} n1 ON n1.ibin = m.n JOIN {err_sql(FOUR['n2'])} n2 ON n2.ibin = m.n AND n2.source = n1.source
         JOIN {err_sql(FOUR['d1'])} d1 ON d1.ibin = m.d AND d1.source = n1.source JOIN {err_sql(FOUR['d2'])} d2 ON d2.ibin = m.d AND d2.source = n1.source GROUP BY 1""",
 )

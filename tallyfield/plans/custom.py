@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.predicates import condition, float_columns
 from ..operators import hist, variations
 from .registry import PT, query, sql_bin
 from .selections import items
@@ -28,8 +29,9 @@ USER = {"tight": "l_discount < 0.035 and l_quantity > 10", "loose": "l_discount
     " UNION ALL ".join(f"SELECT '{k}' AS name, {sql_bin('l_quantity', PT)} AS ix, {N} AS content FROM lineitem WHERE {q.replace('==', '=')} GROUP BY 2" for k, q in USER.items()),
 )
 def u02(spark, sf):
-    named = F.array_compact(F.array(*[F.when(F.expr(q), F.lit(k)) for k, q in USER.items()]))
-    df = items(spark, sf).withColumn("name", F.explode(named))
+    rows = items(spark, sf)
+    named = F.array_compact(F.array(*[F.when(condition(q, float_columns(rows)), F.lit(k)) for k, q in USER.items()]))
+    df = rows.withColumn("name", F.explode(named))
     return hist.fill(df, [("l_quantity", PT)], ["name"]).drop("sumw2")
 
 

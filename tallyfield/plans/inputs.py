@@ -104,9 +104,9 @@ def a08(spark, sf):
 )
 def a09(spark, sf):
     li = table(spark, sf, "lineitem")
-    parts = hist.fill(li, [("l_quantity", PT)], ["l_linestatus", "l_returnflag"])
     # the histograms of the three classes stand for the outputs of separate files
-    return hist.project(parts, ["l_linestatus", "ix"])
+    parts = [hist.fill(li.where(F.col("l_returnflag") == f), [("l_quantity", PT)], ["l_linestatus"]) for f in "ANR"]
+    return hist.merge(*parts)
 
 
 @query(
@@ -165,17 +165,20 @@ def a13(spark, sf):
     )
 
 
+RUN_LISTS = {"calorimeter": range(1, 600, 3), "high_rate": range(2, 300, 2), "all": range(1, 1000)}
+
+
 @query(
     "A14_run_list",
-    """SELECT c_mktsegment AS list_name, count(*) AS n_runs, min(c_custkey) AS first_run, max(c_custkey) AS last_run
-       FROM customer GROUP BY c_mktsegment""",
+    f"""SELECT list_name, count(DISTINCT run) AS n_runs, count(*) AS n_events FROM orders
+        JOIN ({' UNION ALL '.join(f"SELECT '{name}' AS list_name, unnest(range({r.start}, {r.stop}, {r.step})) AS run" for name, r in RUN_LISTS.items())}) ON o_custkey = run GROUP BY list_name""",
 )
 def a14(spark, sf):
-    runs = table(spark, sf, "customer").select(
-        F.col("c_mktsegment").alias("list_name"), F.col("c_custkey").alias("run_number")
-    )
-    return runs.groupBy("list_name").agg(
-        F.count("*").alias("n_runs"), F.min("run_number").alias("first_run"), F.max("run_number").alias("last_run")
+    runs = scan.run_lists(spark, RUN_LISTS)
+    events = table(spark, sf, "orders").select(F.col("o_custkey").alias("run_number"))
+    # configured lists, a few hundred runs each
+    return events.join(F.broadcast(runs), "run_number").groupBy("list_name").agg(
+        F.countDistinct("run_number").alias("n_runs"), F.count("*").alias("n_events")
     )
 
 

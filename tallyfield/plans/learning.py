@@ -242,19 +242,19 @@ def k18(spark, sf):
 def k19(spark, sf):
     df = vectors(spark, sf)
     model = learners.train(df, E_FEATURES, learners.random_forest(depth=4, trees=10))
-    return learners.permutation_importance(df, model, E_FEATURES[:3], ["vec_id"], "label")
+    return learners.permutation_importance(df, model, E_FEATURES, ["vec_id"], "label")
 
 
 @query("K20_grid_search")
 def k20(spark, sf):
     df = stored(vectors(spark, sf), "vectors")
-    return learners.search(df, E_FEATURES, "decision_tree", learners.grid(depth=[2, 4]), 2, "label", ["vec_id"])[0]
+    return learners.search(df, E_FEATURES, "decision_tree", learners.grid(depth=[2, 4, 6]), 3, "label", ["vec_id"])[0]
 
 
 @query("K21_random_search")
 def k21(spark, sf):
     df = stored(vectors(spark, sf), "vectors")
-    return learners.search(df, E_FEATURES, "random_forest", learners.draws(2, 7, depth=(2, 4), trees=(4, 10)), 2, "label", ["vec_id"])[0]
+    return learners.search(df, E_FEATURES, "random_forest", learners.draws(3, 7, depth=(2, 6), trees=(4, 20)), 3, "label", ["vec_id"])[0]
 
 
 @query(

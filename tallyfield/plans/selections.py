@@ -35,6 +35,22 @@ def b01(spark, sf):
     return P.select_rows(items(spark, sf), q).select(*COLS)
 
 
+def holey(df, column: str):
+    """x: the column, NaN where the discount is 0."""
+    return df.withColumn("x", F.when(F.col("l_discount") == 0, float("nan")).otherwise(F.col(column)))
+
+
+@query("B01_nan_condition", rows("(l_discount = 0 OR NOT l_discount > 0.05) AND (l_discount = 0 OR l_discount <> 0.02) OR l_quantity > 45"))
+def b01_nan(spark, sf):
+    return P.select_rows(holey(items(spark, sf), "l_discount"), "not x > @top and x != 0.02 or l_quantity > 45", {"top": 0.05}).select(*COLS)
+
+
+@query("B19_nan_cuts", rows(f"CASE CAST({sql_first_bin('l_quantity', PT_LOW, PT_HIGH)} AS INTEGER) WHEN 0 THEN l_discount > 0.03 WHEN 1 THEN l_discount = 0 OR NOT l_discount > 0.03 WHEN 2 THEN true ELSE false END"))
+def b19_nan(spark, sf):
+    df = holey(items(spark, sf), "l_discount")
+    return df.where(P.per_bin(first_bin("l_quantity", PT_LOW, PT_HIGH), ["x > 0.03", "not x > 0.03", None], df)).select(*COLS)
+
+
 @query("B02_half_open_range", rows("l_quantity >= 5 AND l_quantity < 20"))
 def b02(spark, sf):
     return items(spark, sf).where(P.half_open("l_quantity", 5, 20)).select(*COLS)
@@ -165,7 +181,8 @@ CUSTOM = ["l_discount < 0.055", None, "l_tax > 0.015 and l_discount > 0.015", "a
 )
 def b19(spark, sf):
     P.require_per_bin(CUSTOM, len(PT_LOW))
-    return items(spark, sf).where(P.per_bin(first_bin("l_quantity", PT_LOW, PT_HIGH), CUSTOM)).select(*COLS)
+    df = items(spark, sf)
+    return df.where(P.per_bin(first_bin("l_quantity", PT_LOW, PT_HIGH), CUSTOM, df)).select(*COLS)
 
 
 @query(
@@ -189,7 +206,7 @@ def b20(spark, sf):
 def b21(spark, sf):
     df = items(spark, sf).withColumn("ipt", first_bin("l_quantity", PT_LOW, PT_HIGH))
     flags = [False, True, False, True, False]
-    need = P.per_bin("ipt", ["l_discount > 0" if f else None for f in flags])
+    need = P.per_bin("ipt", ["l_discount > 0" if f else None for f in flags], df)
     return df.where(need).groupBy("ipt").agg(F.count("*").alias("n"))
 
 

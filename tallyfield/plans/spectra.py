@@ -10,7 +10,7 @@ from ..operators import hist, joins, scans
 from .matching import BINS2_SQL, MULT, orders
 from .registry import (MASS, MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin,
                        table)
-from .selections import KEY, KEY_SQL, prob, PROB_SQL, items
+from .selections import holey, KEY, KEY_SQL, prob, PROB_SQL, items
 
 IPT_SQL = f"CAST({sql_first_bin('l_quantity', PT_LOW, PT_HIGH)} AS INTEGER)"
 N = "CAST(count(*) AS DOUBLE)"
@@ -303,6 +303,16 @@ def e20(spark, sf):
     return hist.auto_hist(items(spark, sf), E20_VARS, limits={"l_discount": (0.005, 0.095)}).select("variable", "ix", "content")
 
 
+@query(
+    "E20_nan_range",
+    f"""SELECT 'x' AS variable, CAST(CASE WHEN v = hi THEN 100 ELSE floor(100 * (v - lo) / (hi - lo)) + 1 END AS INTEGER) AS ix, {N} AS content
+        FROM (SELECT l_extendedprice AS v FROM lineitem WHERE l_discount <> 0),
+             (SELECT min(l_extendedprice)::DOUBLE AS lo, max(l_extendedprice)::DOUBLE AS hi FROM lineitem WHERE l_discount <> 0) GROUP BY ALL""",
+)
+def e20_nan(spark, sf):
+    return hist.auto_hist(holey(items(spark, sf), "l_extendedprice"), ["x"]).select("variable", "ix", "content")
+
+
 @query(
     "E21_density",
     f"""SELECT l_returnflag, ix, round(content / (sum(content) OVER (PARTITION BY l_returnflag) * ((SELECT max(l_extendedprice) FROM lineitem) -
@@ -320,7 +330,7 @@ def e22(spark, sf):
         F.round(F.corr(F.col("l_quantity") + F.col("l_linenumber"), F.col("l_linenumber") * 3 - F.col("l_discount")), 2).alias("corr"))
 
 
-E23 = 6
+E23 = 64  # all columns of the vector
 E23_SQL = " UNION ALL ".join(
     f"SELECT label < 5 AS is_signal, 'e{i}' AS a, 'e{j}' AS b, round(corr(embedding[{i + 1}]::DOUBLE, embedding[{j + 1}]::DOUBLE), 6) AS corr FROM embeddings GROUP BY 1"
     for i in range(E23) for j in range(i + 1, E23))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import take_by_hash
+from ..functions.predicates import condition, float_columns, select_rows
 from ..session import small_side
 from .schemas import CURVE, require
 
@@ -24,7 +25,7 @@ def scan(
     reader = spark.read if schema is None else spark.read.schema(schema)
     df = reader.parquet(*([paths] if isinstance(paths, str) else paths))
     if query is not None:
-        df = df.where(query)
+        df = select_rows(df, query)
     return df if columns is None else require(df, columns).select(*columns)
 
 
@@ -108,7 +109,8 @@ def apply_cut_table(df: DataFrame, label: Column, cuts: Mapping[str, str]) -> Da
     A row matching no key ends the job: an input without a configured selection
     is a configuration mistake.
     """
+    floats = float_columns(df)
     chosen = F.raise_error(F.concat(F.lit("no selection configured for "), label)).cast("boolean")
     for key, query in reversed(list(cuts.items())):
-        chosen = F.when(label.contains(key), F.coalesce(F.expr(query), F.lit(False))).otherwise(chosen)
+        chosen = F.when(label.contains(key), condition(query, floats)).otherwise(chosen)
     return df.where(chosen)

@@ -138,6 +138,10 @@ def test_one_sided_period_fails(spark):
     assert joins.match_periods(a, a, ["period", "ix"]).count() == 1
     with pytest.raises(Exception, match="without partner"):
         joins.match_periods(a, b, ["period", "ix"]).count()
+    # an empty bin of a known period is 0
+    more = a.unionByName(spark.createDataFrame([("p1", 2, 3.0, 3.0)], a.schema))
+    got = {r.ix: (r.data, r.mc) for r in joins.match_periods(more, a, ["period", "ix"]).collect()}
+    assert got == {1: (1.0, 1.0), 2: (3.0, 0.0)}
 
 
 def test_different_binning_fails(spark):
@@ -145,6 +149,15 @@ def test_different_binning_fails(spark):
     assert joins.same_binning(a, a, ["ix"]).count() == 1
     with pytest.raises(Exception, match="different binning"):
         joins.same_binning(a, a.withColumn("x_up", F.lit(2.0)), ["ix"]).collect()
+    more = a.unionByName(spark.createDataFrame([(2, 1.0, 2.0, 5.0, 5.0)], a.schema))
+    got = {r.ix: (r.x_low, r.a_content, r.b_content) for r in joins.same_binning(a, more, ["ix"]).collect()}
+    assert got == {1: (0.0, 1.0, 1.0), 2: (1.0, 0.0, 5.0)}
+
+
+def test_automatic_ranges_are_finite(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (NAN,), (float("inf"),)], "x double")
+    got = {r.ix: (r.lo, r.hi, r.content) for r in hist.auto_hist(df, ["x"], n=2).collect()}
+    assert got == {1: (1.0, 3.0, 1.0), 2: (1.0, 3.0, 2.0)}
 
 
 def test_first_per_key_with_a_hot_key(spark):

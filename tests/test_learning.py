@@ -64,8 +64,8 @@ def test_score_curve_against_brute_force(spark):
     rnd = random.Random(2)
     pairs = [(round(rnd.random(), 2) if i % 3 else 0.5, rnd.random() < 0.4) for i in range(600)]  # a third at one score
     df = spark.createDataFrame([(s, int(l)) for s, l in pairs], "s double, label int")
-    for slices in (1, 7, 500):
-        got = {r.threshold: (r.tp, r.fp) for r in evaluate.score_curve(df, "label", "s", slices=slices).collect()}
+    for size in (1, 20, 50_000):
+        got = {r.threshold: (r.tp, r.fp) for r in evaluate.score_curve(df, "label", "s", slice_rows=size).collect()}
         want = {t: (sum(l and s >= t for s, l in pairs), sum(not l and s >= t for s, l in pairs)) for t in {s for s, _ in pairs}}
         assert got == want
     assert evaluate.area_under_curve(df, "label", "s").first().auc == pytest.approx(brute_auc(pairs))
@@ -111,11 +111,24 @@ def test_confusion(spark):
     assert got[1, 1] == (2, pytest.approx(2 / 3), 0.0) and got[1, 0][2] == pytest.approx(1 / 3)
 
 
-def test_shuffled_column_is_a_permutation(separable):
-    out = learners.shuffled_column(separable, "a", ["k"], 1, group_rows=50)
+def test_nan_scores_lie_below_all_thresholds(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (None, 0), (0.5, 1), (0.2, 0)], "s double, label int")
+    got = {r.threshold: (r.tp, r.fp) for r in evaluate.score_curve(df, "label", "s").collect()}
+    assert got == {0.5: (1, 0), 0.2: (1, 1), float("-inf"): (2, 2)}
+
+
+def test_one_feature_at_a_time_is_permuted(separable):
+    out = learners.shuffled_one_by_one(separable, ["a", "b"], ["k"], 1, group_rows=50).where("feature = 'a'")
     assert sorted(r.a for r in out.collect()) == sorted(r.a for r in separable.collect())
-    moved = out.join(separable.select("k", F.col("a").alias("a0")), "k").where("a != a0").count()
-    assert moved > 390
+    both = out.join(separable.select("k", F.col("a").alias("a0"), F.col("b").alias("b0")), "k")
+    assert both.where("a != a0").count() > 390 and both.where("b != b0").count() == 0
+
+
+def test_shuffle_groups_stay_small_for_a_hot_key(spark):
+    hot = spark.createDataFrame([(1, float(i)) for i in range(600)], "k int, a double").coalesce(1)
+    out = learners.shuffled_one_by_one(hot, ["a"], ["k"], 1, group_rows=20)
+    # the whole column is still a permutation, and values come from other rows
+    assert sorted(r.a for r in out.collect()) == sorted(r.a for r in hot.collect())
 
 
 def test_importance_and_search(spark, separable):
@@ -139,8 +152,8 @@ def test_standardise_and_components(separable):
 
 def test_decision_surface(spark, separable):
     model = learners.train(separable, FEATURES, learners.decision_tree(2))
-    out = learners.decision_surface(separable, model, "a", "b", step=1.0)
-    assert out.select("a").distinct().count() > 3 and out.where("y_test_prob is null").count() == 0
+    out = learners.decision_surface(separable, model, "a", "b", points=7)
+    assert out.count() == 49 and out.select("a").distinct().count() == 7 and out.where("y_test_prob is null").count() == 0
 
 
 def test_incremental_input(spark, tmp_path):

@@ -79,6 +79,9 @@ def test_displaced_zero_error(spark):
 def test_custom_cuts(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (2, 1, 1.0), (3, 2, 1.0), (4, None, 1.0)], "k int, b int, x double")
     assert keys(df.where(P.per_bin("b", [None, "x > 2", "x < 2"]))) == [1, 3]
+    nan = spark.createDataFrame([(1, 0, NAN), (2, 0, 3.0)], "k int, b int, x double")
+    assert keys(nan.where(P.per_bin("b", ["x > 2"], nan))) == [2]
+    assert keys(nan.where(P.per_bin("b", ["not x > 2"], nan))) == [1]
     with pytest.raises(ValueError):
         P.require_per_bin([None], 2)
 
@@ -165,6 +168,8 @@ def test_file_tree(spark, tmp_path):
 def test_cut_table_rejects_unknown_files(spark):
     df = spark.createDataFrame([("pt_1_2", 1.0), ("pt_2_4", 5.0)], "f string, x double")
     assert scan.apply_cut_table(df, F.col("f"), {"pt_1": "x > 0", "pt_2": "x > 9"}).count() == 1
+    nan = spark.createDataFrame([("pt_1", NAN), ("pt_1", 5.0)], "f string, x double")
+    assert scan.apply_cut_table(nan, F.col("f"), {"pt_1": "x > 1.5"}).count() == 1
     with pytest.raises(Exception, match="no selection configured"):
         scan.apply_cut_table(df, F.col("f"), {"pt_1": "x > 0"}).count()
 
@@ -191,3 +196,12 @@ def test_take_by_hash_with_a_hot_copy(spark, n):
             assert got == want
     finally:
         hashing.COPIES_PER_TASK = old
+
+
+@pytest.mark.parametrize("query, want", [
+    ("x > 1.5", [2]), ("not x > 1.5", [1, 3]), ("x != 1", [1, 2]), ("x == 1", [3]), ("not (x > 0 and k > 0)", [1]),
+    ("not x between 0 and 2", [1, 2]), ("x > 1.5 or k == 1", [1, 2]), ("not not x > 1.5", [2]), ("x >= @low and name != 'not x'", [2, 3]), ("k in (1, 3) and not x < 5", [1]),
+])
+def test_nan_in_conditions_as_in_pandas(spark, query, want):
+    df = spark.createDataFrame([(1, NAN, "a"), (2, 3.0, "b"), (3, 1.0, "c")], "k int, x double, name string")
+    assert keys(P.select_rows(df, query, {"low": 1})) == want
