@@ -240,9 +240,9 @@ def mixed_texts(docs: DataFrame, seed: int = 3, weights=WEIGHTS, share: float =
     """
     rows, parts, _ = mix(docs, seed, weights, share)
     parts = parts.join(rows.where("size > 0").select("s", "start", "rank", "source", "doc_id"), ["s", "start"])
-    spans = parts.groupBy("rank", F.col("source").alias("__source"), F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list(F.struct("start", "turn", "first", "last"))).alias("__spans"))
+    spans = parts.groupBy(F.col("rank").alias("__place"), F.col("source").alias("__source"), F.col("doc_id").alias("__id")).agg(F.sort_array(F.collect_list(F.struct("start", "turn", "first", "last"))).alias("__spans"))
     one = docs.withColumn("__rank", F.xxhash64("doc_id", "text")).dropDuplicates(["__rank", "doc_id", "source"])
-    full = one.join(spans, (F.col("__rank") == F.col("rank")) & F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")))
+    full = one.join(spans, (F.col("__rank") == F.col("__place")) & F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")))
     full = full.select(*(F.col(f"`{c}`") for c in docs.columns), "__spans")
     at, chars = docs.columns.index("text"), docs.columns.index("n_chars") if "n_chars" in docs.columns else -1
 

@@ -117,7 +117,8 @@ def test_reliabilities_tell_good_labelers_from_bad():
     pattern, count = np.unique(votes @ (1 << np.arange(5)), return_counts=True)
     real, rates = pii.reliabilities(pattern, count.astype(float))
     assert all(rates[i, 0] > 0.9 and rates[i, 1] < 0.1 for i in range(4)) and abs(rates[4, 0] - rates[4, 1]) < 0.1
-    w = pii.train(((pattern[:, None] >> np.arange(5)) & 1).astype(float), real, count.astype(float))
+    bits = np.concatenate([(pattern[:, None] >> np.arange(5)) & 1, np.ones((len(pattern), 1))], axis=1)
+    w = pii.train(bits.astype(float), real, count.astype(float))
     assert min(w[:4]) > abs(w[4])
 
 
