@@ -38,8 +38,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from .common import mix, slices, small_side, stored, text_array, words_of
 
 WIDTH = 5
-COMMON = 16  # a shingle counted so often comes last in the order
-FEW = 32  # members that meet pair by pair
+COMMON = 6  # a shingle counted so often comes last in the order
+FEW = 64  # members that meet pair by pair
 LARGE = 256  # regions above are divided further, never compared pair by pair
 CHUNK = 8_000_000  # shingles a task counts at once
 MAX_COMMON = 1 << 20  # bound on the common shingles that are broadcast
@@ -94,7 +94,7 @@ def survey(docs: DataFrame) -> DataFrame:
 
     def often(kept: list[np.ndarray], kind) -> pa.RecordBatch:
         value, count = np.unique(np.concatenate(kept), return_counts=True)
-        value, count = value[count > 2], count[count > 2]
+        value, count = value[count > 1], count[count > 1]
         none = pa.nulls(len(value), pa.int64())
         return pa.RecordBatch.from_arrays([pa.nulls(len(value), kind), none, none, pa.array(value.view(np.int64)), pa.array(count)], schema.names)
 
@@ -126,7 +126,7 @@ def survey(docs: DataFrame) -> DataFrame:
 def common_shingles(rows: DataFrame) -> np.ndarray:
     """The shingles that come last in the order, rarer ones first; at most MAX_COMMON, the most frequent ones.
 
-    A shingle that no task meets three times is in at most two sets of each counted
+    A shingle that no task meets twice is in at most one set of each counted
     chunk, which bounds the regions of all others.  The choice only sets the order; the result
     is exact for any order.
     """
@@ -151,7 +151,7 @@ def is_in(s: np.ndarray, known: np.ndarray) -> np.ndarray:
 def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """Rows (shingle, sig, info): each distinct set in the regions of its first pivots.
 
-    info holds the size, how many of its pivots are common ones, and whether this one is.
+    info holds the size of the set and whether this pivot is a common one.
     """
     order = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[order], order))
@@ -174,7 +174,7 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
                     rest = rest[np.argsort(rank[np.searchsorted(known, rest)])][: k - len(first)]
                     shingle += [first, rest]
                     sig.append(np.full(k, name))
-                    info.append((np.int64(n) << 31 | np.int64(len(rest)) << 1) + (np.arange(k) >= len(first)))
+                    info.append((np.int64(n) << 1) + (np.arange(k) >= len(first)))
                 if len(seen) > 1_000_000:
                     seen = set()
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle).view(np.int64)), pa.array(np.concatenate(sig)), pa.array(np.concatenate(info))], ["shingle", "sig", "info"])
@@ -227,7 +227,7 @@ def meet(rows: DataFrame) -> DataFrame:
         while len(live):
             live = live[live + step < len(sig)]
             live = live[shingle[live] == shingle[live + step]]
-            n1, n2 = info[live] >> 31, info[live + step] >> 31
+            n1, n2 = info[live] >> 1, info[live + step] >> 1
             near = 4 * np.minimum(n1, n2) >= 3 * np.maximum(n1, n2)
             a.append(live[near])
             b.append(live[near] + step)
@@ -247,21 +247,17 @@ def meet(rows: DataFrame) -> DataFrame:
 
 
 def size_of(info):
-    return F.shiftright(F.col(info), 31)
-
-
-def late_of(info):
-    return F.shiftright(F.col(info), 1).bitwiseAND(F.lit((1 << 30) - 1))
+    return F.shiftright(F.col(info), 1)
 
 
 def candidates(met: DataFrame) -> DataFrame:
-    """Pairs with enough votes; common pivots that both have could add as many."""
+    """Pairs with enough votes.  Pairs that share a common pivot as well meet in its region, whatever their votes."""
     # the in-region order of a pair is by signature, so a < b everywhere
     pairs = met.where(F.col("kind") == PAIR).groupBy("a", "b").agg(F.sum("votes").alias("votes"), F.max("a_info").alias("a_info"), F.max("b_info").alias("b_info"))
     n1, n2 = size_of("a_info"), size_of("b_info")
     rest = lambda n: F.floor(3 * n / 4 + F.lit(0.999)).cast("long") - F.ceil(n / 20)  # noqa: E731  n - k
     least = F.ceil(F.lit(75.0) * (n1 + n2) / 175) - F.greatest(rest(n1), rest(n2))
-    return pairs.where(F.col("votes") + F.least(late_of("a_info"), late_of("b_info")) >= least).select("a", "b")
+    return pairs.where(F.col("votes") >= least).select("a", "b")
 
 
 def sets_of(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -327,7 +323,7 @@ def divide(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
         # many: members become pivots, mostly the same ones in overlapping regions; more of them in later turns
         many = live.where(F.col("size") > FEW)
         rank = F.xxhash64("sig", F.lit(turn))
-        best = many.groupBy("region", F.pmod(rank, F.lit(min(32, 4**turn))).alias("class")).agg(F.min(F.struct(rank, "sig", "comp")).alias("best"))
+        best = many.groupBy("region", F.pmod(rank, F.lit(min(128, 4**turn))).alias("class")).agg(F.min(F.struct(rank, "sig", "comp")).alias("best"))
         best = best.selectExpr("region", "best.sig pivot", "best.comp pivot_comp")
         placed = many.join(best, "region").where("sig != pivot and comp != pivot_comp")
         measured = stored(distances(pairs.unionByName(placed.selectExpr("sig a", "pivot b")).distinct(), sets), "distances")
