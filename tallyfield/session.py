@@ -88,14 +88,17 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
 
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 16 << 20  # of compressed Parquet, several times that in memory
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Side of a join that is expected to be small (one row per bin, per file).
 
-    It is stored and counted first.  Within ``max_rows`` it is broadcast, so the
-    event table on the other side is not shuffled; beyond, it is returned as it is
+    It is stored, and its rows and bytes are counted.  Within both limits it is broadcast, so
+    the event table on the other side is not shuffled; beyond, it is returned as it is
     and the optimizer picks a shuffled join, which handles skew.
     """
     kept = stored(df, "side")
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    files = kept.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), F.max("_metadata.file_size").alias("bytes"))
+    size = files.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(kept) if size["rows"] <= max_rows and size["bytes"] <= max_bytes else kept
