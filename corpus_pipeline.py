@@ -25,8 +25,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without chunks found earlier in the corpus; a text that consisted of such chunks alone goes."""
-    cleaned = linededup.dedup_lines(docs, removed="__removed")
+    """Texts without chunks and passages found earlier in the corpus; a text that consisted of such lines alone goes."""
+    cleaned = linededup.dedup_passages(docs, removed="__removed")
     blank = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+", "")) == 0
     return cleaned.where(~((F.col("__removed") > 0) & blank)).drop("__removed")
 

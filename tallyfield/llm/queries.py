@@ -140,6 +140,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup_lines(docs)
 
 
+@query("op10_line_passages")
+def op10_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.dedup_passages(docs)
+
+
 IMATCH = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 t AS (SELECT *, length(text) AS n, coalesce(lead(text) OVER (ORDER BY doc_id, text), first_value(text) OVER (ORDER BY doc_id, text)) AS nx FROM d),

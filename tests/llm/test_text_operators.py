@@ -381,3 +381,48 @@ def test_line_chunks(spark, none):
     text = dict(rows)
     assert len(got) == len(rows) + 2 and all(x.text == (None if x.doc_id == 999 else want[x.doc_id, text[x.doc_id]]) for x in got)
     assert linededup.dedup_lines(none).count() == 0
+
+
+def brute_passages(rows, words=50):
+    """Line numbers that go: those of later chunks, and of every run of `words` words that begins earlier in the corpus."""
+    first, gone = {}, {}
+    ordered = sorted(((i, t) for i, t in rows if t is not None), key=lambda x: x[0])
+    for i, t in ordered:
+        lines, gone[i] = t.split("\n"), set()
+        counts = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a + 1, len(lines) + 1):
+                if counts[a] and counts[b - 1] and sum(counts[a:b]) >= words:
+                    at = first.setdefault("\n".join(lines[a:b]), (i, a))
+                    if at[0] != i or a >= at[1] + b - a:
+                        gone[i].update(range(a, b))
+    return {i: "\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i]) for i, t in ordered}
+
+
+def test_line_passages(spark, none):
+    r = random.Random(17)
+    rows = []
+    for k in range(60):  # planted passages of lines of 3 to 30 words, each in two different surroundings
+        sizes = [r.randint(3, 30) for _ in range(r.randint(2, 9))]
+        passage = "\n".join(r.choice(["", "", " \t", "\n"]) + prose(n, 5000 + 100 * k + j) for j, n in enumerate(sizes))
+        rows += [(10 * k + j, prose(12, 90000 + 10 * k + j) + "\n" + passage + "\n" + prose(7, 95000 + 10 * k + j)) for j in (0, 1)]
+        rows.append((10 * k + 2, passage))
+    rows += [(901, "\n".join(["same line here"] * 100)), (902, None), (903, ""), (904, "é\U0001f600 " * 60 + "\n"), (905, "x\n" + "é\U0001f600 " * 60 + "\ny"), (906, "\n".join(["same line here"] * 20))]
+    got = {x.doc_id: x for x in linededup.dedup_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want, lines = brute_passages(rows), {x.doc_id: x.text for x in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    held = lambda text, other: any(x in other.split("\n") for x in text.split("\n") if x.strip())
+    short = 0
+    for i, t in rows:
+        if t is None:
+            assert got[i].text is None
+            continue
+        kept, both = got[i].text.split("\n"), want[i].split("\n")
+        assert set(kept) <= set(both) | {""} and got[i].removed == len(t.split("\n")) - (len(kept) if got[i].text or got[i].removed < len(t.split("\n")) else 0)
+        if i % 10 in (1, 2) and i < 900 and len(t.split()) - (19 if i % 10 == 1 else 0) >= 50:
+            passage = dict(rows)[i // 10 * 10 + 2]
+            assert not held(passage, got[i].text)  # all of every planted passage is gone
+            short += held(passage, lines[i])
+    assert short  # what chunks alone leave
+    assert got[901].text.count("same") < 100 and got[906].text == "" and got[905].text == "x\ny" and got[904].removed == 0
+    assert all(got[10 * k].removed == 0 for k in range(60))
+    assert linededup.dedup_passages(none).count() == 0
