@@ -40,7 +40,7 @@ MORE = {
 }
 KINDS = [*BASE, *MORE]
 #: What a text must hold before a pattern is tried.
-NEEDS = {"email": "@", "phone": "+", "secret": None, "ip": ".", "card": None, "local_phone": "-", "ssn": "-", "masked_email": None}
+NEEDS = {"email": "@", "phone": "+", "secret": None, "ip": ".", "card": None, "local_phone": None, "ssn": "-", "masked_email": None}
 #: Words that belong to a kind: in the span (gazetteer) and in the 40 characters before it (context).
 GAZETTEER = {"email": r"\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk)$", "phone": r"^\+(?:1|33|34|44|49)\b", "ip": r"^(?:10|127|172|192)\.", "card": "^[3-6]", "secret": r"(?i)^(?:password|token)", "local_phone": r"^\(?[2-9]", "ssn": "^[0-8]", "masked_email": r"(?i)(?:com|org|net|edu|de|fr|es|uk)$"}
 CONTEXT = r"(?i)(?:mail|contact|write|call|phone|tel|mobile|card|visa|pay|account|ip|host|server|password|token|secret|ssn|social|kontakt|correo|courriel)"

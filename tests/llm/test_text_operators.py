@@ -110,6 +110,14 @@ def test_pii_base_and_method(spark, docs, none):
         assert [tuple(s) for s in r.base] == brute_base(nasty[r.doc_id])
 
 
+def test_dotted_phones_need_no_hyphen(spark):
+    texts = ["call 407.555.8973 now", "call (407) 555.8973 now", "call 407.555.8973 now - or", "call 1407.555.8973", "call 407-555-8973"]
+    got = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {r.doc_id: [(s.start, s.stop) for s in r.found if s.kind == "local_phone"] for r in got}
+    assert found == {i: [m.span() for m in re.finditer(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9-])", t)] for i, t in enumerate(texts)}
+    assert found[0] == [(5, 17)] and found[1] == [(5, 19)]
+
+
 def test_reliabilities_tell_good_labelers_from_bad():
     rnd = np.random.default_rng(1)
     truth = rnd.random(4000) < 0.4
