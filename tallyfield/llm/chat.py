@@ -6,9 +6,11 @@ append it, to merge it into the turn before, to relabel it, or to insert an empt
 first, with the least total cost; the repaired sequence is rendered.
 
 The transfer costs of a stretch of turns are a 4 x 4 matrix under (min, +), which is
-associative: a conversation is cut into segments of turn numbers, each segment gives
+associative: a conversation is cut into segments of `SEGMENT` rows, each segment gives
 its matrix, and the states at the segment borders follow from the matrices, level by level.  So a
-conversation of any length is repaired exactly without being in one task.
+conversation of any length is repaired exactly without being in one task.  The place of a row in
+its conversation is a distributed rank: equal rows are counted, ranges of rows are numbered
+alone, and the rows of the ranges before are added.
 
 Costs: append 0, merge 1, insertion 2, relabel 3; of equal costs, in this order.
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -84,16 +86,31 @@ def path(matrices: list[np.ndarray], enter: int, leave: int | None) -> list[int]
 
 
 def numbered(turns: DataFrame) -> DataFrame:
-    """conv_id, segment, turn, role number and name, text."""
+    """conv_id, segment, turn, role number and name, text, and how many such rows the segment has; at most SEGMENT rows in all."""
     name = F.lower(F.trim(F.col("role")))
     for other, role in ALIASES.items():
         name = F.when(name == other, role).otherwise(name)
     number = F.coalesce(*(F.when(name == r, i + 1) for i, r in enumerate(ROLES)), F.lit(START))
-    segment = F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-(1 << 40)))
-    return turns.select("conv_id", segment.cast("long").alias("segment"), "turn", number.alias("number"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = turns.select("conv_id", "turn", number.alias("number"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+    # the driver sees a sample of the keys, so they are short; stored, as ranges may differ when a task runs again
+    ranges = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(counted.repartitionByRange(ranges, "conv_id", "turn", "role", F.substring("text", 1, 256)).withColumn("range", F.spark_partition_id()), "chat-ranges")
+    totals = ranged.groupBy("conv_id", "range").agg(F.sum("n").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("conv_id").alias("k"), F.col("range").alias("r"), F.sum("n").over(earlier).alias("offset")).where("offset is not null")
+    within = Window.partitionBy("range", "conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    # a range begins inside one conversation at most: no more offsets than ranges
+    placed = placed.join(F.broadcast(offsets), F.col("conv_id").eqNullSafe(F.col("k")) & (F.col("range") == F.col("r")), "left")
+    placed = placed.withColumn("start", F.col("before") + F.coalesce("offset", F.lit(0)))
+    full = placed.withColumn("segment", F.explode(F.sequence(F.floor(F.col("start") / SEGMENT), F.floor((F.col("start") + F.col("n") - 1) / SEGMENT))))
+    copies = F.least(F.col("start") + F.col("n"), (F.col("segment") + 1) * SEGMENT) - F.greatest(F.col("start"), F.col("segment") * SEGMENT)
+    return full.select("conv_id", "segment", "turn", "number", "role", "text", copies.alias("copies"))
 
 
 def in_order(table: pa.Table) -> pa.Table:
+    table = table.take(pa.array(np.repeat(np.arange(table.num_rows), table["copies"].to_numpy())))
     return table.sort_by([("turn", "ascending"), ("role", "ascending"), ("text", "ascending")]) if table.column("turn").null_count == 0 else table.take(pa.array(sorted(range(table.num_rows), key=lambda i: (table["turn"][i].is_valid, table["turn"][i].as_py() or 0, table["role"][i].as_py(), table["text"][i].as_py()))))
 
 

@@ -297,6 +297,20 @@ def test_chat_repair_is_cheapest(spark):
     assert chat.repaired(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["no id", "no turn", "one turn", "equal rows"])
+def test_chat_segments_are_bounded(spark, shape):
+    r = random.Random(8)
+    make = {"no id": lambda i: (None, i % 256, r.choice(chat.ROLES), f"t{i}"), "no turn": lambda i: (1, None, r.choice(chat.ROLES), f"t{i}"), "one turn": lambda i: (1, 7, "user", f"t{i}"), "equal rows": lambda i: (1, 7, "user", "t")}[shape]
+    rows = [make(i) for i in range(2000)] + [(2, 0, "user", "a"), (2, 1, "assistant", "b")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    sizes = chat.numbered(turns).groupBy("conv_id", "segment").agg(F.sum("copies").alias("n")).collect()
+    assert max(x.n for x in sizes) <= chat.SEGMENT and sum(x.n for x in sizes) == len(rows)
+    out = sorted((x for x in chat.repaired(turns).collect() if x.conv_id != 2), key=lambda x: x.segment)
+    assert [x.segment for x in out] == list(range(8)) and [x.n_turns for x in out] == [256] * 7 + [208]
+    mine = sorted(rows[:2000], key=lambda x: (x[1] is not None, x[1] or 0, x[2], x[3]))
+    assert re.findall(r"^t\d*(?=$|<)", "".join(x.rendered for x in out), re.M) == [x[3] for x in mine]
+
+
 def test_chat_levels(spark, monkeypatch):
     rows = [(1, t, random.Random(t).choice(chat.ROLES), "x") for t in range(chat.SEGMENT * 13)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
