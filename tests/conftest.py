@@ -13,12 +13,3 @@ def spark(tmp_path_factory):
     spark = local_session("4", shuffle_partitions=4, memory="8g")
     yield spark
     spark.stop()
-
-
-def rows(df, *order):
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple((x is None, x) for x in r))
-
-
-def plan(df):
-    return df._jdf.queryExecution().toString()

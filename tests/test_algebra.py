@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tallyfield.functions.bins import Uniform
 from tallyfield.operators import algebra, budgets, corrections, hist, peaks
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from helpers import plan, rows
 from tallyfield.functions.bins import Edges, Uniform
 from tallyfield.operators import hist, joins, samples, scans
 from tallyfield.sources import errors_table, layout

@@ -4,7 +4,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from helpers import plan, rows
 from tallyfield.functions import bits, derive
 from tallyfield.functions import predicates as P
 from tallyfield.functions.bins import Edges, Uniform, bin_mask, by_width, first_bin, mask_bins, overlapping_bins
