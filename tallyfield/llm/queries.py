@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, imatch, jaccard, licenses, linededup, mixing, negatives, pii, quality, rules
+from . import bpe, chat, imatch, jaccard, licenses, linededup, mixing, negatives, pages, pii, quality, rules
 from .common import held_out, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -202,3 +202,8 @@ QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) <=
 @query("op11_threshold_negatives", NEGATIVES)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_line_blocks")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
