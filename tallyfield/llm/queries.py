@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, imatch, jaccard, licenses, linededup, mixing, negatives, pages, pii, quality, rules
+from . import bpe, chat, imatch, jaccard, licenses, linededup, mixing, negatives, pages, pii, quality, rules, trie
 from .common import held_out, table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -207,3 +207,42 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_line_blocks")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+TRIE = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+z AS (SELECT conv_id, count(*) AS own FROM t GROUP BY conv_id),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS lender, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)), 4294967295) % 4 AS h
+  FROM z),
+r AS (
+  SELECT c.conv_id, t.place AS depth, t.role, t.text FROM c JOIN t ON t.conv_id = c.lender AND t.place <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.place - c.h + least(c.h, coalesce(z.own, 0)), t.role, t.text
+  FROM c JOIN t ON t.conv_id = c.conv_id AND t.place > c.h LEFT JOIN z ON z.conv_id = c.lender),
+s AS (
+  SELECT c.conv_id, coalesce(q.p, []) AS p, coalesce(q.w, []) AS w
+  FROM c LEFT JOIN (
+    SELECT conv_id, list(md5(role) || md5(text) ORDER BY depth) AS p, list(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) ORDER BY depth) AS w
+    FROM r GROUP BY conv_id) q USING (conv_id)),
+n AS MATERIALIZED (
+  SELECT array_to_string(p[1:d], '') AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n, max(coalesce(w[d], 0)) AS words,
+    coalesce(string_agg(CASE WHEN len(p) = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ids
+  FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM s) GROUP BY 1, 2),
+k AS (SELECT left(path, 64 * (depth - 1)::BIGINT) AS path, count(*) AS n FROM n WHERE depth > 0 GROUP BY 1),
+b AS (
+  SELECT x.path, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.path = y.path)) AS leaves, sum((y.n - 1) * y.words) AS saved
+  FROM n x JOIN n y ON starts_with(y.path, x.path) GROUP BY x.path)
+SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(k.n, 0) AS n_children, b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens,
+  sha256(n.ids) AS ends_sha256
+FROM n JOIN b ON b.path = n.path LEFT JOIN k ON k.path = n.path LEFT JOIN n u ON n.depth > 0 AND u.path = left(n.path, 64 * (n.depth - 1)::BIGINT)"""
+
+
+@query("op13_conversation_trie", TRIE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
