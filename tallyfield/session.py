@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,9 +64,37 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+SCRATCH = threading.local()
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    if getattr(SCRATCH, "open", None):
+        SCRATCH.open[-1].append(path)
+    return path
+
+
+def released(spark: SparkSession, build: Callable[[], DataFrame], label: str = "result") -> DataFrame:
+    """Store what `build` returns, then delete every table that `build` stored on the way."""
+    SCRATCH.open = [*getattr(SCRATCH, "open", []), made := []]
+    try:
+        result = build()
+    except BaseException:
+        discard(spark, made)
+        raise
+    finally:
+        SCRATCH.open = SCRATCH.open[:-1]
+    kept = stored(result, label)
+    discard(spark, made)
+    return kept
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables in the shared folder, whatever its file system."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
