@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path, small_side, stored, tune
+from ..session import fresh_path, released, small_side, stored, tune
 
-__all__ = ["table", "stored", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower"]
+__all__ = ["table", "stored", "released", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = np.zeros(256, bool)
@@ -109,8 +109,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataF
 
     The rows are those with the smallest hash of the id among labelled rows outside
     the held-out fold, the same ones in every run; an id with both labels counts as
-    the lower one; ids or labels that are null are left out.  The bound on the
-    sample makes the broadcast of its ids bounded too.
+    the lower one; ids or labels that are null are left out; of rows with one id the text with the
+    smallest (hash, text) counts.  The bound on the sample makes the broadcast of its ids bounded too.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
@@ -118,7 +118,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataF
     drawn = [known.where(F.col("label") == c).orderBy("rank", "doc_id").limit(per_label) for c in (0, 1)]
     ids = stored(drawn[0].unionByName(drawn[1]), "sampled-ids")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return stored(texts.join(F.broadcast(ids.select("doc_id", "label")), "doc_id").select("text", "label"), "sample")
+    found = texts.join(F.broadcast(ids.select("doc_id", "label")), "doc_id")
+    one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "label")).alias("row"))
+    return stored(one.select("row.text", "row.label"), "sample")
 
 
 def word_starts(data: np.ndarray, offset: np.ndarray) -> np.ndarray:

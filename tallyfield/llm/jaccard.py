@@ -9,11 +9,12 @@ meet in one node) and knows two kinds of pivots:
   to the regions of its first pivots in one global order, as many as the distance
   bound asks for: two documents within the radius share regions, at least ``votes`` many
   (the window below).  Common shingles come last in the order.
-* *Document pivots.*  Regions of common shingles hold many near copies.  There a
-  document becomes the pivot, distances to it are computed, the ball within the radius
-  is one component, and the triangle inequality |d(x,p) - d(y,p)| <= d(x,y) says which
-  documents of the ball must still meet the rest (the boundary).  What is left of the
-  region is joined again in the same way until nothing is left, or few enough to compare.
+* *Document pivots.*  Regions of common shingles hold many near copies, the same ones in
+  hundreds of regions.  There a document is the pivot, and regions with one pivot are one
+  cell.  Large cells are divided by size and then into the Voronoi regions of further pivots; the
+  triangle inequality says which documents lie at a boundary and must meet the next region too.
+  Regions are joined in the same way until they are few enough to compare, all of
+  them against all, in one task; a cell that pivots can't divide is compared slice by slice.
 
 Window of shingle pivots: with n shingles a pair within the radius shares at least
 o = ceil(0.75 / 1.75 * (n1 + n2)) of them.  From the first k = n - ceil(0.75 n) + ceil(n / 20)
@@ -27,6 +28,7 @@ table gives an empty table; further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,12 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix, slices, small_side, stored, text_array, words_of
+from .common import mix, released, slices, small_side, stored, text_array, words_of
 
 WIDTH = 5
 COMMON = 6  # a shingle counted so often comes last in the order
-FEW = 64  # members that meet pair by pair
 LARGE = 256  # regions above are divided further, never compared pair by pair
+CELL, WEIGHT = 512, 4_000_000  # members, and shingles of a cell that is compared in one task
+PIVOTS = 8  # of a cell that is divided
 CHUNK = 8_000_000  # shingles a task counts at once
 MAX_COMMON = 1 << 20  # bound on the common shingles that are broadcast
 
@@ -89,14 +92,14 @@ def shared_at_least(n1, n2):
 
 
 def survey(docs: DataFrame) -> DataFrame:
-    """One row per document (id, signature, size) and rows of shingles that a task meets often."""
-    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *(StructField(c, LongType()) for c in ("sig", "n", "shingle", "held"))])
+    """One row per document (id, hash of the text, signature, size) and rows of shingles that a task meets often."""
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *(StructField(c, LongType()) for c in ("mark", "sig", "n", "shingle", "held"))])
 
     def often(kept: list[np.ndarray], kind) -> pa.RecordBatch:
         value, count = np.unique(np.concatenate(kept), return_counts=True)
         value, count = value[count > 1], count[count > 1]
         none = pa.nulls(len(value), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.nulls(len(value), kind), none, none, pa.array(value.view(np.int64)), pa.array(count)], schema.names)
+        return pa.RecordBatch.from_arrays([pa.nulls(len(value), kind), none, none, none, pa.array(value.view(np.int64)), pa.array(count)], schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size, seen, kind = [], 0, set(), pa.int64()
@@ -113,14 +116,14 @@ def survey(docs: DataFrame) -> DataFrame:
                         size += len(s)
                 none = pa.nulls(hi - lo, pa.int64())
                 found = pa.array([None if x < 0 else x for x in sigs], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), found, pa.array([len(s) for s in sets], pa.int64()), none, none], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), found, pa.array([len(s) for s in sets], pa.int64()), none, none], schema.names)
                 if size > CHUNK:
                     yield often(kept, kind)
                     kept, size, seen = [], 0, set()
         if kept:
             yield often(kept, kind)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, schema)
 
 
 def common_shingles(rows: DataFrame) -> np.ndarray:
@@ -300,45 +303,134 @@ LINKED = "100 * shared >= 75 * joint"
 
 
 def divide(regions: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """(sig, root) of all linked nodes, after the regions (region, sig) of common shingles are joined too.
+    """Links (a, b) between components so far, among the members (region, sig, n) of common regions.
 
-    A pair counts only if its ends are in different components so far; a region within
-    one component is done.  Each turn compares some pivots of every other region with
-    the rest of it and takes them out.
+    The region's first member in a hash order is its pivot; regions with one pivot are one cell, so a pair that
+    shares many regions meets once.  Cells are divided until they are small: by bands of set sizes, then by
+    Voronoi regions of pivots; a cell that pivots can't divide, as all its members are about
+    equally near to each other, is compared slice by slice.  A cell within one component is done.
     """
-    state, turn, roots = regions, 0, None
+    best = regions.groupBy("region").agg(F.min(F.struct(F.xxhash64("sig"), "sig")).alias("best"))
+    named = regions.join(best.select("region", F.col("best.sig").alias("cell")), "region")
+    state = named.groupBy("cell", "sig").agg(F.max("n").alias("n")).select("cell", "sig", "n", F.lit(True).alias("home"))
+    found, turn = links, 0
     while True:
-        if roots is None:
-            links = stored(links, "links")
-            roots = components(links)
-        named = state.join(roots, "sig", "left").withColumn("comp", F.coalesce("root", "sig"))
-        mixed = named.groupBy("region").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi")
-        live = stored(named.join(mixed.select("region", "size"), "region").select("region", "sig", "comp", "size"), "regions")
-        if live.isEmpty():
-            return roots
-        # few members: every one meets those of other components
-        few = live.where(F.col("size") <= FEW)
-        one, two = few.selectExpr("region", "sig a", "comp ca"), few.selectExpr("region", "sig b", "comp cb")
-        pairs = one.join(two, "region").where("a < b and ca != cb").select("a", "b")
-        # many: members become pivots, mostly the same ones in overlapping regions; more of them in later turns
-        many = live.where(F.col("size") > FEW)
-        rank = F.xxhash64("sig", F.lit(turn))
-        best = many.groupBy("region", F.pmod(rank, F.lit(min(128, 4**turn))).alias("class")).agg(F.min(F.struct(rank, "sig", "comp")).alias("best"))
-        best = best.selectExpr("region", "best.sig pivot", "best.comp pivot_comp")
-        placed = many.join(best, "region").where("sig != pivot and comp != pivot_comp")
-        measured = stored(distances(pairs.unionByName(placed.selectExpr("sig a", "pivot b")).distinct(), sets), "distances")
-        found = measured.where(LINKED).select("a", "b")
-        if not found.isEmpty():
-            links, roots = links.unionByName(found), None
-        far = placed.join(measured.selectExpr("a sig", "b pivot", "1 - shared / joint d", f"{LINKED} linked"), ["sig", "pivot"])
-        edge = far.groupBy("region", "pivot").agg(F.min(F.when(~F.col("linked"), F.col("d"))).alias("edge"))
-        # triangle window: of a ball, only members that may reach one outside it meet the rest
-        inner = far.join(edge, ["region", "pivot"]).where("linked and d < edge - 0.2500001").select("region", "sig")
-        done = inner.unionByName(best.selectExpr("region", "pivot sig")).distinct()
-        state = stored(many.join(done, ["region", "sig"], "left_anti").select("region", "sig"), "regions")
+        found = stored(found, "links")
+        state = stored(state.join(components(found), "sig", "left").select("cell", "sig", "n", "home", F.coalesce("root", "sig").alias("comp")), "cells")
+        sizes = state.groupBy("cell").agg(F.count("*").alias("size"), F.sum("n").alias("weight"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("home").alias("any"))
+        sizes = sizes.where("lo != hi and any").select("cell", "size", "weight", ((F.col("size") > CELL) | (F.col("weight") > WEIGHT)).alias("large"))
+        live = stored(state.join(sizes, "cell"), "cells")
+        small = live.where("not large").select("cell", "sig", "comp", "home", F.lit(-1).alias("side"))
+        found = found.unionByName(stored(compared(small, sets), "links"))
+        large = live.where("large")
+        if large.isEmpty():
+            return found
+        if turn == 0:
+            band = F.floor(F.log("n") / math.log(1.334))  # sizes of linked sets differ by a third at most: neighbouring bands
+            parts = large.withColumn("band", F.explode(F.array(band, band + 1))).withColumn("own", F.col("band") == band)
+            parts = parts.select("cell", "sig", "n", "comp", (F.col("home") & F.col("own")).alias("home"), F.xxhash64("cell", "band").alias("child"), "size")
+        else:
+            parts, near = voronoi(large, sets, turn)
+            found = found.unionByName(near)
+        parts = stored(parts, "parts")
+        # parts hardly smaller than their cell: pivots can't divide it
+        stuck = parts.groupBy("cell", "child").agg(F.count("*").alias("n"), F.max("size").alias("size")).where("n > 0.75 * size").select("cell").distinct()
+        stuck = stored(stuck, "stuck") if turn else stored(stuck.limit(0), "stuck")
+        found = found.unionByName(stored(compared(slices_of(large.join(stuck, "cell", "left_semi")), sets), "links"))
+        state = parts.join(stuck, "cell", "left_anti").select(F.col("child").alias("cell"), "sig", "n", "home")
         turn += 1
 
 
+def voronoi(cells: DataFrame, sets: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members of cells in the regions of their nearest pivots, with the boundary: (cell, child, sig, n, comp, home, size); and links to pivots.
+
+    Of a pair within the radius r, d(x, q) <= d(x, p) + 2 r for the nearest pivots p of x and q of y: there x is a guest.
+    """
+    rank = F.xxhash64("sig", F.lit(turn))
+    pivots = cells.groupBy("cell", F.pmod(rank, F.lit(PIVOTS)).alias("class")).agg(F.min(F.struct(rank, "sig")).alias("best")).select("cell", F.col("best.sig").alias("pivot"))
+    placed = cells.join(pivots, "cell").select("cell", "sig", "n", "comp", "home", "size", "pivot")
+    apart = placed.where("sig != pivot").select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b")).distinct()
+    measured = stored(distances(apart, sets), "distances")
+    far = placed.withColumn("a", F.least("sig", "pivot")).withColumn("b", F.greatest("sig", "pivot")).join(measured, ["a", "b"], "left")
+    far = far.withColumn("d", F.when(F.col("sig") == F.col("pivot"), 0.0).otherwise(1 - F.col("shared") / F.col("joint")))
+    own = far.groupBy("cell", "sig", "home").agg(F.min(F.struct("d", "pivot")).alias("nearest"), F.max("n").alias("n"), F.max("comp").alias("comp"), F.max("size").alias("size"), F.collect_list(F.struct("d", "pivot")).alias("each"))
+    every = own.withColumn("to", F.explode("each")).where("to.d <= nearest.d + 0.5000001")
+    parts = every.select("cell", "sig", "n", "comp", (F.col("home") & (F.col("to.pivot") == F.col("nearest.pivot"))).alias("home"), F.xxhash64("cell", "to.pivot").alias("child"), "size")
+    return parts, measured.where(LINKED).select("a", "b")
+
+
+def slices_of(cells: DataFrame) -> DataFrame:
+    """Each member in the cells of its slice with itself and with every other slice."""
+    count = F.greatest(F.ceil(F.col("size") * 2 / CELL), F.ceil(F.col("weight") * 2 / WEIGHT)).cast("int")
+    own = cells.withColumn("count", count).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("count")).cast("int"))
+    pairs = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+    side = F.when(F.col("own") == F.col("other"), -1).otherwise((F.col("own") > F.col("other")).cast("int"))
+    return pairs.select(F.xxhash64("cell", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "sig", "comp", "home", side.alias("side"))
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections: rare shingles pair by pair, frequent ones by matrix products of blocks."""
+    n = len(sets)
+    counts = np.zeros((n, n), np.float32)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    value = np.concatenate(sets)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    start = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    times = np.diff(np.append(start, len(value)))
+    column = np.repeat(np.arange(len(start)), times)
+    rare = times[column] <= 32
+    a, b = owner[rare], column[rare]
+    live, step = np.arange(len(a)), 1
+    flat = counts.reshape(-1)
+    while len(live):
+        live = live[live + step < len(a)]
+        live = live[b[live] == b[live + step]]
+        np.add.at(flat, a[live] * n + a[live + step], 1)
+        step += 1
+    names, at = np.unique(column[~rare], return_inverse=True)
+    who = owner[~rare]
+    for lo in range(0, len(names), 4096):
+        within = (at >= lo) & (at < lo + 4096)
+        block = np.zeros((n, 4096), np.float32)
+        block[who[within], at[within] - lo] = 1
+        counts += np.triu(block @ block.T, 1)
+    return counts
+
+
+def compared(cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of a cell (cell, sig, comp, home, side), every two of which are compared exactly.
+
+    Two guests aren't compared, nor two members of one side of a cell with sides.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        sig, comp, side = (table[c].to_numpy() for c in ("sig", "comp", "side"))
+        home = table["home"].to_numpy(zero_copy_only=False)
+        out: list[tuple[int, int]] = []
+        if len(np.unique(comp)) > 1:
+            members = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"].combine_chunks()]
+            size = np.array([len(s) for s in members], np.float32)
+            i = shared_counts(members)
+            a, b = np.nonzero((100 * i >= 75 * (size[:, None] + size[None, :] - i)) & (i > 0))
+            take = (comp[a] != comp[b]) & (home[a] | home[b]) & ((side[a] != side[b]) | (side[a] < 0))
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while (up := parent.get(x, x)) != x:
+                    parent[x] = x = parent.get(up, up)
+                return x
+
+            for x, y in zip(a[take].tolist(), b[take].tolist()):
+                p, q = root(int(comp[x])), root(int(comp[y]))
+                if p != q:
+                    parent[p] = q
+                    out.append((int(sig[x]), int(sig[y])))
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return cells.join(sets, "sig").groupBy("cell").applyInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(sig, root) of every linked node: repeated contraction towards the smallest neighbour."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
@@ -354,11 +446,15 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def joined(docs: DataFrame) -> DataFrame:
+    """Stored, one row per document: doc_id, mark (hash of the text), n, and `first`, the smallest (doc_id, mark) of its component."""
+    return released(docs.sparkSession, lambda: components_of(docs), "components")
+
+
+def components_of(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text")
     seen = stored(survey(docs), "survey")
-    members = seen.where("shingle is null").select("doc_id", "sig", "n")
+    members = seen.where("shingle is null").select("doc_id", "mark", "sig", "n")
     common = common_shingles(seen)
     while True:
         met = stored(meet(windows(docs, common)), "met")
@@ -367,33 +463,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         common = np.concatenate([common, np.setdiff1d(more, common)])
     pairs = stored(candidates(met), "candidates")
-    regions = met.where(F.col("kind") == MEMBER).select(F.col("a").alias("region"), F.col("b").alias("sig")).distinct()
+    regions = met.where(F.col("kind") == MEMBER).groupBy(F.col("a").alias("region"), F.col("b").alias("sig")).agg(F.max(size_of("a_info")).alias("n"))
     shared = regions.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     regions = stored(regions.join(shared.select("region"), "region"), "regions")
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).unionByName(regions.select("sig")).distinct()
     sets = sets_of(docs, members, wanted)
     links = distances(pairs, sets).where(LINKED).select("a", "b")
-    roots = divide(regions, sets, links)
-    least = members.where("sig is not null").groupBy("sig").agg(F.min("doc_id").alias("least"))
+    roots = components(stored(divide(regions, sets, links), "links"))
+    least = members.where("sig is not null").groupBy("sig").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))).alias("least"))
     rooted = least.join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("sig", "component_id")
-    joined = members.join(named, "sig", "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    return members.join(rooted.join(smallest, "root").select("sig", "first"), "sig", "left").select("doc_id", "mark", "n", "first")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    found = joined(docs)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` without near duplicates: of each component the document with the smallest id stays.
+    """The rows of `docs` without near duplicates: of each component the document with the smallest (id, hash of the text) stays.
 
-    Documents without a set and documents with a null id stay; of rows repeated with the same id and
-    text one stays.
+    A row is known by its id and text, so another text under the same id is judged alone.  Documents
+    without a set and documents with a null id stay; of rows repeated with the same id and text one stays.
     """
-    found = stored(near_duplicates(docs), "components")
-    gone = small_side(found.where("n_shingles > 0 and doc_id is not null and component_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct())
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    again = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1")
+    found = joined(docs).where("doc_id is not null")
+    key = (F.col("doc_id") == F.col("__id")) & (F.col("__mark") == F.xxhash64("text"))
+    names = [F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")]
+    gone = small_side(found.where("n > 0 and first is not null and (doc_id != first.doc_id or mark != first.mark)").select(*names).distinct())
+    kept = docs.join(gone, key, "left_anti")
+    again = found.groupBy("doc_id", "mark").agg(F.count("*").alias("rows")).where("rows > 1")
     if again.isEmpty():
         return kept
-    again = small_side(again.select(F.col("doc_id").alias("__again")))
-    single = kept.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
-    return single.unionByName(kept.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id", "text"]))
+    again = small_side(again.select(*names))
+    single = kept.join(again, key, "left_anti")
+    return single.unionByName(kept.join(again, key, "left_semi").dropDuplicates(["doc_id", "text"]))
