@@ -44,7 +44,8 @@ COMMON = 6  # a shingle counted so often comes last in the order
 LARGE = 256  # regions above are divided further, never compared pair by pair
 CELL, WEIGHT = 512, 4_000_000  # members, and shingles of a cell that is compared in one task
 PIVOTS = 8  # of a cell that is divided
-CHUNK = 8_000_000  # shingles a task counts at once
+CHUNK = 2_000_000  # shingles a task counts at once
+TEXT_BYTES = 2 << 20  # of text that is cut into shingles at once
 MAX_COMMON = 1 << 20  # bound on the common shingles that are broadcast
 
 
@@ -106,7 +107,7 @@ def survey(docs: DataFrame) -> DataFrame:
         for batch in batches:
             kind = batch.column(0).type
             texts = text_array(batch.column(1))
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, TEXT_BYTES):
                 sets = shingle_sets(texts.slice(lo, hi - lo))
                 sigs = [signature(s) for s in sets]
                 for sig, s in zip(sigs, sets):
@@ -163,7 +164,7 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
         seen, (known, rank) = set(), shared.value
         for batch in batches:
             texts = text_array(batch.column(0))
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, TEXT_BYTES):
                 shingle, sig, info = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for s in shingle_sets(texts.slice(lo, hi - lo)):
                     name, n = signature(s), len(s)
@@ -272,7 +273,7 @@ def sets_of(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_array(batch.column(0))
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, TEXT_BYTES):
                 sets = [s for s in shingle_sets(texts.slice(lo, hi - lo)) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "shingles"])
 
