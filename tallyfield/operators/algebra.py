@@ -184,6 +184,42 @@ def unfold(
     return out
 
 
+def unfold_covariance(data: DataFrame, response: DataFrame, by: Sequence[str], gen: Sequence[str], reco: Sequence[str], iterations: int) -> DataFrame:
+    """Covariance of the unfolded contents from the measured errors: (by..., gen..., gen..._2, covariance).
+
+    The derivative of every unfolded bin by every measured bin is carried through the rounds as a
+    table (gen bin, reco bin, value): a round adds the unfolding matrix, scales the last derivative by the change of the
+    bin, and takes off what the prior of all gen bins that share a reco bin changes in the matrix.
+    Each round is stored, and costs joins of tables of bins only.
+    """
+    shared = [c for c in by if c in response.columns]
+    measured = data.select(*by, *reco, F.col("content").alias("__d"), F.col("sumw2").alias("__e2"))
+    base = column_normalised(response, shared, gen).join(measured, [*shared, *reco])
+    base = stored(base.select(*by, *gen, *reco, "p", "__d", "__e2"), "unfold")
+    other, wrt = [f"{c}_2" for c in gen], [f"__by_{c}" for c in reco]
+    prior, keys, slope = response.groupBy(*shared, *gen).agg(F.sum("w").alias("__u")), shared, None
+    for _ in range(iterations):
+        joint = base.join(prior, [*keys, *gen]).withColumn("__j", F.col("p") * F.col("__u"))
+        total = F.sum("__j").over(Window.partitionBy(*by, *reco))
+        m = stored(joint.withColumn("__m", F.coalesce(F.try_divide(F.col("__j"), total), F.lit(0.0))).select(*by, *gen, *reco, "__m", "__d", "__u"), "unfold-matrix")
+        after = m.groupBy(*by, *gen).agg(F.sum(F.col("__m") * F.col("__d")).alias("__next"), F.max("__u").alias("__u"))
+        direct = m.select(*by, *gen, *[F.col(c).alias(w) for c, w in zip(reco, wrt)], F.col("__m").alias("__v"))
+        if slope is not None:
+            change = after.withColumn("__f", F.coalesce(F.try_divide(F.col("__next"), F.col("__u")), F.lit(0.0)))
+            scaled = slope.join(change.select(*by, *gen, "__f"), [*by, *gen]).select(*by, *gen, *wrt, (F.col("__v") * F.col("__f")).alias("__v"))
+            right = m.select(*by, *reco, *[F.col(c).alias(o) for c, o in zip(gen, other)], F.coalesce(F.try_divide(F.col("__m"), F.col("__u")), F.lit(0.0)).alias("__m2"))
+            pulls = m.join(right, [*by, *reco]).groupBy(*by, *gen, *other).agg(F.sum(F.col("__m") * F.col("__m2") * F.col("__d")).alias("__k"))
+            moved = slope.select(*by, *[F.col(c).alias(o) for c, o in zip(gen, other)], *wrt, "__v")
+            taken = pulls.join(moved, [*by, *other]).select(*by, *gen, *wrt, (-F.col("__k") * F.col("__v")).alias("__v"))
+            direct = direct.unionByName(scaled).unionByName(taken)
+        slope = stored(direct.groupBy(*by, *gen, *wrt).agg(F.sum("__v").alias("__v")), "unfold-slopes")
+        prior, keys = stored(after.select(*by, *gen, F.col("__next").alias("__u")), "unfold-prior"), list(by)
+    errors = measured.select(*by, *[F.col(c).alias(w) for c, w in zip(reco, wrt)], "__e2")
+    left = slope.join(errors, [*by, *wrt])
+    right = slope.select(*by, *wrt, *[F.col(c).alias(o) for c, o in zip(gen, other)], F.col("__v").alias("__v2"))
+    return left.join(right, [*by, *wrt]).groupBy(*by, *gen, *other).agg(F.sum(F.col("__v") * F.col("__v2") * F.col("__e2")).alias("covariance"))
+
+
 def refold(unfolded: DataFrame, data: DataFrame, response: DataFrame, by, gen, reco, keep: Sequence[str]) -> DataFrame:
     """data / fold(unfolded), summed onto the kept reco axes."""
     folded = project(fold(unfolded, response, by, gen, reco), [*by, *keep])
