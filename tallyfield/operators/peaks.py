@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform
 from ..functions.predicates import Operand, col
+from .fits import curve_error, with_named
 from .hist import rebin_by
 
 
@@ -196,46 +197,64 @@ def multi_trial(
     min_significance: float,
     reject_sigma: float = 3.0,
 ) -> DataFrame:
-    """Signal yield for a grid of fit settings: (by..., trial, signal, signal_err, chi2, signif, accepted).
+    """Signal yield for a grid of fit settings: (by..., trial, signal, signal_err, chi2, signif, accepted, bkg, bkg_err, signif_err).
 
-    A trial holds ``rebin``, ``lo``, ``hi`` (fit range), ``order`` (1 or 2),
-    ``window`` (count window in sigma) and ``width`` (factor on sigma, 1 for the
+    A trial holds ``rebin``, ``lo``, ``hi`` (fit range), ``order`` (1 or 2) or ``background``
+    "exponential", ``window`` (count window in sigma) and ``width`` (factor on sigma, 1 for the
     nominal width).  Trials multiply bins, never rows: all fits are one
-    aggregation over (group, trial), whose power sums serve both orders.
+    aggregation over (group, trial), whose power sums serve both orders; an exponential is a line through
+    the logarithms.  The error of the background follows from the inverse of the normal equations.
     """
-    grid = F.expr("array(" + ", ".join(
-        f"named_struct('trial', {i}, 'rebin', {int(t['rebin'])}, 'fit_lo', {float(t['lo'])!r}D, 'fit_hi', {float(t['hi'])!r}D, "
-        f"'order', {int(t['order'])}, 'window', {float(t['window'])!r}D, 'width', {float(t.get('width', 1.0))!r}D)"
-        for i, t in enumerate(trials)) + ")")
+    def one(i: int, t: Mapping) -> str:
+        bent = t.get("background") == "exponential"
+        return (
+            f"named_struct('trial', {i}, 'rebin', {int(t['rebin'])}, 'fit_lo', {float(t['lo'])!r}D, 'fit_hi', {float(t['hi'])!r}D, "
+            f"'order', {1 if bent else int(t['order'])}, 'bent', {str(bent).lower()}, 'window', {float(t['window'])!r}D, 'width', {float(t.get('width', 1.0))!r}D)"
+        )
+
+    grid = F.expr("array(" + ", ".join(one(i, t) for i, t in enumerate(trials)) + ")")
     fine = hist.where(F.col("ix").between(1, axis.n)).select(*by, "ix", "content", "sumw2", F.explode(grid).alias("t"))
     bins = rebin_by(fine.select(*by, "t.*", "ix", "content", "sumw2"), "rebin").join(peaks, list(by))
     x = F.lit(axis.lo) + (F.col("ix") - 0.5) * F.col("rebin") * axis.width
-    sigma = F.col("sigma") * F.col("width")
+    sigma, bent = F.col("sigma") * F.col("width"), F.col("bent")
     bins = bins.withColumn("x", x).withColumn("__y", F.col("content") / F.col("rebin")).withColumn("__v", F.col("sumw2") / (F.col("rebin") * F.col("rebin")))
     away = F.abs(F.col("x") - F.col("mean")) > reject_sigma * sigma
-    used = away & F.col("x").between(F.col("fit_lo"), F.col("fit_hi")) & (F.col("__v") > 0)
+    used = away & F.col("x").between(F.col("fit_lo"), F.col("fit_hi")) & (F.col("__v") > 0) & (~bent | (F.col("__y") > 0))
     centre, half = (axis.lo + axis.hi) / 2, (axis.hi - axis.lo) / 2
-    weight = F.try_divide(F.lit(1.0), F.col("__v"))
-    sums = _power_sums(bins, [*by, "trial", "order"], 2, "x", "__y", weight, centre, half, used)
+    weight = F.try_divide(F.when(bent, F.col("__y") * F.col("__y")).otherwise(1.0), F.col("__v"))
+    value = F.when(bent, F.ln(F.greatest("__y", F.lit(1e-300)))).otherwise(F.col("__y"))
+    sums = _power_sums(bins, [*by, "trial", "order"], 2, "x", value, weight, centre, half, used)
     line, parabola, first = _coefficients(1) + [F.lit(0.0)], _coefficients(2), F.col("order") == 1
+    powers = [f"__s{i}" for i in range(5)]
     fits = sums.select(
         *by, "trial", *[F.when(first, a).otherwise(b).alias(f"c{k}") for k, (a, b) in enumerate(zip(line, parabola))],
-        "n_points", (F.col("order") + 1).alias("n_par"))
+        "n_points", (F.col("order") + 1).alias("n_par"), *powers)
     scored = bins.join(fits, [*by, "trial"])
-    model = curve("x", ["c0", "c1", "c2"], axis)
+    straight = curve("x", ["c0", "c1", "c2"], axis)
+    model = F.when(bent, F.exp(straight)).otherwise(straight)
     near = F.abs(F.col("x") - F.col("mean")) <= F.col("window") * sigma
     pull = F.try_divide((F.col("__y") - model) * (F.col("__y") - model), F.col("__v"))
     ndf = F.max("n_points") - F.max("n_par")
+    t = (F.col("x") - centre) / half
+    slope = F.col("rebin") * F.when(bent, model).otherwise(1.0)  # of the background by its constant term
     out = scored.groupBy(*by, "trial").agg(
         F.sum(F.when(near, F.col("content") - model * F.col("rebin"))).alias("signal"),
         F.sqrt(F.sum(F.when(near, F.col("sumw2")))).alias("signal_err"),
         F.sum(F.when(near, model * F.col("rebin"))).alias("bkg"),
         F.try_divide(F.sum(F.when(used, pull)), ndf).alias("chi2"),
+        F.max("n_par").alias("n_par"),
+        *[F.max(c).alias(c) for c in powers],
+        *[F.sum(F.when(near, slope * p)).alias(f"__i{k}") for k, p in enumerate([F.lit(1.0), t, t * t])],
     )
-    signif = significance("signal", "bkg", "signal_err", F.lit(0.0))["signif"]
-    out = out.withColumn("signif", signif)
+    kept = [*by, "trial", "signal", "signal_err", "bkg", "chi2", "n_par"]
+    third = with_named(out, curve_error(3, powers, ["__i0", "__i1", "__i2"])).select(*kept, *powers, "__i0", "__i1", F.col("variance").alias("third"))
+    both = with_named(third, curve_error(2, powers, ["__i0", "__i1"])).select(*kept, F.when(F.col("n_par") == 3, F.col("third")).otherwise(F.col("variance")).alias("variance"))
+    out = both.withColumn("bkg_err", F.sqrt(F.greatest("variance", F.lit(0.0))))
+    scores = significance("signal", "bkg", "signal_err", "bkg_err")
+    out = out.withColumns({"signif": scores["signif"], "signif_err": scores["signif_err"]})
     good = (F.col("chi2") <= max_chi2) & (F.col("signif") >= min_significance)
-    return out.withColumn("accepted", F.coalesce(good, F.lit(False))).drop("bkg")
+    accepted = F.coalesce(good, F.lit(False)).alias("accepted")
+    return out.select(*by, "trial", "signal", "signal_err", "chi2", "signif", accepted, "bkg", "bkg_err", "signif_err")
 
 
 def seed_chain(nominal: DataFrame, by: Sequence[str], parameters: Sequence[str], stages: Sequence[DataFrame], locked: Sequence[str] = ()) -> DataFrame:

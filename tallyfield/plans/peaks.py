@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform, inside
-from ..operators import hist, peaks, scans
+from ..operators import fits, hist, peaks, scans
 from ..session import stored
 from .registry import SHAPE, query, rounded, sql_bin
 from .selections import items
@@ -86,6 +86,53 @@ def h01(spark, sf):
     return labelled_peaks(mass_cube(spark, sf)).select("ipt", rounded("mean", 4).alias("mean"), rounded("sigma", 4).alias("sigma"))
 
 
+def cramer(n: int, right: list[str], matrix: str = "n") -> list[str]:
+    """Solutions of a symmetric system by determinants."""
+    m = [[f"{matrix}{max(i, j)}_{min(i, j)}" for j in range(n)] for i in range(n)]
+    det = sql_det(m)
+    return [f"{sql_det([[right[r] if c == p else m[r][c] for c in range(n)] for r in range(n)])} / {det}" for p in range(n)]
+
+
+FIT_ROUNDS = 4
+
+
+def peak_fit_sql() -> str:
+    """Gauss-Newton rounds of a Gaussian on a line through the labelled histogram, from its moments."""
+    z = "((t - u) / s)"
+    bell = f"exp(-0.5 * {z} * {z})"
+    slopes = [bell, f"h * {bell} * {z} / s", f"h * {bell} * {z} * {z} / s", "1.0", "t"]
+    cells = ", ".join(f"sum(w * q{i} * q{j}) AS n{i}_{j}" for i in range(5) for j in range(i + 1))
+    right = ", ".join(f"sum(w * q{i} * r) AS g{i}" for i in range(5))
+    parts = [
+        peak_ctes(),
+        f"fb AS (SELECT ipt, (x - {CENTRE}) / {HALF} AS t, content AS y, 1.0 / sumw2 AS w FROM mh WHERE sumw2 > 0)",
+        f"p0 AS (SELECT ipt, max(y)::DOUBLE AS h, any_value((mean - {CENTRE}) / {HALF}) AS u, any_value(sigma / {HALF}) AS s, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1 FROM fb JOIN pk USING (ipt) GROUP BY ipt)",
+    ]
+    for k in range(FIT_ROUNDS + 1):
+        q = ", ".join(f"{e} AS q{i}" for i, e in enumerate(slopes))
+        parts.append(f"a{k} AS (SELECT ipt, {cells}, {right}, sum(w * r * r) AS chi2, count(*) AS np FROM (SELECT ipt, w, y - (h * {bell} + c0 + c1 * t) AS r, {q} FROM fb JOIN p{k} USING (ipt)) GROUP BY ipt)")
+        if k < FIT_ROUNDS:
+            damp = 1 + (fits.DAMPING[k] if k < len(fits.DAMPING) else 0.0)
+            scaled = ", ".join(f"n{i}_{j} * {damp if i == j else 1.0} AS n{i}_{j}" for i in range(5) for j in range(i + 1))
+            x = ", ".join(f"{e} AS x{i}" for i, e in enumerate(cramer(5, [f"g{i}" for i in range(5)])))
+            parts.append(f"x{k} AS (SELECT ipt, {x} FROM (SELECT ipt, {scaled}, {', '.join(f'g{i}' for i in range(5))} FROM a{k}))")
+            parts.append(f"p{k + 1} AS (SELECT ipt, h + x0 AS h, u + greatest(-2 * s, least(2 * s, x1)) AS u, greatest(s / 3, least(3 * s, s + x2)) AS s, c0 + x3 AS c0, c1 + x4 AS c1 FROM p{k} JOIN x{k} USING (ipt))")
+    # the diagonal of the inverse: minors over the determinant
+    m = [[f"n{max(i, j)}_{min(i, j)}" for j in range(5)] for i in range(5)]
+    minor = lambda p: sql_det([[m[r][c] for c in range(5) if c != p] for r in range(5) if r != p])
+    return ", ".join(parts) + f""" SELECT ipt, round({CENTRE} + u * {HALF}, 2) AS mean, round(s * {HALF}, 2) AS sigma, round(h, 4) AS height, round(sqrt({minor(1)} / {sql_det(m)}) * {HALF}, 2) AS mean_err,
+        round(sqrt({minor(0)} / {sql_det(m)}), 4) AS height_err, round(h * s * sqrt(2 * pi()) * {HALF / PK.width}, 3) AS signal, round(chi2, 4) AS chi2, np - 5 AS ndf
+        FROM p{FIT_ROUNDS} JOIN a{FIT_ROUNDS} USING (ipt)"""
+
+
+@query("H01_peak_fit", peak_fit_sql())
+def h01_fit(spark, sf):
+    cube = mass_cube(spark, sf)
+    fit = fits.peak_fit(mass(cube, "R"), ["ipt"], PK, labelled_peaks(cube), "line", FIT_ROUNDS)
+    return fit.select("ipt", rounded("mean", 2).alias("mean"), rounded("sigma", 2).alias("sigma"), rounded("height", 4).alias("height"), rounded("mean_err", 2).alias("mean_err"),
+                      rounded("height_err", 4).alias("height_err"), rounded("signal", 3).alias("signal"), rounded("chi2", 4).alias("chi2"), "ndf")
+
+
 @query(
     "H02_polynomial_background",
     f"WITH dh AS {mass_sql('N')} SELECT ipt, round(c0, 5) AS c0, round(c1, 5) AS c1, round(c2, 5) AS c2, n_points FROM "
@@ -205,6 +252,47 @@ def h07_spread(spark, sf):
     return out.select("ipt", rounded("mean", 3).alias("mean"), rounded("rms", 3).alias("rms"))
 
 
+ERROR_TRIALS = [
+    {"rebin": r, "lo": 900.0, "hi": 90000.0, "order": 0 if b == "exponential" else b, "background": b, "window": 1.5, "width": 1.0} for r in (1, 2) for b in (1, 2, "exponential")
+]
+
+
+def _error_sql() -> str:
+    """The trials one by one: fit by determinants, error of the background by the inverse of the power sums."""
+    trials = []
+    for i, t in enumerate(ERROR_TRIALS):
+        n, bent, r = 3 if t["order"] == 2 else 2, t["background"] == "exponential", t["rebin"]
+        y, v, tt = f"(content / {r})", f"(sumw2 / {r * r})", f"((x - {CENTRE}) / {HALF})"
+        w = f"{y} * {y} / {v}" if bent else f"1.0 / {v}"
+        used = f"abs(x - mean) > 1.5 * sigma AND x BETWEEN {t['lo']} AND {t['hi']} AND sumw2 > 0" + (" AND content > 0" if bent else "")
+        near = f"abs(x - mean) <= {t['window']} * sigma"
+        value = f"ln(CASE WHEN content > 0 THEN {y} END)" if bent else y
+        sums = ", ".join(f"sum({w} * pow({tt}, {k})) FILTER ({used}) AS s{k}" for k in range(2 * n - 1)) + ", " + ", ".join(f"sum({w} * {value} * pow({tt}, {k})) FILTER ({used}) AS g{k}" for k in range(n))
+        m = [[f"s{a + b}" for b in range(n)] for a in range(n)]
+        solve = lambda right, m=m, n=n: [f"{sql_det([[right[q] if c == p else m[q][c] for c in range(n)] for q in range(n)])} / {sql_det(m)}" for p in range(n)]
+        coeff = ", ".join(f"{e} AS c{k}" for k, e in enumerate(solve([f"g{k}" for k in range(n)])))
+        poly = " + ".join(f"c{k} * pow({tt}, {k})" for k in range(n))
+        model = f"exp({poly})" if bent else f"({poly})"
+        inner = ", ".join(f"sum({r} * pow({tt}, {k})" + (f" * {model}" if bent else "") + f") FILTER ({near}) AS i{k}" for k in range(n))
+        back = " + ".join(f"i{k} * ({e})" for k, e in enumerate(solve([f"i{k}" for k in range(n)])))
+        s_cols = ", ".join(f"any_value(s{k}) AS s{k}" for k in range(2 * n - 1))
+        trials.append(f"""SELECT ipt, {i} AS trial, signal, signal_err, bkg, sqrt({back}) AS bkg_err FROM (
+          SELECT ipt, sum(content - {r} * {model}) FILTER ({near}) AS signal, sqrt(sum(sumw2) FILTER ({near})) AS signal_err, sum({r} * {model}) FILTER ({near}) AS bkg, {inner}, {s_cols}
+          FROM e{r} JOIN (SELECT *, {coeff} FROM (SELECT ipt, {sums} FROM e{r} GROUP BY ipt)) USING (ipt) GROUP BY ipt)""")
+    bins = [f"""e{r} AS (SELECT ipt, mean, sigma, 900.0 + (ix - 0.5) * {r} * {PK.width} AS x, content, sumw2 FROM (
+        SELECT ipt, floor((ix - 1) / {r}) + 1 AS ix, sum(content) AS content, sum(sumw2) AS sumw2 FROM dh GROUP BY ALL) JOIN pk USING (ipt))""" for r in (1, 2)]
+    return peak_ctes() + ", " + ", ".join(bins) + ", res AS (" + " UNION ALL ".join(trials) + """) SELECT ipt, trial::INTEGER AS trial, round(signal, 3) AS signal, round(bkg, 3) AS bkg, round(bkg_err, 3) AS bkg_err,
+        round(CASE WHEN signal > 0 AND signal + bkg > 0 THEN signal / sqrt(signal + bkg) * sqrt((signal_err * signal_err + bkg_err * bkg_err) / (4 * (signal + bkg) * (signal + bkg))
+          + bkg / (signal + bkg) * signal_err * signal_err / (signal * signal)) ELSE 0 END, 4) AS signif_err FROM res"""
+
+
+@query("H07_trial_errors", _error_sql())
+def h07_errors(spark, sf):
+    cube = mass_cube(spark, sf)
+    out = peaks.multi_trial(mass(cube, "N"), labelled_peaks(cube), ["ipt"], PK, ERROR_TRIALS, 3.0, 0.2, reject_sigma=1.5)
+    return out.select("ipt", "trial", *[rounded(c, 3).alias(c) for c in ("signal", "bkg", "bkg_err")], rounded("signif_err", 4).alias("signif_err"))
+
+
 @query(
     "H08_seed_chain",
     f"""WITH n AS (SELECT {IPT_SQL} AS ipt, avg(l_extendedprice) AS mean, stddev_pop(l_extendedprice) AS sigma FROM lineitem GROUP BY 1),

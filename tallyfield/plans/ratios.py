@@ -218,6 +218,25 @@ def g11(spark, sf):
     return out(algebra.unfold(measured(cube), response(cube), [], G_KEYS, R_KEYS, 4), G_KEYS, 4)
 
 
+def covariance_sql() -> str:
+    """Two rounds: derivatives of the second round's contents through the first round's."""
+    ge = "ix_g, iy_g"
+    return unfold_sql(RESP_SQL, DATA_SQL, 2) + f""", q1 AS (SELECT m.*, d.c AS d, d.v FROM m1 m JOIN dat d USING (ix_r, iy_r)), q2 AS (SELECT m.*, d.c AS d, d.v, u.c AS u FROM m2 m JOIN dat d USING (ix_r, iy_r) JOIN u1 u USING ({ge})),
+      k AS (SELECT a.ix_g, a.iy_g, b.ix_g AS hx, b.iy_g AS hy, sum(a.q * a.d * b.q / b.u) AS k FROM q2 a JOIN q2 b USING (ix_r, iy_r) GROUP BY ALL),
+      j AS (SELECT ix_g, iy_g, ix_r, iy_r, sum(s) AS s FROM (
+        SELECT {ge}, ix_r, iy_r, q AS s FROM q2
+        UNION ALL SELECT {ge}, ix_r, iy_r, q1.q * u2.c / u1.c FROM q1 JOIN u1 USING ({ge}) JOIN u2 USING ({ge})
+        UNION ALL SELECT k.ix_g, k.iy_g, q1.ix_r, q1.iy_r, -k.k * q1.q FROM k JOIN q1 ON q1.ix_g = k.hx AND q1.iy_g = k.hy) GROUP BY ALL)
+      SELECT a.ix_g, a.iy_g, b.ix_g AS ix_g_2, b.iy_g AS iy_g_2, round(sum(a.s * b.s * d.v), 3) AS covariance FROM j a JOIN j b USING (ix_r, iy_r) JOIN dat d USING (ix_r, iy_r) GROUP BY ALL"""
+
+
+@query("G11_unfold_covariance", covariance_sql())
+def g11_covariance(spark, sf):
+    cube = pair_cube(spark, sf)
+    found = algebra.unfold_covariance(measured(cube), response(cube), [], G_KEYS, R_KEYS, 2)
+    return found.select(*G_KEYS, *[f"{c}_2" for c in G_KEYS], rounded("covariance", 3).alias("covariance"))
+
+
 @query(
     "G12_refold",
     unfold_sql(RESP_SQL, DATA_SQL, 3) + """, f AS (SELECT iy_r, sum(c * p) AS c FROM u3 JOIN resp USING (ix_g, iy_g) GROUP BY 1),

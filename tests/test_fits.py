@@ -82,3 +82,17 @@ def test_covariance_equals_numerical_derivatives(spark, rounds):
         for row in got.where(F.col("g") == g).collect():
             mine[row.t, row.t_2] = row.covariance
         assert np.allclose(mine, want, rtol=1e-6, atol=1e-6 * np.abs(want).max())
+
+
+def test_trials_with_an_exponential_background(spark):
+    from tallyfield.operators import peaks
+
+    y = truth("exponential", 3000.0, 1.9, 0.01, 200.0)
+    df = spark.createDataFrame([("a", i + 1, float(v), float(v)) for i, v in enumerate(y)], "g string, ix int, content double, sumw2 double")
+    pk = spark.createDataFrame([("a", 1.9, 0.01)], "g string, mean double, sigma double")
+    trials = [{"rebin": r, "lo": 1.7, "hi": 2.1, "order": o, "background": b, "window": 3.0} for r in (1, 2) for o, b in ((0, "exponential"), (2, "polynomial"))]
+    got = {r.trial: r for r in peaks.multi_trial(df, pk, ["g"], AXIS, trials, 2.0, 3.0, reject_sigma=4.0).collect()}
+    assert set(got) == {0, 1, 2, 3} and all(r.accepted and abs(r.signal / 3000 - 1) < 0.02 for r in got.values())
+    # as many counts under the peak as fitted beside it would give the root of the counts times the ratio
+    assert all(0.1 * math.sqrt(r.bkg) < r.bkg_err < 2 * math.sqrt(r.bkg) and r.signif_err > 0 for r in got.values())
+    assert got[0].bkg_err < got[1].bkg_err  # fewer parameters
