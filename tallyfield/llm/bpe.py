@@ -43,7 +43,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import fresh_path
-from .common import slices, text_array
+from .common import slices, text_array, tidy
 
 BLOCK_BYTES = 32 << 20
 ROWS = 500  # documents of a block that are put together at once
@@ -186,7 +186,7 @@ def in_blocks(docs: DataFrame, pattern: str, buckets: int, parts: int) -> DataFr
             yield from block.batches(arrow, buckets)
 
     spark, name = docs.sparkSession, f"text_blocks_{uuid.uuid4().hex}"
-    made = docs.mapInArrow(run, schema)
+    made = docs.mapInArrow(tidy(run), schema)
     # bucketed by block: the documents meet their ids later without travelling
     made.write.bucketBy(parts, "__block").option("path", fresh_path(spark, "blocks")).option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
@@ -214,7 +214,7 @@ def word_ids(dealt: DataFrame, ranks) -> DataFrame:
         })
 
     out = "__block long, __numbers binary, __sizes binary, __ids binary"
-    return dealt.groupBy("__bucket").applyInArrow(encode, out)
+    return dealt.groupBy("__bucket").applyInArrow(tidy(encode), out)
 
 
 def gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -266,7 +266,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, out: str = "ids") ->
             made.append(pa.Table.from_arrays([*kept, ids], schema=arrow))
         return pa.concat_tables(made)
 
-    return texts.groupBy("__block").cogroup(ids.groupBy("__block")).applyInArrow(join, schema)
+    return texts.groupBy("__block").cogroup(ids.groupBy("__block")).applyInArrow(tidy(join), schema)
 
 
 def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "bytes") -> DataFrame:
@@ -289,7 +289,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", out: str = "by
                 values.append(byte[gather(start[token], size[token])].tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.binary())], [*batch.schema.names, out])
 
-    return encoded.mapInArrow(run, StructType([*encoded.schema.fields, StructField(out, BinaryType())]))
+    return encoded.mapInArrow(tidy(run), StructType([*encoded.schema.fields, StructField(out, BinaryType())]))
 
 
 def byte_table(lines) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

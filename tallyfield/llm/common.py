@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -12,14 +13,14 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_path, released, small_side, stored, tune
 
-__all__ = ["table", "stored", "released", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower"]
+__all__ = ["table", "stored", "released", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower", "tidy"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[0x41:0x5B] += 0x20
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def trim() -> None:
+    """Give freed memory back to the system: Python workers live on between tasks, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trimmer = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trimmer is not None:
+        trimmer(0)
+
+
+def tidy(f: Callable) -> Callable:
+    """f, a function of Arrow batches, of a group or of two groups, with `trim` when it has ended."""
+
+    def ended(out):
+        if not isinstance(out, Iterator):
+            trim()
+            return out
+
+        def rest():
+            yield from out
+            trim()
+
+        return rest()
+
+    if f.__code__.co_argcount == 2:
+        return lambda left, right: ended(f(left, right))
+    return lambda given: ended(f(given))
+
+
 def ascii_lower(text):
     """Column with A-Z in lower case and every other character as it is."""
     return F.translate(text, UPPER, LOWER)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix, released, slices, small_side, stored, text_array, words_of
+from .common import mix, released, slices, small_side, stored, text_array, tidy, words_of
 
 WIDTH = 5
 COMMON = 6  # a shingle counted so often comes last in the order
@@ -45,7 +45,6 @@ LARGE = 256  # regions above are divided further, never compared pair by pair
 CELL, WEIGHT = 512, 4_000_000  # members, and shingles of a cell that is compared in one task
 PIVOTS = 8  # of a cell that is divided
 CHUNK = 2_000_000  # shingles a task counts at once
-TEXT_BYTES = 2 << 20  # of text that is cut into shingles at once
 MAX_COMMON = 1 << 20  # bound on the common shingles that are broadcast
 
 
@@ -107,7 +106,7 @@ def survey(docs: DataFrame) -> DataFrame:
         for batch in batches:
             kind = batch.column(0).type
             texts = text_array(batch.column(1))
-            for lo, hi in slices(texts, TEXT_BYTES):
+            for lo, hi in slices(texts):
                 sets = shingle_sets(texts.slice(lo, hi - lo))
                 sigs = [signature(s) for s in sets]
                 for sig, s in zip(sigs, sets):
@@ -124,7 +123,7 @@ def survey(docs: DataFrame) -> DataFrame:
         if kept:
             yield often(kept, kind)
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, schema)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(tidy(run), schema)
 
 
 def common_shingles(rows: DataFrame) -> np.ndarray:
@@ -164,7 +163,7 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
         seen, (known, rank) = set(), shared.value
         for batch in batches:
             texts = text_array(batch.column(0))
-            for lo, hi in slices(texts, TEXT_BYTES):
+            for lo, hi in slices(texts):
                 shingle, sig, info = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for s in shingle_sets(texts.slice(lo, hi - lo)):
                     name, n = signature(s), len(s)
@@ -183,7 +182,7 @@ def windows(docs: DataFrame, common: np.ndarray) -> DataFrame:
                     seen = set()
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shingle).view(np.int64)), pa.array(np.concatenate(sig)), pa.array(np.concatenate(info))], ["shingle", "sig", "info"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, sig long, info long")
+    return docs.select("text").mapInArrow(tidy(run), "shingle long, sig long, info long")
 
 
 PAIR, MEMBER, OVERFULL = 0, 1, 2
@@ -247,7 +246,7 @@ def meet(rows: DataFrame) -> DataFrame:
             yield batch_of(PAIR, sig[a], sig[b], info[a], info[b], votes)
 
     dealt = rows.repartition(parts, "shingle", F.when(F.col("info") % 2 == 1, F.col("sig")))
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(tidy(run), schema)
 
 
 def size_of(info):
@@ -273,11 +272,11 @@ def sets_of(docs: DataFrame, members: DataFrame, wanted: DataFrame) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_array(batch.column(0))
-            for lo, hi in slices(texts, TEXT_BYTES):
+            for lo, hi in slices(texts):
                 sets = [s for s in shingle_sets(texts.slice(lo, hi - lo)) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([signature(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "shingles"])
 
-    found = rows.mapInArrow(run, "sig long, shingles binary")
+    found = rows.mapInArrow(tidy(run), "sig long, shingles binary")
     return stored(found.groupBy("sig").agg(F.first("shingles").alias("shingles")), "sets")
 
 
@@ -297,7 +296,7 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("sig").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("sig").alias("b"), F.col("shingles").alias("y"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return full.mapInArrow(run, "a long, b long, shared long, joint long")
+    return full.mapInArrow(tidy(run), "a long, b long, shared long, joint long")
 
 
 LINKED = "100 * shared >= 75 * joint"
@@ -429,7 +428,7 @@ def compared(cells: DataFrame, sets: DataFrame) -> DataFrame:
                     out.append((int(sig[x]), int(sig[y])))
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    return cells.join(sets, "sig").groupBy("cell").applyInArrow(run, "a long, b long")
+    return cells.join(sets, "sig").groupBy("cell").applyInArrow(tidy(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

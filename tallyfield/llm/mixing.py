@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import mix as scramble
+from .common import mix as scramble, tidy
 from .common import slices, stored, text_array, word_counts, word_spans
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -50,7 +50,7 @@ def sized(docs: DataFrame) -> DataFrame:
             counts = [word_counts(texts.slice(lo, hi - lo)) for lo, hi in slices(texts)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))], ["doc_id", "source", "rank", "size"])
 
-    return stored(rows.mapInArrow(run, StructType([*rows.schema.fields[:3], StructField("size", LongType())])), "sizes")
+    return stored(rows.mapInArrow(tidy(run), StructType([*rows.schema.fields[:3], StructField("size", LongType())])), "sizes")
 
 
 def targets(sizes: list[float], weights: list[float], share: float = 1.5, most: float = 2.0) -> list[float]:
@@ -184,7 +184,7 @@ def draws(spark: SparkSession, plan: Plan) -> DataFrame:
             for shard, first, count in shared.value.quotas(batch.column(0).to_pylist()):
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in shared.value.drawn(shard, first, count).items()})
 
-    return spark.range(plan.shards).mapInArrow(run, "shard long, slot long, s long, turn long, block long, words long")
+    return spark.range(plan.shards).mapInArrow(tidy(run), "shard long, slot long, s long, turn long, block long, words long")
 
 
 def placed(rows: DataFrame, plan: Plan) -> DataFrame:
@@ -268,4 +268,4 @@ def mixed_texts(docs: DataFrame, seed: int = 3, weights=WEIGHTS, share: float =
                 columns[chars] = pa.array(list(map(len, texts)), pa.int64()).cast(columns[chars].type)
             yield pa.RecordBatch.from_arrays(columns, schema=kept.schema)
 
-    return full.mapInArrow(run, docs.schema)
+    return full.mapInArrow(tidy(run), docs.schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import labelled_sample, mix, slices, text_array, words_of
+from .common import labelled_sample, mix, slices, text_array, tidy, words_of
 
 BUCKETS = 4096
 PER_LABEL = 1500  # the documented bound on labelled rows used for fitting
@@ -137,4 +137,4 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
             votes = np.concatenate(votes) if votes else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(votes, pa.float64())], [*batch.schema.names, out])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, DoubleType())]))
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField(out, DoubleType())]))
