@@ -267,6 +267,32 @@ def counts_by_class(
     return counts.select(*keys, *[e for n in counters for e in (F.col(n), F.sqrt(n).alias(f"{n}_err"))])
 
 
+def reweighted_counts_by_class(
+    df: DataFrame, by: Sequence[str], counters: Mapping[str, Column], weight: str, second: tuple[str, Sequence[float], Sequence[float]],
+    reweighted: Sequence[bool],
+) -> DataFrame:
+    """As ``counts_by_class`` with second bins, of which those marked ``reweighted`` sum weights in place of rows.
+
+    The error is the root of the sum of squared weights.  Counts, weights and their squares
+    are summed in one aggregation per set of bins; a missing weight counts as 0.
+    """
+    c, lows, highs = second
+    w = F.coalesce(F.col(weight).cast("double"), F.lit(0.0))
+    sums = []
+    for n, p in counters.items():
+        sums += [F.count_if(p).cast("double").alias(f"{n}_n"), F.coalesce(F.sum(F.when(p, w)), F.lit(0.0)).alias(f"{n}_w"),
+                 F.coalesce(F.sum(F.when(p, w * w)), F.lit(0.0)).alias(f"{n}_w2")]
+    sets = df.withColumn("__mask", bin_mask(c, lows, highs)).groupBy(*by, "__mask").agg(*sums)
+    spread = sets.withColumn("ibin2", F.explode(mask_bins("__mask", len(lows))))
+    total = spread.groupBy(*by, "ibin2").agg(*[F.sum(f"{n}_{k}").alias(f"{n}_{k}") for n in counters for k in ("n", "w", "w2")])
+    marked = F.col("ibin2").isin([i for i, r in enumerate(reweighted) if r])
+    out = []
+    for n in counters:
+        out += [F.when(marked, F.col(f"{n}_w")).otherwise(F.col(f"{n}_n")).alias(n),
+                F.sqrt(F.when(marked, F.col(f"{n}_w2")).otherwise(F.col(f"{n}_n"))).alias(f"{n}_err")]
+    return total.select(*by, "ibin2", *out)
+
+
 def event_norm(n_sel: Column, n_no_vertex: Column, n_vertex_out: Column) -> Column:
     """Selected events plus the share of vertex-less ones that would lie inside; -1 without accepted events."""
     den = n_sel + n_vertex_out

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform
-from ..operators import evaluate, hist, learners, samples
+from ..operators import boosting, evaluate, hist, learners, ranks, samples
 from ..session import fresh_path, stored
 from .peaks import fit_sql
 from .registry import query, rounded, sql_bin, table
@@ -69,6 +69,40 @@ def k04(spark, sf):
     return scored_test(spark, sf, learners.boosted_trees(depth=3, rounds=10, rate=0.2), "BoostedTrees")
 
 
+ROUNDS = 3
+
+
+def boosting_sql() -> str:
+    """Rounds of boosting over the values of one column: sums of weights below each cut, the purest cut, heavier misses."""
+    steps = ["""w0 AS (SELECT l_quantity AS q, CAST(count(*) FILTER (l_returnflag = 'R') AS DOUBLE) AS p, CAST(count(*) FILTER (l_returnflag <> 'R') AS DOUBLE) AS n,
+                0.0::DOUBLE AS d, 0.0::DOUBLE AS a FROM lineitem GROUP BY 1)"""]
+    for k in range(ROUNDS):
+        steps.append(f"""s{k} AS (SELECT q, lead(q) OVER o AS nq, sum(p) OVER o AS lp, sum(n) OVER o AS ln, sum(p) OVER () - sum(p) OVER o AS rp, sum(n) OVER () - sum(n) OVER o AS rn,
+                         sum(p + n) OVER () AS t FROM w{k} WINDOW o AS (ORDER BY q)),
+           v{k} AS (SELECT *, CASE WHEN round((lp - ln) / t, 12) > 0 THEN 1 ELSE -1 END AS l, CASE WHEN round((rp - rn) / t, 12) > 0 THEN 1 ELSE -1 END AS r FROM s{k} WHERE nq IS NOT NULL
+                    ORDER BY round((lp * ln / (lp + ln) + rp * rn / (rp + rn)) / t, 12), q LIMIT 1),
+           a{k} AS (SELECT (q + nq) / 2 AS cut, l, r, ln(1 / e - 1) AS alpha FROM (SELECT *, (CASE WHEN l > 0 THEN ln ELSE lp END + CASE WHEN r > 0 THEN rn ELSE rp END) / t AS e FROM v{k})),
+           w{k + 1} AS (SELECT q, p * CASE WHEN h > 0 THEN 1 ELSE exp(alpha) END AS p, n * CASE WHEN h > 0 THEN exp(alpha) ELSE 1 END AS n, d + alpha * h AS d, a + alpha AS a
+                        FROM (SELECT *, CASE WHEN q < cut THEN l ELSE r END AS h FROM w{k}, a{k}))""")
+    return f"""WITH {', '.join(steps)} SELECT {KEY_SQL}, CAST(round(d / a, 12) > 0 AS DOUBLE) AS "y_test_predictionAdaBoost", round(1 / (1 + exp(-2 * d / a)), 6) AS "y_test_probAdaBoost"
+        FROM lineitem JOIN w{ROUNDS} ON l_quantity = q"""
+
+
+@query("K04_adaptive_boosting", boosting_sql())
+def k04_adaptive(spark, sf):
+    df = items(spark, sf).select(*KEY, "l_quantity", (F.col("l_returnflag") == "R").cast("int").alias("label"))
+    s = boosting.adaptive_boosting(df, ["l_quantity"], "label", ROUNDS).score(df, "AdaBoost")
+    return s.select(*KEY, "y_test_predictionAdaBoost", rounded("y_test_probAdaBoost").alias("y_test_probAdaBoost"))
+
+
+@query("K04_adaptive_boosting_vectors")
+def k04_adaptive_vectors(spark, sf):
+    """All elements of the vectors, twenty rounds."""
+    train, test = split_vectors(spark, sf)
+    s = boosting.adaptive_boosting(train, E_FEATURES, "label", 20).score(test, "AdaBoost")
+    return s.select("vec_id", "label", "y_test_predictionAdaBoost", "y_test_probAdaBoost")
+
+
 @query("K05_decision_tree")
 def k05(spark, sf):
     return scored_test(spark, sf, learners.decision_tree(depth=4), "DecisionTree")
@@ -162,6 +196,24 @@ def k12(spark, sf):
     return learners.fold_rmse(s, "label", "y_test_prediction").select("fold", rounded("rmse").alias("rmse"))
 
 
+@query(
+    "K12_stratified_folds",
+    f"""WITH d AS (SELECT *, CAST((row_number() OVER (PARTITION BY l_returnflag ORDER BY md5(concat_ws('|', '1', {KEY_SQL})), {KEY_SQL}) - 1) % {FOLDS} AS INTEGER) AS fold
+                   FROM {REG_SQL} JOIN (SELECT {KEY_SQL}, l_returnflag FROM lineitem) USING ({KEY_SQL})),
+          m AS (SELECT f.fold, regr_slope(label, x) AS slope, regr_intercept(label, x) AS cut FROM d, (SELECT CAST(unnest(range({FOLDS})) AS INTEGER) AS fold) f WHERE d.fold <> f.fold GROUP BY f.fold)
+        SELECT fold, l_returnflag, count(*) AS n, round(sqrt(avg(pow(label - x * slope - cut, 2))), 6) AS rmse FROM d JOIN m USING (fold) GROUP BY 1, 2""",
+)
+def k12_stratified(spark, sf):
+    """Folds of equal class mixture, to one row; error per fold and class."""
+    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+    df = items(spark, sf).join(part, "l_partkey").select(
+        *KEY, "l_returnflag", (F.col("l_extendedprice") / 1000).alias("label"), (F.col("l_quantity") * F.col("p_retailprice") / 1000).alias("x"))
+    data = stored(ranks.stratified_folds(df, "l_returnflag", KEY, FOLDS, 1), "folds")
+    s = learners.cross_validated(data, ["x"], learners.linear_regression(), FOLDS)
+    err = F.col("label") - F.col("y_test_prediction")
+    return s.groupBy("fold", "l_returnflag").agg(F.count("*").alias("n"), rounded(F.sqrt(F.avg(err * err))).alias("rmse"))
+
+
 CURVE_SQL = f"""(SELECT threshold, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, pos, neg, sum(pos) OVER () AS n_pos, sum(neg) OVER () AS n_neg FROM
    (SELECT {PROB_SQL} AS threshold, count(*) FILTER (l_returnflag = 'R') AS pos, count(*) FILTER (l_returnflag <> 'R') AS neg FROM lineitem GROUP BY 1) WINDOW w AS (ORDER BY threshold DESC))"""
 

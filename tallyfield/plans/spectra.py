@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.bins import Edges, Uniform, by_width, first_bin
+from ..functions.predicates import gt
 from ..operators import hist, joins, scans
 from .matching import BINS2_SQL, MULT, orders
 from .registry import (MASS, MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin,
@@ -53,6 +57,47 @@ def e02(spark, sf):
                       "gen_fd", "presel_fd", "sel_fd")
 
 
+TOF_SQL = "CASE WHEN l_linenumber % 3 = 0 THEN -999.0 WHEN l_linenumber % 7 = 0 THEN -998.0 ELSE l_tax END"
+REWEIGHTED = [False, True, False, True, True]
+
+
+def efficiency_counters(kind, flag, presel, sel, detector):
+    """Ten counters as column expressions or SQL conditions: with and without the detector's response on prompt only."""
+    out = {}
+    for name, f in (("pr", "A"), ("fd", "R")):
+        gen = kind(flag, f)
+        out |= {f"gen_{name}": [gen], f"presel_{name}": [gen, presel], f"sel_{name}": [gen, presel, sel]}
+        if name == "pr":
+            for stage in ("presel", "sel"):
+                out |= {f"{stage}_{name}_wotof": [*out[f"{stage}_{name}"], detector[0]], f"{stage}_{name}_wtof": [*out[f"{stage}_{name}"], detector[1]]}
+    return out
+
+
+COUNTERS_SQL = {n: " AND ".join(c) for n, c in efficiency_counters(
+    lambda c, f: f"{c} = '{f}'", "l_returnflag", "l_linestatus = 'F'", f"{PROB_SQL} > 0.404", (f"{TOF_SQL} < -998", f"{TOF_SQL} > -998")).items()}
+
+
+@query(
+    "E02_reweighted_counters",
+    f"""WITH w AS (SELECT {sql_bin('o_totalprice', MULT)} AS ix, count(*) FILTER (o_orderstatus = 'F') / 1000.0::DOUBLE AS wt FROM orders WHERE o_totalprice > 50000 GROUP BY 1)
+        SELECT ipt, CAST(ibin2 AS INTEGER) AS ibin2, {', '.join(
+            f"round(coalesce(sum(f) FILTER ({c}), 0), 4) AS {n}, round(sqrt(coalesce(sum(f * f) FILTER ({c}), 0)), 4) AS {n}_err" for n, c in COUNTERS_SQL.items())}
+        FROM (SELECT l.*, ipt, ibin2, CASE WHEN ibin2 IN ({', '.join(str(i) for i, r in enumerate(REWEIGHTED) if r)}) THEN coalesce(wt, 0) ELSE 1.0::DOUBLE END AS f
+          FROM (SELECT *, {IPT_SQL} AS ipt FROM lineitem) l JOIN orders ON l_orderkey = o_orderkey
+          JOIN {BINS2_SQL} ON o_totalprice BETWEEN lo AND hi LEFT JOIN w ON {sql_bin('o_totalprice', MULT)} = ix) GROUP BY 1, 2""",
+)
+def e02_reweighted(spark, sf):
+    o = orders(spark, sf).withColumn("ix", MULT.index("o_totalprice"))
+    weights = o.where("o_totalprice > 50000").groupBy("ix").agg((F.count_if(F.col("o_orderstatus") == "F") / 1000.0).alias("content"))
+    events = joins.lookup_content(o, weights, ["ix"], "w", 0.0)
+    df = joins.join_events(with_ipt(items(spark, sf)), events, ["l_orderkey"], ["o_totalprice", "w"]).withColumn("tof", F.expr(TOF_SQL))
+    parts = efficiency_counters(lambda c, f: F.col(c) == f, "l_returnflag", F.col("l_linestatus") == "F", prob() > 0.404,
+                                (F.col("tof") < -998, gt("tof", -998.0)))
+    counters = {n: reduce(and_, conditions) for n, conditions in parts.items()}
+    out = hist.reweighted_counts_by_class(df, ["ipt"], counters, "w", ("o_totalprice", MULT_LOW, MULT_HIGH), REWEIGHTED)
+    return out.select("ipt", "ibin2", *[rounded(x, 4).alias(x) for n in counters for x in (n, f"{n}_err")])
+
+
 @query(
     "E03_reweighted_count",
     f"""WITH w AS (SELECT {sql_bin('o_totalprice', MULT)} AS ix, count(*) FILTER (o_orderstatus = 'F') / 1000.0::DOUBLE AS wt FROM orders
