@@ -198,8 +198,8 @@ def k12(spark, sf):
 
 @query(
     "K12_stratified_folds",
-    f"""WITH d AS (SELECT *, CAST((row_number() OVER (PARTITION BY l_returnflag ORDER BY md5(concat_ws('|', '1', {KEY_SQL})), {KEY_SQL}) - 1) % {FOLDS} AS INTEGER) AS fold
-                   FROM {REG_SQL} JOIN (SELECT {KEY_SQL}, l_returnflag FROM lineitem) USING ({KEY_SQL})),
+    f"""WITH r AS (SELECT {KEY_SQL}, l_returnflag, l_extendedprice / 1000 AS label, l_quantity * p_retailprice / 1000 AS x FROM lineitem JOIN part ON l_partkey = p_partkey),
+          d AS (SELECT *, CAST((row_number() OVER (PARTITION BY l_returnflag ORDER BY md5(concat_ws('|', '1', {KEY_SQL})), {KEY_SQL}, label, x) - 1) % {FOLDS} AS INTEGER) AS fold FROM r),
           m AS (SELECT f.fold, regr_slope(label, x) AS slope, regr_intercept(label, x) AS cut FROM d, (SELECT CAST(unnest(range({FOLDS})) AS INTEGER) AS fold) f WHERE d.fold <> f.fold GROUP BY f.fold)
         SELECT fold, l_returnflag, count(*) AS n, round(sqrt(avg(pow(label - x * slope - cut, 2))), 6) AS rmse FROM d JOIN m USING (fold) GROUP BY 1, 2""",
 )
