@@ -14,6 +14,10 @@ correlated     a / b                 (a/b)^2 |va/a^2 - vb/b^2|
 
 Division by an empty bin gives 0 with variance 0; the correlated form gives null
 when either side is 0.
+
+Two histograms filled apart are paired bin by bin.  Where both come from one table, `operands` takes
+them out of one aggregation (`hist.fill_classes`, or a histogram with class columns), so the table is
+read once; its result stands for both sides, with None as the right one.
 """
 
 from __future__ import annotations
@@ -29,6 +33,25 @@ from ..session import cut_lineage, stored
 from .hist import normalise, project, rebin
 from .joins import align
 
+VALUES = ("content", "sumw2")
+
+
+def operands(hist: DataFrame, keys: Sequence[str], a: str | Column, b: str | Column) -> DataFrame:
+    """Both sides of an operation from one histogram: keys, ``a_content, a_sumw2, b_content, b_sumw2``.
+
+    Names are classes of `hist.fill_classes`; conditions pick bins of a histogram with class columns, which are summed up.
+    Bins that neither side has are left out, a bin of one side is 0 on the other.
+    """
+    if isinstance(a, str):
+        found = hist.select(*keys, *[F.col(f"{c}_{v}").alias(f"{s}_{v}") for s, c in zip("ab", (a, b)) for v in VALUES])
+    else:
+        found = hist.groupBy(*keys).agg(*[F.sum(F.when(c, F.col(v))).alias(f"{s}_{v}") for s, c in zip("ab", (a, b)) for v in VALUES])
+    names = [f"{s}_{v}" for s in "ab" for v in VALUES]
+    return found.where("a_content is not null or b_content is not null").fillna(0.0, subset=names)
+
+
+def _paired(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    return left if right is None else align(left, right, keys)
 
 
 def _sides():
@@ -53,33 +76,33 @@ def binomial_variance(a: Column, va: Column, b: Column, vb: Column) -> Column:
     return F.coalesce(F.try_divide(F.abs((1 - 2 * w) * va + w * w * vb), b * b), F.lit(0.0))
 
 
-def add(left: DataFrame, right: DataFrame, keys: Sequence[str], factor: float = 1.0) -> DataFrame:
+def add(left: DataFrame, right: DataFrame | None, keys: Sequence[str], factor: float = 1.0) -> DataFrame:
     a, va, b, vb = _sides()
-    return _result(align(left, right, keys), keys, a + factor * b, va + factor * factor * vb)
+    return _result(_paired(left, right, keys), keys, a + factor * b, va + factor * factor * vb)
 
 
-def multiply(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def multiply(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     a, va, b, vb = _sides()
-    return _result(align(left, right, keys), keys, a * b, va * b * b + vb * a * a)
+    return _result(_paired(left, right, keys), keys, a * b, va * b * b + vb * a * a)
 
 
-def divide(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def divide(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     a, va, b, vb = _sides()
-    return _result(align(left, right, keys), keys, ratio(a, b), ratio_variance(a, va, b, vb))
+    return _result(_paired(left, right, keys), keys, ratio(a, b), ratio_variance(a, va, b, vb))
 
 
-def divide_binomial(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def divide_binomial(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     a, va, b, vb = _sides()
-    return _result(align(left, right, keys), keys, ratio(a, b), binomial_variance(a, va, b, vb))
+    return _result(_paired(left, right, keys), keys, ratio(a, b), binomial_variance(a, va, b, vb))
 
 
-def divide_correlated(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def divide_correlated(left: DataFrame, right: DataFrame | None, keys: Sequence[str]) -> DataFrame:
     """Ratio of a sample to a larger one that contains it: relative errors subtract in quadrature."""
     a, va, b, vb = _sides()
     r = F.try_divide(a, b)
     var = r * r * F.abs(F.try_divide(va, a * a) - F.try_divide(vb, b * b))
     ok = (a != 0) & (b != 0)
-    return _result(align(left, right, keys), keys, F.when(ok, r), F.when(ok, var))
+    return _result(_paired(left, right, keys), keys, F.when(ok, r), F.when(ok, var))
 
 
 def scale_by(hist: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "multiply") -> DataFrame:
@@ -113,12 +136,18 @@ def efficiency(num: Operand, den: Operand) -> tuple[Column, Column]:
     return eff, F.sqrt(F.try_divide(eff * (1 - eff), d))
 
 
-def divide_lists(left: DataFrame, right: DataFrame, keys: Sequence[str], rebinning: tuple[Axis, Axis] | None = None,
-                 factors: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
-    """Pairwise ratio of two lists of histograms (the list position is one of the keys), after rebinning and scaling."""
+def divide_lists(left: DataFrame, right: DataFrame | None, keys: Sequence[str], rebinning: tuple[Axis, Axis] | None = None,
+                 factors: tuple[float, float] = (1.0, 1.0), classes: tuple[Column, Column] | None = None) -> DataFrame:
+    """Pairwise ratio of two lists of histograms (the list position is one of the keys), after rebinning and scaling.
+
+    Without ``right``, ``left`` holds both lists and ``classes`` says which rows belong to either.
+    """
     if rebinning is not None:
-        left, right = rebin(left, *rebinning), rebin(right, *rebinning)
-    return divide(scale(left, factors[0]), scale(right, factors[1]), keys)
+        left, right = rebin(left, *rebinning), None if right is None else rebin(right, *rebinning)
+    pairs = operands(left, keys, *classes) if right is None else align(left, right, keys)
+    for side, f in zip("ab", factors):
+        pairs = pairs.withColumns({f"{side}_content": F.col(f"{side}_content") * f, f"{side}_sumw2": F.col(f"{side}_sumw2") * f * f})
+    return divide(pairs, None, keys)
 
 
 # --- response matrices -----------------------------------------------------------------------------

@@ -82,6 +82,15 @@ def total(errors: DataFrame, by: Sequence[str] = ("ibin",), sources: Column | No
     return df.groupBy(*by).agg(*[F.sqrt(F.sum(F.col(s) * F.col(s))).alias(s) for s in SIDES])
 
 
+def totals(errors: DataFrame, kinds: Mapping[str, Column | None], by: Sequence[str] = ("ibin",)) -> DataFrame:
+    """Several quadratic sums at once, told apart by ``kind``: one aggregation, whose few rows are spread out afterwards."""
+    picked = {k: F.lit(True) if w is None else w for k, w in kinds.items()}
+    wide = errors.groupBy(*by).agg(*[
+        F.struct(F.max(w).alias("found"), *[F.sqrt(F.sum(F.when(w, F.col(s) * F.col(s)))).alias(s) for s in SIDES]).alias(k) for k, w in picked.items()])
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"`{k}`").alias("v")) for k in picked])
+    return wide.select(*by, F.explode(rows).alias("r")).where("r.v.found").select(*by, "r.kind", *[F.col(f"r.v.{s}").alias(s) for s in SIDES])
+
+
 def spectra_sources(only_feeddown: bool | None = None) -> Column:
     """Sources drawn in a spectrum; all of them, the feed-down ones, or the others."""
     drawn = ~F.col("source").isin(NOT_IN_SPECTRA)

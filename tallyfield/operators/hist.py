@@ -8,6 +8,8 @@ Contract: group columns, bin numbers (``ix``, ``iy``, ``iz``), ``content`` and
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +46,34 @@ def fill(
     )
 
 
+def fill_classes(
+    df: DataFrame,
+    axes: Sequence[tuple[Operand, Axis]],
+    classes: Mapping[str, Column],
+    by: Sequence[str] = (),
+    weight: Operand | None = None,
+    flow: bool = True,
+) -> DataFrame:
+    """Histograms of several classes of rows by one aggregation: by..., ix/iy/iz, ``<class>_content``, ``<class>_sumw2``.
+
+    Classes are conditions and may overlap; a row in none of them is left out before the shuffle.  A class without a
+    row in a bin is null there.
+    """
+    names = AXES[: len(axes)]
+    w = F.lit(1.0) if weight is None else col(weight).cast("double")
+    member = {c: F.coalesce(when, F.lit(False)) for c, when in classes.items()}
+    binned = df.where(reduce(or_, member.values())).select(
+        *by, *[a.index(x).alias(n) for n, (x, a) in zip(names, axes)], w.alias("__w"), *[m.alias(f"__in_{c}") for c, m in member.items()])
+    keep = F.lit(True)
+    for n, (_, a) in zip(names, axes):
+        keep = keep & (F.col(n).isNotNull() if flow else inside(n, a))
+    sums = []
+    for c in classes:
+        sums += [F.sum(F.when(F.col(f"__in_{c}"), F.col("__w"))).alias(f"{c}_content"),
+                 F.sum(F.when(F.col(f"__in_{c}"), F.col("__w") * F.col("__w"))).alias(f"{c}_sumw2")]
+    return binned.where(keep).groupBy(*by, *names).agg(*sums)
+
+
 def grid(groups: DataFrame, axes: Sequence[Axis], flow: bool = False) -> DataFrame:
     """All bins of every group row."""
     for name, a in zip(AXES, axes):

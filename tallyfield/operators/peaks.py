@@ -265,8 +265,19 @@ def seed_chain(nominal: DataFrame, by: Sequence[str], parameters: Sequence[str],
     out = nominal.select(*by, *[F.col(p).alias(f"__n_{p}") for p in parameters])
     for i, s in enumerate(stages):
         out = out.join(s.select(*by, *[F.col(p).alias(f"__{i}_{p}") for p in parameters]), list(by), "left")
+    return _chosen(out, by, parameters, len(stages), locked)
+
+
+def moment_seeds(df: DataFrame, by: Sequence[str], x: str, stages: Sequence[Column], locked: Sequence[str] = ()) -> DataFrame:
+    """`seed_chain` of mean and width where all stages are conditions on the same rows: one aggregation for all of them."""
+    out = df.groupBy(*by).agg(F.avg(x).alias("__n_mean"), F.stddev_pop(x).alias("__n_sigma"), *[
+        f(F.when(s, F.col(x))).alias(f"__{i}_{p}") for i, s in enumerate(stages) for p, f in (("mean", F.avg), ("sigma", F.stddev_pop))])
+    return _chosen(out, by, ["mean", "sigma"], len(stages), locked)
+
+
+def _chosen(out: DataFrame, by: Sequence[str], parameters: Sequence[str], n: int, locked: Sequence[str]) -> DataFrame:
     chosen = {
-        p: F.col(f"__n_{p}") if p in locked else F.coalesce(*[F.col(f"__{i}_{p}") for i in range(len(stages))], F.col(f"__n_{p}"))
+        p: F.col(f"__n_{p}") if p in locked else F.coalesce(*[F.col(f"__{i}_{p}") for i in range(n)], F.col(f"__n_{p}"))
         for p in parameters
     }
     return out.select(*by, *[c.alias(p) for p, c in chosen.items()])

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,25 +46,48 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(copies, list(keys))
 
 
-def correlations(df: DataFrame, variables: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """Pearson coefficient of every variable pair per group.
+def co_moments(df: DataFrame, variables: Sequence[str], by: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Weighted means, variances and covariances of all variable pairs for all groups at once: one aggregation.
 
-    One pass per group sums products of whole vectors; only the matrix of a group, as many
-    rows as pairs, reaches the driver.  Rows with a NULL or NaN variable are left out; a constant
-    variable has no coefficient.
+    One row per group and pair i <= j: ``a``, ``b``, ``n`` rows, ``w`` their weight, ``mean_a``, ``mean_b``, ``cov`` (population).
+    The sums are taken around rough centres (the means of finite values over the whole table, one row of numbers), so that large
+    offsets do not cancel; sums of groups and files merge by addition.  A row with a NULL, NaN or infinite variable, or a
+    weight that is not above 0, is left out.  A row is an array that travels no further than its own task.
     """
-    vectors = VectorAssembler(inputCols=list(variables), outputCol="__v", handleInvalid="skip").transform(df)
-    rows = []
-    for g in df.select(*by).distinct().collect():  # classes, a configured number
-        part = vectors
-        for c in by:
-            part = part.where(F.col(c).eqNullSafe(F.lit(g[c])))
-        if part.isEmpty():
-            continue
-        m = Correlation.corr(part, "__v").first()[0].toArray()
-        rows += [(*g, a, b, None if m[i, j] != m[i, j] else float(m[i, j])) for i, a in enumerate(variables) for j, b in enumerate(variables) if i < j]
-    schema = T.StructType([*(df.schema[c] for c in by), T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("corr", T.DoubleType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+    x = [F.col(f"`{v}`").cast("double") for v in variables]
+    fine = [F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c) for c in x]
+    centre = df.agg(*[F.avg(c) for c in fine]).first()
+    w = F.lit(1.0) if weight is None else F.col(f"`{weight}`").cast("double")
+    shifted = [c - F.lit(float(m or 0.0)) for c, m in zip(fine, centre)]
+    rows = df.select(*by, F.array(*shifted).alias("__x"), w.alias("__w")).where("__w > 0 and not isnan(__w) and not exists(__x, v -> v is null)")
+    k = len(variables)
+    d = [F.col("__x")[i] for i in range(k)]
+    sums = rows.groupBy(*by).agg(
+        F.count("*").alias("n"), F.sum("__w").alias("w"),
+        F.array(*[F.sum(F.col("__w") * d[i]) for i in range(k)]).alias("s"),
+        F.array(*[F.sum(F.col("__w") * d[i] * d[j]) for i in range(k) for j in range(i, k)]).alias("p"))
+    names, mids = F.array(*map(F.lit, variables)), F.array(*[F.lit(float(m or 0.0)) for m in centre])
+    place = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
+    each = sums.select("*", F.posexplode(place).alias("__at", "__ij"))
+    ma, mb = F.col("s")[F.col("__ij.i")] / F.col("w"), F.col("s")[F.col("__ij.j")] / F.col("w")
+    return each.select(*by, names[F.col("__ij.i")].alias("a"), names[F.col("__ij.j")].alias("b"), "n", "w",
+                       (ma + mids[F.col("__ij.i")]).alias("mean_a"), (mb + mids[F.col("__ij.j")]).alias("mean_b"),
+                       (F.col("p")[F.col("__at")] / F.col("w") - ma * mb).alias("cov"))
+
+
+def correlations(df: DataFrame, variables: Sequence[str], by: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Pearson coefficient of every variable pair per group, from the co-moments of all groups at once.
+
+    A constant variable has no coefficient (null).
+    """
+    m = co_moments(df, variables, by, weight)
+    # one group's matrix, a configured number of variables
+    own = F.map_from_entries(F.collect_list(F.when(F.col("a") == F.col("b"), F.struct("a", "cov"))))
+    pairs = m.groupBy(*by).agg(own.alias("v"), F.collect_list(F.when(F.col("a") != F.col("b"), F.struct("a", "b", "cov"))).alias("__p"))
+    pairs = pairs.select(*by, "v", F.explode("__p").alias("__p")).select(*by, "v", "__p.*")
+    va, vb = F.col("v")[F.col("a")], F.col("v")[F.col("b")]
+    tiny = (va <= 0) | (vb <= 0)
+    return pairs.select(*by, "a", "b", F.when(~tiny, F.col("cov") / F.sqrt(va * vb)).alias("corr"))
 
 
 def trial_spread(trials: DataFrame, by: Sequence[str], value: str, nominal: Column) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import budgets
+from ..session import stored
 from .registry import PT, query, rounded, sql_bin
 from .selections import items
 from .spectra import N
@@ -19,12 +20,26 @@ def err_sql(where: str) -> str:
         avg(l_extendedprice) / 1000 AS central FROM lineitem WHERE {where} GROUP BY 1, 2)"""
 
 
-def errors(spark, sf, where):
+SUMS = ("l_tax", "l_discount", "l_extendedprice")
+
+
+def error_cube(spark, sf):
+    """Sums per source, bin and both class columns, from one scan; every error table of a query is taken out of it."""
     names = F.array(*[F.lit(s) for s in SOURCES])
-    df = items(spark, sf).where(where).withColumn("source", F.element_at(names, (F.col("l_partkey") % len(SOURCES)).cast("int") + 1))
-    half = F.avg("l_tax") / 2
-    return df.groupBy("source", PT.index("l_quantity").alias("ibin")).agg(
-        half.alias("x_low"), half.alias("x_up"), F.avg("l_discount").alias("y_low"), F.avg("l_tax").alias("y_up"), (F.avg("l_extendedprice") / 1000).alias("central"))
+    df = items(spark, sf).withColumn("source", F.element_at(names, (F.col("l_partkey") % len(SOURCES)).cast("int") + 1))
+    sums = [x for c in SUMS for x in (F.sum(c).cast("double").alias(c), F.count(c).alias(f"n_{c}"))]
+    return stored(df.groupBy("source", PT.index("l_quantity").alias("ibin"), "l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), *sums), "errors")
+
+
+def mean(c):
+    """Mean over the rows behind the cells."""
+    return F.try_divide(F.sum(c), F.sum(f"n_{c}"))
+
+
+def errors(cube, where="true"):
+    half = mean("l_tax") / 2
+    return cube.where(where).groupBy("source", "ibin").agg(
+        half.alias("x_low"), half.alias("x_up"), mean("l_discount").alias("y_low"), mean("l_tax").alias("y_up"), (mean("l_extendedprice") / 1000).alias("central"))
 
 
 def sides(df, keys=("ibin",)):
@@ -97,13 +112,9 @@ def _quad(where: str) -> str:
                      "uncorrelated": "source IN ('yield', 'cut', 'pid', 'branching_ratio', 'statunceff')"}.items()),
 )
 def g23(spark, sf):
-    e = errors(spark, sf, "true")
+    e = errors(error_cube(spark, sf))
     kinds = {"all": None, "spectra": budgets.spectra_sources(), "spectra_feeddown": budgets.spectra_sources(True), "uncorrelated": budgets.uncorrelated_sources()}
-    out = None
-    for k, w in kinds.items():
-        part = sides(budgets.total(e, sources=w)).withColumn("kind", F.lit(k))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return sides(budgets.totals(e, kinds), ["kind", "ibin"])
 
 
 @query(
@@ -111,7 +122,7 @@ def g23(spark, sf):
     f"SELECT round(CASE WHEN y_low = 0 THEN y_up ELSE y_low END, 6) AS br FROM {err_sql('true')} WHERE source = 'branching_ratio' ORDER BY ibin DESC LIMIT 1",
 )
 def g23_br(spark, sf):
-    return budgets.branching_ratio_error(errors(spark, sf, "true")).select(rounded("br").alias("br"))
+    return budgets.branching_ratio_error(errors(error_cube(spark, sf))).select(rounded("br").alias("br"))
 
 
 PAIR_SQL = f"(SELECT source, ibin, {', '.join(f'a.{c} AS a_{c}, b.{c} AS b_{c}' for c in (*budgets.SIDES, 'central'))} FROM {{a}} a JOIN {{b}} b USING (source, ibin))"
@@ -127,7 +138,8 @@ def _hm_term(s: str) -> str:
 
 @query("G24_high_over_minimum_bias", f"SELECT ibin, {_sum_sql({s: _hm_term(s) for s in budgets.SIDES})} FROM {AR_SQL} GROUP BY ibin")
 def g24(spark, sf):
-    return sides(budgets.ratio_errors(errors(spark, sf, CH_A), errors(spark, sf, CH_R), budgets.HIGH_OVER_MINIMUM_BIAS, same_simulation=True))
+    cube = error_cube(spark, sf)
+    return sides(budgets.ratio_errors(errors(cube, CH_A), errors(cube, CH_R), budgets.HIGH_OVER_MINIMUM_BIAS, same_simulation=True))
 
 
 def _pr_term(s: str) -> str:
@@ -147,7 +159,8 @@ def _pr_term(s: str) -> str:
     f"""SELECT ibin, {_sum_sql({s: _pr_term(s) for s in budgets.SIDES})} FROM {AR_SQL} JOIN (SELECT ibin, a_central AS yn, b_central AS yd FROM {AR_SQL} WHERE source = 'feeddown_NB') USING (ibin) GROUP BY ibin""",
 )
 def g25(spark, sf):
-    return sides(budgets.ratio_errors(errors(spark, sf, CH_A), errors(spark, sf, CH_R), budgets.PARTICLE_RATIO))
+    cube = error_cube(spark, sf)
+    return sides(budgets.ratio_errors(errors(cube, CH_A), errors(cube, CH_R), budgets.PARTICLE_RATIO))
 
 
 FOUR = {"n1": "l_returnflag = 'A' AND l_linestatus = 'F'", "n2": "l_returnflag = 'A' AND l_linestatus = 'O'", "d1": "l_returnflag = 'R' AND l_linestatus = 'F'", "d2": "l_returnflag = 'R' AND l_linestatus = 'O'"}
@@ -166,7 +179,8 @@ def _dr_term(s: str) -> str:
         JOIN {err_sql(FOUR['d1'])} d1 ON d1.ibin = m.d AND d1.source = n1.source JOIN {err_sql(FOUR['d2'])} d2 ON d2.ibin = m.d AND d2.source = n1.source GROUP BY 1""",
 )
 def g26(spark, sf):
-    t = {k: errors(spark, sf, w) for k, w in FOUR.items()}
+    cube = error_cube(spark, sf)
+    t = {k: errors(cube, w) for k, w in FOUR.items()}
     return sides(budgets.double_ratio_errors(t["n1"], t["n2"], t["d1"], t["d2"], bin_map=BIN_MAP))
 
 
@@ -182,17 +196,17 @@ CHANNELS_SQL = f"""(SELECT *, (c22 - c12) / (c11 * c22 - c12 * c12) AS s1, (c11
 WEIGHTS_SQL = f"(SELECT *, CASE WHEN y1 IS NOT NULL AND y2 IS NOT NULL THEN 1 / (pow(e1 / y1, 2) + 1 / s1) END AS w1, CASE WHEN y1 IS NOT NULL AND y2 IS NOT NULL THEN 1 / (pow(e2 / y2, 2) + 1 / s2) END AS w2 FROM {CHANNELS_SQL})"
 
 
-def channel(spark, sf, where, i, missing_bin):
-    e = errors(spark, sf, where)
+def channel(cube, where, i, missing_bin):
+    e = errors(cube, where)
     unc = budgets.total(e, sources=budgets.uncorrelated_sources()).select("ibin", F.col("y_low").alias(f"u{i}"))
-    y = items(spark, sf).where(where).groupBy(PT.index("l_quantity").alias("ibin")).agg(
-        F.count("*").cast("double").alias("y"), F.sqrt(F.count("*")).alias(f"e{i}"), (F.avg("l_discount") * 10).alias(f"f{i}"), F.avg("l_tax").alias(f"f_low{i}"), F.avg("l_discount").alias(f"f_high{i}"))
+    y = cube.where(where).groupBy("ibin").agg(
+        F.sum("n").cast("double").alias("y"), F.sqrt(F.sum("n")).alias(f"e{i}"), (mean("l_discount") * 10).alias(f"f{i}"), mean("l_tax").alias(f"f_low{i}"), mean("l_discount").alias(f"f_high{i}"))
     y = y.withColumn(f"y{i}", F.when(F.col("ibin") != missing_bin, F.col("y"))).drop("y")
     return y.join(unc, "ibin").withColumn(f"br{i}", budgets.branching_ratio_error(e).scalar())
 
 
-def weighted(spark, sf):
-    return budgets.channel_weights(channel(spark, sf, CH_A, 1, 1).join(channel(spark, sf, CH_R, 2, 5), "ibin"))
+def weighted(cube):
+    return budgets.channel_weights(channel(cube, CH_A, 1, 1).join(channel(cube, CH_R, 2, 5), "ibin"))
 
 
 @query(
@@ -204,7 +218,7 @@ def weighted(spark, sf):
             ("f_high", "(w1 * f_high1 / f1 + w2 * f_high2 / f2) / (w1 + w2) * (w1 * f1 + w2 * f2) / (w1 + w2)", 6))) + f" FROM {WEIGHTS_SQL}",
 )
 def g27(spark, sf):
-    a = budgets.average_channels(weighted(spark, sf))
+    a = budgets.average_channels(weighted(error_cube(spark, sf)))
     return a.select("ibin", rounded("y", 4).alias("y"), rounded("e", 4).alias("e"), *[rounded(c).alias(c) for c in ("f", "f_low", "f_high")])
 
 
@@ -216,4 +230,5 @@ def _avg_term(s: str) -> str:
 
 @query("G27_average_errors", f"SELECT source, ibin, {', '.join(_avg_term(s) for s in budgets.SIDES)} FROM {AR_SQL} JOIN {WEIGHTS_SQL} USING (ibin)")
 def g27_errors(spark, sf):
-    return sides(budgets.average_errors(errors(spark, sf, CH_A), errors(spark, sf, CH_R), weighted(spark, sf)), ["source", "ibin"])
+    cube = error_cube(spark, sf)
+    return sides(budgets.average_errors(errors(cube, CH_A), errors(cube, CH_R), weighted(cube)), ["source", "ibin"])

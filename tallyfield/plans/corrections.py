@@ -253,14 +253,12 @@ TRIG = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
 )
 def g35(spark, sf):
     ev = table(spark, sf, "orders")
-    cand = items(spark, sf).where("l_discount > 0.075").select(F.col("l_orderkey").alias("o_orderkey"))
-    kinds = {"all": ev, "candidate": ev.join(cand, "o_orderkey", "left_semi")}
-    parts = None
-    for kind, e in kinds.items():
-        e = e.select(F.lit(kind).alias("kind"), "o_totalprice", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("trig"))
-        parts = e if parts is None else parts.unionByName(e)
-    both = hist.rebin(hist.fill(parts, [("o_totalprice", FINE_MULT)], ["kind", "trig"]), FINE_MULT, MULT)
-    h = algebra.divide_binomial(hist.project(both, ["kind", "ix"], F.col("trig")), hist.project(both, ["kind", "ix"]), ["kind", "ix"])
+    cand = items(spark, sf).where("l_discount > 0.075").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("cand", F.lit(True))
+    seen = ev.join(cand, "o_orderkey", "left").withColumn("trig", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    fine = hist.rebin(hist.fill(seen, [("o_totalprice", FINE_MULT)], ["cand", "trig"]), FINE_MULT, MULT)
+    # bins, not events, are taken twice
+    kinds = fine.withColumn("kind", F.explode(F.array_compact(F.array(F.lit("all"), F.when(F.col("cand"), F.lit("candidate"))))))
+    h = algebra.divide_binomial(algebra.operands(kinds, ["kind", "ix"], F.col("trig"), F.lit(True)), None, ["kind", "ix"])
     return h.select("kind", "ix", rounded("content").alias("content"), rounded("sumw2", 9).alias("sumw2"))
 
 

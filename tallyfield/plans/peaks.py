@@ -302,11 +302,6 @@ def h07_errors(spark, sf):
 )
 def h08(spark, sf):
     df = with_ipt(items(spark, sf))
-
-    def stage(d):
-        return d.groupBy("ipt").agg(F.avg("l_extendedprice").alias("mean"), F.stddev_pop("l_extendedprice").alias("sigma"))
-
-    pre_signal = stage(df.where("l_returnflag = 'R' and l_quantity > 12"))
-    pre_data = stage(df.where("l_returnflag = 'N' and l_quantity > 6"))
-    out = peaks.seed_chain(stage(df), ["ipt"], ["mean", "sigma"], [pre_signal, pre_data], locked=["sigma"])
+    stages = [F.expr("l_returnflag = 'R' and l_quantity > 12"), F.expr("l_returnflag = 'N' and l_quantity > 6")]
+    out = peaks.moment_seeds(df, ["ipt"], "l_extendedprice", stages, locked=["sigma"])
     return out.select("ipt", rounded("mean", 4).alias("mean"), rounded("sigma", 4).alias("sigma"))

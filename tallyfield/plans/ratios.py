@@ -18,9 +18,12 @@ SPEC_SQL = f"""(SELECT l_returnflag AS cls, {sql_bin('l_quantity', PT)} AS ix, s
 AB_SQL = f"(SELECT a.ix, a.c AS a, a.v AS va, b.c AS b, b.v AS vb FROM {SPEC_SQL} a JOIN {SPEC_SQL} b ON a.ix = b.ix AND a.cls = 'A' AND b.cls = 'R')"
 
 
-def spec(spark, sf, cls):
-    df = items(spark, sf).where(F.col("l_returnflag") == cls).withColumn("w", F.col("l_tax") + 0.5)
-    return hist.fill(df, [("l_quantity", PT)], weight="w")
+def spec(spark, sf):
+    """Both operands by one aggregation."""
+    flag = F.col("l_returnflag")
+    df = items(spark, sf).withColumn("w", F.col("l_tax") + 0.5)
+    h = hist.fill_classes(df, [("l_quantity", PT)], {"a": flag == "A", "r": flag == "R"}, weight="w")
+    return algebra.operands(h, ["ix"], "a", "r")
 
 
 def out(df, keys, digits=6):
@@ -29,18 +32,18 @@ def out(df, keys, digits=6):
 
 @query("G01_add", f"SELECT ix, round(a - 0.5 * b, 6) AS content, round(va + 0.25 * vb, 6) AS sumw2 FROM {AB_SQL}")
 def g01(spark, sf):
-    return out(algebra.add(spec(spark, sf, "A"), spec(spark, sf, "R"), ["ix"], -0.5), ["ix"])
+    return out(algebra.add(spec(spark, sf), None, ["ix"], -0.5), ["ix"])
 
 
 @query("G02_multiply", f"SELECT ix, round(a * b, 2) AS content, round(va * b * b + vb * a * a, 0) AS sumw2 FROM {AB_SQL}")
 def g02(spark, sf):
-    h = algebra.multiply(spec(spark, sf, "A"), spec(spark, sf, "R"), ["ix"])
+    h = algebra.multiply(spec(spark, sf), None, ["ix"])
     return h.select("ix", rounded("content", 2).alias("content"), rounded("sumw2", 0).alias("sumw2"))
 
 
 @query("G03_divide", f"SELECT ix, round(a / b, 6) AS content, round((va * b * b + vb * a * a) / (b * b * b * b), 9) AS sumw2 FROM {AB_SQL}")
 def g03(spark, sf):
-    h = algebra.divide(spec(spark, sf, "A"), spec(spark, sf, "R"), ["ix"])
+    h = algebra.divide(spec(spark, sf), None, ["ix"])
     return h.select("ix", rounded("content").alias("content"), rounded("sumw2", 9).alias("sumw2"))
 
 
@@ -49,9 +52,9 @@ EFF_SQL = f"""(SELECT l_returnflag, {sql_bin('l_quantity', PT)} AS ix, count(*)
 
 @query("G04_divide_binomial", f"SELECT l_returnflag, ix, round(num / den, 6) AS content, round(num / den * (1 - num / den) / den, 9) AS sumw2 FROM {EFF_SQL}")
 def g04(spark, sf):
-    li = items(spark, sf)
-    num = hist.fill(li.where(F.col("l_linestatus") == "F"), [("l_quantity", PT)], ["l_returnflag"])
-    h = algebra.divide_binomial(num, hist.fill(li, [("l_quantity", PT)], ["l_returnflag"]), ["l_returnflag", "ix"])
+    keys = ["l_returnflag", "ix"]
+    both = hist.fill_classes(items(spark, sf), [("l_quantity", PT)], {"num": F.col("l_linestatus") == "F", "den": F.lit(True)}, ["l_returnflag"])
+    h = algebra.divide_binomial(algebra.operands(both, keys, "num", "den"), None, keys)
     return h.select("l_returnflag", "ix", rounded("content").alias("content"), rounded("sumw2", 9).alias("sumw2"))
 
 
@@ -69,10 +72,9 @@ def g05(spark, sf):
         JOIN (SELECT l_linestatus, {sql_bin('l_quantity', PT)} AS ix, {N} AS n FROM lineitem WHERE l_returnflag = 'N' GROUP BY ALL) b USING (l_linestatus, ix)""",
 )
 def g06(spark, sf):
-    def fine(flag):
-        return hist.fill(items(spark, sf).where(F.col("l_returnflag") == flag), [("l_quantity", FINE)], ["l_linestatus"])
-
-    h = algebra.divide_lists(fine("A"), fine("N"), ["l_linestatus", "ix"], (FINE, PT), (0.5, 2.0))
+    flag = F.col("l_returnflag")
+    fine = hist.fill(items(spark, sf).where(flag.isin("A", "N")), [("l_quantity", FINE)], ["l_returnflag", "l_linestatus"])
+    h = algebra.divide_lists(fine, None, ["l_linestatus", "ix"], (FINE, PT), (0.5, 2.0), (flag == "A", flag == "N"))
     return h.select("l_linestatus", "ix", rounded("content").alias("content"), rounded("sumw2", 9).alias("sumw2"))
 
 
@@ -82,8 +84,8 @@ def g06(spark, sf):
 )
 def g07(spark, sf):
     li = items(spark, sf).where(F.col("l_returnflag") == "A")
-    num = hist.fill(li.where(F.col("l_linestatus") == "F"), [("l_quantity", PT)])
-    h = algebra.divide_correlated(num, hist.fill(li, [("l_quantity", PT)]), ["ix"])
+    both = hist.fill_classes(li, [("l_quantity", PT)], {"num": F.col("l_linestatus") == "F", "den": F.lit(True)})
+    h = algebra.divide_correlated(algebra.operands(both, ["ix"], "num", "den"), None, ["ix"])
     return h.select("ix", rounded("content").alias("content"), rounded("sumw2", 9).alias("sumw2"))
 
 
@@ -272,5 +274,5 @@ def g13(spark, sf):
 
 @query("G37_clip_negative", f"SELECT ix, round(greatest(a - b, 0), 6) AS content, round(CASE WHEN a - b <= 0 THEN 0 ELSE va + vb END, 6) AS sumw2 FROM {AB_SQL}")
 def g37(spark, sf):
-    h = algebra.add(spec(spark, sf, "A"), spec(spark, sf, "R"), ["ix"], -1.0)
+    h = algebra.add(spec(spark, sf), None, ["ix"], -1.0)
     return out(algebra.clip_negative(h), ["ix"])

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tallyfield.functions.bins import Uniform
+from tallyfield.functions.bins import Edges, Uniform
 from tallyfield.operators import algebra, budgets, corrections, hist, peaks
 
 
@@ -227,3 +227,34 @@ def test_cross_section_guards(spark):
     out = {r.ix: r for r in corrections.corrected_cross_section(df, F.lit(2.0), 1.0, 0.04, (100.0, 1.0), (1.0, 0.0)).collect()}
     assert out[1].corr_yield == pytest.approx(45) and out[1].sigma == pytest.approx(45 / (0.04 * 2 * 100 * 0.5))
     assert out[2].sigma == 0 and out[2].sigma_err == 0 and out[3].sigma == 0
+
+
+ONE_SCAN = ["G01_add", "G02_multiply", "G03_divide", "G04_divide_binomial", "G06_divide_lists", "G07_divide_correlated", "G23_total_error",
+            "G24_high_over_minimum_bias", "G25_particle_ratio_errors", "G26_double_ratio_errors", "G27_average_channels", "G27_average_errors",
+            "G35_trigger_turn_on", "G37_clip_negative", "H08_seed_chain"]
+
+
+@pytest.mark.parametrize("key", ONE_SCAN)
+def test_operands_come_from_one_scan(spark, key):
+    import __spark_entry__ as contract
+
+    out = contract.queries()[key](spark, "/root/testdata/sf0.001")
+    physical = out._jdf.queryExecution().sparkPlan().toString()
+    for name in ("lineitem", "orders"):
+        assert physical.count(f"/{name}.parquet") <= 1, physical
+
+
+def test_operands_keep_bins_of_either_side(spark):
+    df = spark.createDataFrame([("a", 0.5, 2.0), ("a", 1.5, 3.0), ("b", 1.5, 4.0), (None, 2.5, 5.0), ("c", 2.5, 1.0)], "cls string, x double, w double")
+    axis = Edges.of(0.0, 1.0, 2.0, 3.0)
+    h = hist.fill_classes(df, [("x", axis)], {"a": F.col("cls") == "a", "b": F.col("cls") == "b"}, weight="w")
+    both = algebra.operands(h, ["ix"], "a", "b")
+    assert rows(both.select("ix", "a_content", "a_sumw2", "b_content", "b_sumw2")) == [(1, 2.0, 4.0, 0.0, 0.0), (2, 3.0, 9.0, 4.0, 16.0)]
+    apart = [hist.fill(df.where(F.col("cls") == c), [("x", axis)], weight="w") for c in "ab"]
+    for op in (algebra.add, algebra.multiply, algebra.divide, algebra.divide_binomial, algebra.divide_correlated):
+        assert rows(op(both, None, ["ix"])) == rows(op(*apart, ["ix"]))
+    by_class = hist.fill(df, [("x", axis)], ["cls"], weight="w")
+    again = algebra.operands(by_class, ["ix"], F.col("cls") == "a", F.col("cls") == "b")
+    assert rows(again.select(*both.columns)) == rows(both)
+    empty = hist.fill_classes(df.where("false"), [("x", axis)], {"a": F.lit(True), "b": F.lit(True)})
+    assert algebra.operands(empty, ["ix"], "a", "b").count() == 0
