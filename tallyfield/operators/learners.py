@@ -6,7 +6,10 @@ import itertools
 import os
 import random
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -174,28 +177,77 @@ def draws(n: int, seed: int, **ranges: tuple) -> list[dict]:
     return [{k: rnd.randint(a, b) if isinstance(a, int) and isinstance(b, int) else rnd.uniform(a, b) for k, (a, b) in ranges.items()} for _ in range(n)]
 
 
-def search(df: DataFrame, features: Sequence[str], kind: str, settings: Sequence[Mapping], folds: int, label: str, keys: Sequence[str], seed: int = 1) -> tuple[DataFrame, PipelineModel]:
+PARALLEL = 4  # fits that run at a time; they share the executors
+
+
+def _at_once(spark, work: Callable, items: Sequence, parallel: int) -> list:
+    """Results of ``work`` in order; the driver's threads only wait for their jobs."""
+    with ThreadPool(max(1, min(parallel, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items)
+
+
+def search(df: DataFrame, features: Sequence[str], kind: str, settings: Sequence[Mapping], folds: int, label: str, keys: Sequence[str], seed: int = 1,
+           parallel: int = PARALLEL) -> tuple[DataFrame, PipelineModel]:
     """Cross-validate every parameter set; returns the result table and the best model refitted on all rows.
 
     Scores are the mean and spread over folds of AUC and accuracy; the best mean
-    AUC wins.  The table has one row per parameter set.
+    AUC wins, the earlier set at a tie.  The table has one row per parameter set.  All fits of sets
+    and folds run ``parallel`` at a time; the folds of all sets are scored by one job.
     """
     data = with_folds(df, keys, folds, seed).persist()
-    rows = []
-    for i, s in enumerate(settings):
-        scored = cross_validated(data, features, KINDS[kind](label=label, **s), folds)
-        per_fold = area_under_curve(scored, label, "y_test_prob", ["fold"]).join(accuracy(scored, label, "y_test_prediction", ["fold"]), "fold")
-        r = per_fold.agg(F.avg("auc"), F.stddev_pop("auc"), F.avg("accuracy"), F.stddev_pop("accuracy")).first()
-        rows.append((i, str(dict(s)), *[float(x) for x in r]))
-    best = max(rows, key=lambda r: r[2])[0]
+    spark = df.sparkSession
+    tasks = [(i, k) for i in range(len(settings)) for k in range(folds)]
+    models = _at_once(spark, lambda t: train(data.where(F.col("fold") != t[1]), features, KINDS[kind](label=label, **settings[t[0]])), tasks, parallel)
+    parts = [score(data.where(F.col("fold") == k), m, "").select("fold", label, "y_test_prediction", "y_test_prob").withColumn("trial", F.lit(i)) for (i, k), m in zip(tasks, models)]
+    scored = reduce(DataFrame.unionByName, parts)
+    by = ["trial", "fold"]
+    per_fold = area_under_curve(scored, label, "y_test_prob", by).join(accuracy(scored, label, "y_test_prediction", by), by)
+    found = per_fold.groupBy("trial").agg(F.avg("auc"), F.stddev_pop("auc"), F.avg("accuracy"), F.stddev_pop("accuracy")).collect()  # a row per set
+    rows = sorted((r[0], str(dict(settings[r[0]])), *[float(x) for x in r[1:]]) for r in found)
+    best = max(rows, key=lambda r: (r[2], -r[0]))[0]
     model = train(data, features, KINDS[kind](label=label, **settings[best]))
     data.unpersist()
-    table = df.sparkSession.createDataFrame(
+    table = spark.createDataFrame(
         [(*r, r[0] == best) for r in rows],
         "trial int, parameters string, auc_mean double, auc_std double, accuracy_mean double, accuracy_std double, best boolean")
     return table, model
 
 
+def halving(df: DataFrame, features: Sequence[str], kind: str, settings: Sequence[Mapping], label: str, keys: Sequence[str], seed: int = 1,
+            keep: int = 2, test: float = 0.25, parallel: int = PARALLEL) -> tuple[DataFrame, PipelineModel]:
+    """Successive halving: many parameter sets on few rows, the better ones on more, the last one on all.
+
+    Each round fits the sets that are left on a share of the training rows, ``keep`` times that of the round before, and keeps
+    the best one in ``keep``.  Shares are thresholds on the key hash, so a round's rows contain those before
+    it; all rounds are compared on the same test rows, by AUC, the earlier set at a tie.  Fits of a round run ``parallel`` at a time and are
+    scored by one job.  Returns one row per set: last round (from 0), its share and AUC, and the winner refitted on all rows.
+    """
+    if keep < 2 or not settings:
+        raise ValueError("at least one parameter set, and keep of 2 or more")
+    spark = df.sparkSession
+    # two independent hashes: which rows are test rows, and the order of the others
+    data = df.withColumns({"__test": key_number(keys, seed) < int(test * 2**32), "__order": key_number(keys, seed + 1)}).persist()
+    rounds = 0
+    while keep ** (rounds + 1) <= len(settings):
+        rounds += 1
+    left, seen = list(range(len(settings))), {}
+    for r in range(rounds + 1):
+        share = float(keep) ** (r - rounds)
+        part = data.where(~F.col("__test") & (F.col("__order") < int(share * 2**32)))
+        models = _at_once(spark, lambda i, part=part: train(part, features, KINDS[kind](label=label, **settings[i])), left, parallel)
+        held = data.where("__test")
+        scored = reduce(DataFrame.unionByName, [score(held, m, "").select(label, "y_test_prob").withColumn("trial", F.lit(i)) for i, m in zip(left, models)])
+        auc = {x["trial"]: x["auc"] for x in area_under_curve(scored, label, "y_test_prob", ["trial"]).collect()}  # a row per set
+        seen |= {i: (r, share, auc.get(i)) for i in left}
+        left = sorted(left, key=lambda i: (-(auc.get(i) or 0.0), i))[: max(1, len(left) // keep)]
+    best = left[0]
+    model = train(df, features, KINDS[kind](label=label, **settings[best]))
+    data.unpersist()
+    table = spark.createDataFrame([(i, str(dict(settings[i])), *seen[i], i == best) for i in sorted(seen)],
+                                  "trial int, parameters string, round int, share double, auc double, best boolean")
+    return table, model
+
+
 def standardise(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Zero mean and unit (population) variance; one row of moments is read back."""
     m = df.agg(*[F.avg(c).alias(f"m_{c}") for c in columns], *[F.stddev_pop(c).alias(f"s_{c}") for c in columns]).first()

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.predicates import Operand, col
 from .hist import auto_hist, limited_ranges, melt, numbered, variable_names
@@ -46,13 +47,13 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(copies, list(keys))
 
 
-def co_moments(df: DataFrame, variables: Sequence[str], by: Sequence[str], weight: str | None = None) -> DataFrame:
+def co_moments(df: DataFrame, variables: Sequence[str], by: Sequence[str], weight: str | None = None, diagonal: bool = True) -> DataFrame:
     """Weighted means, variances and covariances of all variable pairs for all groups at once: one aggregation.
 
-    One row per group and pair i <= j: ``a``, ``b``, ``n`` rows, ``w`` their weight, ``mean_a``, ``mean_b``, ``cov`` (population).
+    One row per group and pair i <= j (i < j without ``diagonal``): ``a``, ``b``, ``n`` rows, ``w`` their weight, ``mean_a``, ``mean_b``, ``var_a``, ``var_b``, ``cov`` (population).
     The sums are taken around rough centres (the means of finite values over the whole table, one row of numbers), so that large
-    offsets do not cancel; sums of groups and files merge by addition.  A row with a NULL, NaN or infinite variable, or a
-    weight that is not above 0, is left out.  A row is an array that travels no further than its own task.
+    offsets do not cancel.  A row with a NULL, NaN or infinite variable, or a weight that is not above 0, is left out.
+    The products of a row live in its own task; one vector of sums per group and task is shuffled.
     """
     x = [F.col(f"`{v}`").cast("double") for v in variables]
     fine = [F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c) for c in x]
@@ -61,33 +62,34 @@ def co_moments(df: DataFrame, variables: Sequence[str], by: Sequence[str], weigh
     shifted = [c - F.lit(float(m or 0.0)) for c, m in zip(fine, centre)]
     rows = df.select(*by, F.array(*shifted).alias("__x"), w.alias("__w")).where("__w > 0 and not isnan(__w) and not exists(__x, v -> v is null)")
     k = len(variables)
-    d = [F.col("__x")[i] for i in range(k)]
-    sums = rows.groupBy(*by).agg(
-        F.count("*").alias("n"), F.sum("__w").alias("w"),
-        F.array(*[F.sum(F.col("__w") * d[i]) for i in range(k)]).alias("s"),
-        F.array(*[F.sum(F.col("__w") * d[i] * d[j]) for i in range(k) for j in range(i, k)]).alias("p"))
+    products = F.flatten(F.transform("__x", lambda v, i: F.transform(F.slice("__x", i + 1, k), lambda u: u * v)))
+    rows = rows.withColumn("__v", array_to_vector(F.concat("__x", products)))
+    means = rows.groupBy(*by).agg(F.count("*").alias("n"), F.sum("__w").alias("w"), vector_to_array(Summarizer.mean(F.col("__v"), F.col("__w"))).alias("m"))
     names, mids = F.array(*map(F.lit, variables)), F.array(*[F.lit(float(m or 0.0)) for m in centre])
-    place = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(k) for j in range(i, k)])
-    each = sums.select("*", F.posexplode(place).alias("__at", "__ij"))
-    ma, mb = F.col("s")[F.col("__ij.i")] / F.col("w"), F.col("s")[F.col("__ij.j")] / F.col("w")
-    return each.select(*by, names[F.col("__ij.i")].alias("a"), names[F.col("__ij.j")].alias("b"), "n", "w",
-                       (ma + mids[F.col("__ij.i")]).alias("mean_a"), (mb + mids[F.col("__ij.j")]).alias("mean_b"),
-                       (F.col("p")[F.col("__at")] / F.col("w") - ma * mb).alias("cov"))
+    at = {(i, j): k + n for n, (i, j) in enumerate((i, j) for i in range(k) for j in range(i, k))}  # place of a product among the means
+    pairs = F.explode(F.expr("array(" + ", ".join(f"struct({i} AS i, {j} AS j, {n} AS ij, {at[i, i]} AS ii, {at[j, j]} AS jj)" for (i, j), n in at.items() if diagonal or i < j) + ")"))
+    each = means.withColumn("__p", pairs)
+    m = F.col("m")
+
+    def centred(product: str, one: str, other: str) -> Column:
+        return m[F.col(f"__p.{product}")] - m[F.col(f"__p.{one}")] * m[F.col(f"__p.{other}")]
+
+    return each.select(*by, names[F.col("__p.i")].alias("a"), names[F.col("__p.j")].alias("b"), "n", "w",
+                       (m[F.col("__p.i")] + mids[F.col("__p.i")]).alias("mean_a"), (m[F.col("__p.j")] + mids[F.col("__p.j")]).alias("mean_b"),
+                       centred("ii", "i", "i").alias("var_a"), centred("jj", "j", "j").alias("var_b"), centred("ij", "i", "j").alias("cov"))
 
 
 def correlations(df: DataFrame, variables: Sequence[str], by: Sequence[str], weight: str | None = None) -> DataFrame:
     """Pearson coefficient of every variable pair per group, from the co-moments of all groups at once.
 
-    A constant variable has no coefficient (null).
+    A variable whose variance is 0 to rounding has no coefficient (null).
     """
-    m = co_moments(df, variables, by, weight)
-    # one group's matrix, a configured number of variables
-    own = F.map_from_entries(F.collect_list(F.when(F.col("a") == F.col("b"), F.struct("a", "cov"))))
-    pairs = m.groupBy(*by).agg(own.alias("v"), F.collect_list(F.when(F.col("a") != F.col("b"), F.struct("a", "b", "cov"))).alias("__p"))
-    pairs = pairs.select(*by, "v", F.explode("__p").alias("__p")).select(*by, "v", "__p.*")
-    va, vb = F.col("v")[F.col("a")], F.col("v")[F.col("b")]
-    tiny = (va <= 0) | (vb <= 0)
-    return pairs.select(*by, "a", "b", F.when(~tiny, F.col("cov") / F.sqrt(va * vb)).alias("corr"))
+    m = co_moments(df, variables, by, weight, diagonal=False)
+
+    def spread(variance: str, mean: str) -> Column:
+        return F.col(variance) > 1e-14 * F.col(mean) * F.col(mean)
+
+    return m.select(*by, "a", "b", F.when(spread("var_a", "mean_a") & spread("var_b", "mean_b"), F.col("cov") / F.sqrt(F.col("var_a") * F.col("var_b"))).alias("corr"))
 
 
 def trial_spread(trials: DataFrame, by: Sequence[str], value: str, nominal: Column) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bins import Uniform
-from ..operators import boosting, evaluate, hist, learners, ranks, samples
+from ..operators import attribution, boosting, evaluate, hist, learners, ranks, samples
 from ..session import fresh_path, stored
 from .peaks import fit_sql
 from .registry import query, rounded, sql_bin, table
@@ -297,6 +297,100 @@ def k19(spark, sf):
     return learners.permutation_importance(df, model, E_FEATURES, ["vec_id"], "label")
 
 
+def forest_rows(spark, sf):
+    df = vectors(spark, sf)
+    return df, learners.train(df, E_FEATURES, learners.random_forest(depth=4, trees=10))
+
+
+@query("K19_row_attribution")
+def k19_rows(spark, sf):
+    """Contribution of every element to the score of every row, by the forest; they add up to the score."""
+    df, model = forest_rows(spark, sf)
+    out = attribution.attribute(learners.score(df, model, ""), model, E_FEATURES)
+    return out.select("vec_id", "base", "contributions", "attributed", "y_test_prob")
+
+
+@query("K19_influence")
+def k19_influence(spark, sf):
+    df, model = forest_rows(spark, sf)
+    return attribution.influence(attribution.attribute(df, model, E_FEATURES), E_FEATURES, ["label"])
+
+
+HALF, LABEL = "l_quantity > 25", "l_quantity + 3 * l_linenumber > 37"  # most rows of one half have label 1, few of the other
+
+
+def half_rows(spark, sf, *more):
+    return items(spark, sf).select(*KEY, *more, F.expr(HALF).cast("double").alias("x"), F.expr(LABEL).cast("int").alias("label"))
+
+
+def stump(spark, sf):
+    """A tree with one cut on a column of two values: its leaves are the means of the two groups."""
+    df = half_rows(spark, sf)
+    return df, learners.train(df, ["x"], learners.decision_tree(1))
+
+
+STUMP_SQL = f"""(SELECT {HALF} AS x, count(*) FILTER ({LABEL}) / count(*) AS p, (SELECT count(*) FILTER ({LABEL}) / count(*) FROM lineitem) AS base FROM lineitem GROUP BY 1)"""
+HALVES_SQL = f"(SELECT *, {HALF} AS x, CAST(l_linenumber % 2 AS INTEGER) AS skim_bin FROM lineitem)"
+
+
+@query("K05_one_cut", f"""SELECT {KEY_SQL}, CAST(p > 0.5 AS DOUBLE) AS "y_test_predictionTree", round(p, 6) AS "y_test_probTree" FROM {HALVES_SQL} JOIN {STUMP_SQL} USING (x)""")
+def k05_one_cut(spark, sf):
+    df, model = stump(spark, sf)
+    return learners.score(df, model, "Tree").select(*KEY, "y_test_predictionTree", rounded("y_test_probTree").alias("y_test_probTree"))
+
+
+@query("K10_one_cut_per_bin", f"""SELECT {KEY_SQL}, skim_bin, round(p, 6) AS "y_test_probBin" FROM {HALVES_SQL} JOIN
+      (SELECT skim_bin, x, count(*) FILTER ({LABEL}) / count(*) AS p FROM {HALVES_SQL} GROUP BY ALL) USING (skim_bin, x) WHERE p > 0.5""")
+def k10_one_cut(spark, sf):
+    """A model per bin, each one cut, and the rows above the cut on its score."""
+    df = half_rows(spark, sf, (F.col("l_linenumber") % 2).cast("int").alias("skim_bin"))
+    models = {b: learners.train(df.where(F.col("skim_bin") == b), ["x"], learners.decision_tree(1)) for b in (0, 1)}
+    return learners.apply_per_bin(df, models, "Bin", {0: 0.5, 1: 0.5}).select(*KEY, "skim_bin", rounded("y_test_probBin").alias("y_test_probBin"))
+
+
+@query("K19_one_cut_attribution", f"""SELECT {KEY_SQL}, round(base, 6) AS base, round(p - base, 6) AS contribution, round(p, 6) AS attributed FROM {HALVES_SQL} JOIN {STUMP_SQL} USING (x)""")
+def k19_one_cut(spark, sf):
+    df, model = stump(spark, sf)
+    out = attribution.attribute(df, model, ["x"])
+    return out.select(*KEY, rounded("base").alias("base"), rounded(F.col("contributions")[0]).alias("contribution"), rounded("attributed").alias("attributed"))
+
+
+@query("K25_one_cut_surface", f"""SELECT CAST(-0.5 + i * 0.5 AS DOUBLE) AS x, CAST(-0.5 + j * 0.25 AS DOUBLE) AS y, round(p, 6) AS y_test_prob
+      FROM range(0, 5) a(i), range(0, 5) b(j), {STUMP_SQL} s WHERE s.x = (-0.5 + i * 0.5 > 0.5)""")
+def k25_one_cut(spark, sf):
+    """The second variable is constant, so the tree cuts the first one alone."""
+    df = half_rows(spark, sf).withColumn("y", F.lit(0.0))
+    out = learners.decision_surface(df, learners.train(df, ["x", "y"], learners.decision_tree(1)), "x", "y", points=5)
+    return out.select(*[rounded(c).alias(c) for c in ("x", "y", "y_test_prob")])
+
+
+ALPHA = 0.3
+# one feature, both sides standardised: the penalty divides the slope by 1 + alpha / deviation of the label
+RIDGE_SQL = f"""SELECT {KEY_SQL}, round(my + r / (1 + {ALPHA} / sy) * sy / sx * (x - mx), 4) AS "y_test_predictionRidge" FROM {REG_SQL},
+      (SELECT avg(label) AS my, avg(x) AS mx, stddev_pop(label) AS sy, stddev_pop(x) AS sx, corr(label, x) AS r FROM {REG_SQL})"""
+
+
+@query("K07_ridge_line", RIDGE_SQL)
+def k07_ridge(spark, sf):
+    df = regression_rows(spark, sf)
+    s = learners.score(df, learners.train(df, ["x"], learners.linear_regression(ALPHA, "ridge")), "Ridge")
+    return s.select(*KEY, rounded("y_test_predictionRidge", 4).alias("y_test_predictionRidge"))
+
+
+@query(
+    "K24_two_components",
+    f"""SELECT {KEY_SQL}, round(abs((q + p) / sqrt(2)), 4) AS pca_1, round(abs((q - p) / sqrt(2)), 4) AS pca_2, round((1 + r) / 2, 6) AS share_1, round((1 - r) / 2, 6) AS share_2
+        FROM (SELECT {KEY_SQL}, (l_quantity - mq) / sq AS q, (l_extendedprice - mp) / sp AS p, r FROM lineitem,
+          (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_extendedprice) AS mp, stddev_pop(l_extendedprice) AS sp, corr(l_quantity, l_extendedprice) AS r FROM lineitem))""",
+)
+def k24_two(spark, sf):
+    """Two standardised columns: the axes are the diagonals; their signs are free, so distances from them are given."""
+    columns = ["l_quantity", "l_extendedprice"]
+    df = learners.standardise(items(spark, sf).select(*KEY, *columns), columns)
+    out, shares = learners.principal_components(df, columns, 2)
+    return out.select(*KEY, *[rounded(F.abs(f"pca_{i}"), 4).alias(f"pca_{i}") for i in (1, 2)], *[F.lit(round(v, 6)).alias(f"share_{i + 1}") for i, v in enumerate(shares)])
+
+
 @query("K20_grid_search")
 def k20(spark, sf):
     df = stored(vectors(spark, sf), "vectors")
@@ -309,6 +403,12 @@ def k21(spark, sf):
     return learners.search(df, E_FEATURES, "random_forest", learners.draws(3, 7, depth=(2, 6), trees=(4, 20)), 3, "label", ["vec_id"])[0]
 
 
+@query("K21_successive_halving")
+def k21_halving(spark, sf):
+    df = stored(vectors(spark, sf), "vectors")
+    return learners.halving(df, E_FEATURES, "random_forest", learners.draws(6, 7, depth=(2, 6), trees=(4, 20)), "label", ["vec_id"])[0]
+
+
 @query(
     "K22_scorers",
     f"""SELECT a.l_linestatus, a.auc, round(b.acc, 6) AS accuracy FROM ({AUC_SQL}) a JOIN

@@ -389,6 +389,19 @@ def e23(spark, sf):
     return out.withColumn("corr", rounded("corr"))
 
 
+@query(
+    "E23_co_moments",
+    " UNION ALL ".join(
+        f"""SELECT l_returnflag, '{a}' AS a, '{b}' AS b, count(*) AS n, round(sum(w), 4) AS w, round(sum(w * {a}) / sum(w), 4) AS mean_a, round(sum(w * {b}) / sum(w), 4) AS mean_b,
+            round(sum(w * ({a} - 25) * ({b} - 25)) / sum(w) - (sum(w * {a}) / sum(w) - 25) * (sum(w * {b}) / sum(w) - 25), 4) AS cov
+            FROM (SELECT *, l_tax + 0.5 AS w FROM lineitem) GROUP BY 1""" for a, b in (("l_quantity", "l_quantity"), ("l_quantity", "l_linenumber"), ("l_linenumber", "l_linenumber"))),
+)
+def e23_moments(spark, sf):
+    df = items(spark, sf).withColumn("w", F.col("l_tax") + 0.5)
+    m = scans.co_moments(df, ["l_quantity", "l_linenumber"], ["l_returnflag"], "w")
+    return m.select("l_returnflag", "a", "b", "n", *[rounded(c, 4).alias(c) for c in ("w", "mean_a", "mean_b", "cov")])
+
+
 @query(
     "E24_trial_spread",
     f"""WITH t AS (SELECT {IPT_SQL} AS ipt, l_linenumber AS trial, avg(l_extendedprice) AS v FROM lineitem GROUP BY ALL)

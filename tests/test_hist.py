@@ -238,3 +238,23 @@ def test_correlations(data):
     out = scans.correlations(data.withColumn("z", -F.col("x")), ["x", "y", "z"], ["g"])
     assert out.count() == 9
     assert all(r["corr"] == pytest.approx(-1.0) for r in out.where("a = 'x' and b = 'z'").collect())
+
+
+def test_co_moments(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    g, w, x = rng.integers(0, 3, 300), rng.uniform(0.1, 2, 300), rng.normal(1e6, 1.0, (300, 3))
+    df = spark.createDataFrame([(int(a), float(b), *map(float, v)) for a, b, v in zip(g, w, x)] + [(0, 1.0, None, 1.0, 2.0), (1, 1.0, float("nan"), 1.0, 2.0), (2, 0.0, 1.0, 1.0, 2.0)],
+                               "g int, w double, x double, y double, z double")
+    out = {(r.g, r.a, r.b): r for r in scans.co_moments(df, ["x", "y", "z"], ["g"], "w").collect()}
+    assert len(out) == 18
+    for k in range(3):
+        c = np.cov(x[g == k].T, aweights=w[g == k], ddof=0)
+        for i, a in enumerate("xyz"):
+            for j, b in enumerate("xyz"):
+                if i <= j:
+                    assert out[k, a, b].cov == pytest.approx(c[i, j], abs=1e-8) and out[k, a, b].n == (g == k).sum()
+    assert scans.correlations(df.where("false"), ["x", "y"], ["g"]).count() == 0
+    flat = scans.correlations(df.withColumn("y", F.lit(3.0)), ["x", "y"], ["g"]).collect()
+    assert len(flat) == 3 and all(r["corr"] is None for r in flat)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyfield.functions.bins import Uniform
-from tallyfield.operators import evaluate, learners, variations
+from tallyfield.operators import attribution, evaluate, learners, variations
 from tallyfield.session import fresh_path
 from tallyfield.streaming import incremental
 
@@ -208,3 +208,35 @@ def test_shared_folder_is_required_on_a_cluster(spark):
     with pytest.raises(RuntimeError):
         session.shared_dir(Other())
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+@pytest.mark.parametrize("name", ["forest", "boosted", "tree"])
+def test_attribution_adds_up_to_the_score(separable, name):
+    df = separable.withColumn("base", F.lit("kept apart"))
+    model = learners.train(df, FEATURES, ESTIMATORS[name]())
+    s = attribution.attribute(learners.score(df, model, ""), model, FEATURES, base="__base")
+    want = -0.5 * F.log(1 / F.col("y_test_prob") - 1) if name == "boosted" else F.col("y_test_prob")
+    worst = s.select(F.max(F.abs(F.col("attributed") - want)).alias("d"), F.countDistinct("__base").alias("n")).first()
+    assert worst.d < 1e-9 and worst.n == 1 and s.count() == 400
+    by = {r.feature: r.mean_abs for r in attribution.influence(s, FEATURES).collect()}
+    assert by["a"] > by["b"] and set(by) == set(FEATURES)
+
+
+def test_attribution_of_missing_values_and_nothing(spark, separable):
+    model = learners.train(separable, FEATURES, learners.decision_tree(2))
+    odd = spark.createDataFrame([(None, 0.0), (float("nan"), None)], "a double, b double")
+    assert all(len(r.contributions) == 2 and 0 <= r.attributed <= 1 for r in attribution.attribute(odd, model, FEATURES).collect())
+    assert attribution.attribute(separable.where("false"), model, FEATURES).count() == 0
+
+
+def test_halving_finds_the_winner_of_the_whole_search(separable):
+    settings = [{"depth": 1, "trees": 1, "max_features": "1"}, {"depth": 4, "trees": 12}, {"depth": 1, "trees": 1, "max_features": "1", "seed": 2}, {"depth": 1, "trees": 1, "max_features": "1", "seed": 3}]
+    copies = separable.select(F.explode(F.sequence(F.lit(0), F.lit(4))).alias("c"), "*").withColumn("k", F.col("k") * 5 + F.col("c"))
+    table, model = learners.halving(copies, FEATURES, "random_forest", settings, "label", ["k"])
+    found = {r.trial: r for r in table.collect()}
+    whole = learners.search(copies, FEATURES, "random_forest", settings, 2, "label", ["k"])[0]
+    assert found[1].best and found[1].share == 1.0 and found[1].round == 2 and whole.where("best").first().trial == 1
+    assert sum(r.best for r in found.values()) == 1 and sorted(r.round for r in found.values()) == [0, 0, 1, 2]
+    assert learners.score(copies, model, "").count() == 2000
+    with pytest.raises(ValueError, match="parameter set"):
+        learners.halving(copies, FEATURES, "random_forest", [], "label", ["k"])
