@@ -51,16 +51,16 @@ def co_moments(df: DataFrame, variables: Sequence[str], by: Sequence[str], weigh
     """Weighted means, variances and covariances of all variable pairs for all groups at once: one aggregation.
 
     One row per group and pair i <= j (i < j without ``diagonal``): ``a``, ``b``, ``n`` rows, ``w`` their weight, ``mean_a``, ``mean_b``, ``var_a``, ``var_b``, ``cov`` (population).
-    The sums are taken around rough centres (the means of finite values over the whole table, one row of numbers), so that large
+    The sums are taken around rough centres (the means over all rows that count, one row of numbers), so that large
     offsets do not cancel.  A row with a NULL, NaN or infinite variable, or a weight that is not above 0, is left out.
     The products of a row live in its own task; one vector of sums per group and task is shuffled.
     """
     x = [F.col(f"`{v}`").cast("double") for v in variables]
     fine = [F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c) for c in x]
-    centre = df.agg(*[F.avg(c) for c in fine]).first()
     w = F.lit(1.0) if weight is None else F.col(f"`{weight}`").cast("double")
-    shifted = [c - F.lit(float(m or 0.0)) for c, m in zip(fine, centre)]
-    rows = df.select(*by, F.array(*shifted).alias("__x"), w.alias("__w")).where("__w > 0 and not isnan(__w) and not exists(__x, v -> v is null)")
+    used = df.select(*by, F.array(*fine).alias("__x"), w.alias("__w")).where("__w > 0 and not isnan(__w) and not exists(__x, v -> v is null)")
+    centre = used.agg(*[F.avg(F.col("__x")[i]) for i in range(len(variables))]).first()
+    rows = used.withColumn("__x", F.zip_with("__x", F.array(*[F.lit(float(m or 0.0)) for m in centre]), lambda v, m: v - m))
     k = len(variables)
     products = F.flatten(F.transform("__x", lambda v, i: F.transform(F.slice("__x", i + 1, k), lambda u: u * v)))
     rows = rows.withColumn("__v", array_to_vector(F.concat("__x", products)))
