@@ -145,19 +145,19 @@ def rebin_by(hist: DataFrame, factor: Operand | int, axis: str = "ix") -> DataFr
 
 
 def rebin_factor(
-    hist: DataFrame, by: Sequence[str], n_bins: int, min_entries: float, hi: int, lo: int | None = None
+    hist: DataFrame, by: Sequence[str], n_bins: int, min_entries: float, hi: int, lo: int | None = None, first: int = 1
 ) -> DataFrame:
     """Factor that brings the mean bin content to ``min_entries``.
 
     At most ``hi``, at least ``lo``; without ``lo`` a factor below 1 becomes null,
-    as does the factor of an empty histogram.
+    as does the factor of an empty histogram.  ``first=0`` counts the underflow too.
     """
     raw = F.lit(float(min_entries)) / (F.sum("content") / n_bins)
     factor = F.when(raw > hi, F.lit(hi))
     if lo is not None:
         factor = factor.when(raw < lo, F.lit(lo))
     factor = factor.when(raw >= 1, F.ceil(raw)).cast("int")
-    return hist.where(F.col("ix").between(1, n_bins)).groupBy(*by).agg(
+    return hist.where(F.col("ix").between(first, n_bins)).groupBy(*by).agg(
         F.when(F.sum("content") > 0, factor).alias("factor")
     )
 

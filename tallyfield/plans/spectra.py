@@ -275,8 +275,8 @@ def e15(spark, sf):
         FROM lineitem JOIN f USING (l_linenumber) GROUP BY ALL""",
 )
 def e16(spark, sf):
-    h = hist.fill(items(spark, sf), [("l_extendedprice", MASS)], ["l_linenumber"], flow=False)
-    factors = hist.rebin_factor(h, ["l_linenumber"], MASS.n, 400, hi=20)
+    h = hist.fill(items(spark, sf), [("l_extendedprice", MASS)], ["l_linenumber"])
+    factors = hist.rebin_factor(h, ["l_linenumber"], MASS.n, 400, hi=20, lo=1, first=0)
     return hist.rebin_by(h.join(factors, "l_linenumber"), "factor").drop("sumw2")
 
 
