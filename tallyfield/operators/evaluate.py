@@ -130,15 +130,17 @@ def signal_efficiency(signal: DataFrame, score: str, thresholds: Sequence[float]
 
 
 def background_scan(
-    data: DataFrame, score: str, mass: str, thresholds: Sequence[float], axis: Uniform, lo: float, hi: float, order: int = 1, min_entries: int = 5
+    data: DataFrame, score: str, mass: str, thresholds: Sequence[float], axis: Uniform, lo: float, hi: float, order: int = 1, min_entries: int = 5,
+    flow: bool = False,
 ) -> DataFrame:
     """(step, threshold, bkg, bkg_err): polynomial through the side bands above each threshold, integrated over [lo, hi].
 
     One scan fills (thresholds passed, mass bin) counters; only these are spread over
-    the thresholds.  A threshold with at most ``min_entries`` rows gets 0.
+    the thresholds.  A threshold with at most ``min_entries`` rows gets 0.  With ``flow`` the rows beyond
+    both ends count as one more bin at each.
     """
     n = len(thresholds)
-    h = fill(data.withColumn("k", thresholds_passed(score, thresholds)).where("k > 0"), [(mass, axis)], ["k"], flow=False)
+    h = fill(data.withColumn("k", thresholds_passed(score, thresholds)).where("k > 0"), [(mass, axis)], ["k"], flow=flow)
     per = project(h.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("k") - 1))), ["step", "ix"])
     centre, half = (axis.lo + axis.hi) / 2, (axis.hi - axis.lo) / 2
     fit = polynomial_fit(per.withColumn("x", axis.centre("ix")), ["step"], order, "x", "content", F.try_divide(F.lit(1.0), F.col("sumw2")), centre, half)

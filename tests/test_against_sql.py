@@ -41,3 +41,8 @@ def test_bins_are_kept_as_they_are_where_they_hold_enough(spark, tmp_path):
     rows = rows.unionByName(rows.where("l_orderkey < 2000").withColumn("l_linenumber", F.lit(3)))  # this one is joined by 20
     out = agree(spark, tmp_path, "E16_adaptive_rebin", lineitem=rows)
     assert {r[1] for r in out} == {"1", "20"}
+
+
+def test_background_counts_prices_beyond_the_axis(spark, tmp_path):
+    out = agree(spark, tmp_path, "K28_background_scan", lineitem=priced(spark, 3000, 7))
+    assert sum(float(dict(zip(("bkg", "bkg_err", "step", "threshold"), r))["bkg"]) > 0 for r in out) > 40
