@@ -46,3 +46,9 @@ def test_bins_are_kept_as_they_are_where_they_hold_enough(spark, tmp_path):
 def test_background_counts_prices_beyond_the_axis(spark, tmp_path):
     out = agree(spark, tmp_path, "K28_background_scan", lineitem=priced(spark, 3000, 7))
     assert sum(float(dict(zip(("bkg", "bkg_err", "step", "threshold"), r))["bkg"]) > 0 for r in out) > 40
+
+
+def test_significance_with_prices_beyond_the_axis(spark, tmp_path):
+    rows = priced(spark, 3000, 7).withColumn("l_returnflag", F.substring(F.lit("ANR"), (F.col("l_orderkey") % 3 + 1).cast("int"), F.lit(1)))
+    part = spark.range(50).select(F.col("id").alias("p_partkey"), F.col("id").cast("int").alias("p_size"), (F.col("id") * 1.5e6).cast("double").alias("p_retailprice"))
+    agree(spark, tmp_path, "K30_significance_scan", lineitem=rows, part=part)
