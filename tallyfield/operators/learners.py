@@ -9,6 +9,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
@@ -16,6 +17,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier,
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -263,6 +265,21 @@ def principal_components(df: DataFrame, columns: Sequence[str], n: int) -> tuple
     return out, [float(v) for v in model.explainedVariance]
 
 
+def correlation_axes(df: DataFrame, columns: Sequence[str]) -> list[tuple[float, list[float]]]:
+    """(share of the variance, loadings) of the axes of the correlation matrix, the largest share first.
+
+    Only the matrix (columns x columns) reaches the driver.  Its diagonal is exactly 1, so the axes of two columns are
+    the diagonals, whatever the coefficient; of a covariance, noise in the variances would turn them where it is small.
+    """
+    vec = VectorAssembler(inputCols=list(columns), outputCol=FEATURES).transform(df)
+    matrix = Correlation.corr(vec, FEATURES).head()[0].toArray()
+    if len(columns) == 2:
+        r, half = float(matrix[0, 1]), 0.5**0.5
+        return sorted([((1 + r) / 2, [half, half]), ((1 - r) / 2, [half, -half])], key=lambda a: -a[0])
+    values, axes = np.linalg.eigh(matrix)
+    return [(float(values[i] / len(columns)), [float(v) for v in axes[:, i]]) for i in np.argsort(-values, kind="stable")]
+
+
 def decision_surface(df: DataFrame, model: PipelineModel, x: str, y: str, points: int = 50, margin: float = 0.5) -> DataFrame:
     """Model score on ``points`` x ``points`` places over the range of two variables plus a margin."""
     r = df.agg(*[f(c).cast("double").alias(f"{n}{i}") for i, c in enumerate((x, y)) for n, f in (("lo", F.min), ("hi", F.max))]).first()

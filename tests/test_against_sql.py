@@ -7,6 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from tallyfield.operators import learners
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "tools"))
 
@@ -52,3 +53,25 @@ def test_significance_with_prices_beyond_the_axis(spark, tmp_path):
     rows = priced(spark, 3000, 7).withColumn("l_returnflag", F.substring(F.lit("ANR"), (F.col("l_orderkey") % 3 + 1).cast("int"), F.lit(1)))
     part = spark.range(50).select(F.col("id").alias("p_partkey"), F.col("id").cast("int").alias("p_size"), (F.col("id") * 1.5e6).cast("double").alias("p_retailprice"))
     agree(spark, tmp_path, "K30_significance_scan", lineitem=rows, part=part)
+
+
+def test_first_component_is_the_rising_diagonal(spark, tmp_path):
+    rows = priced(spark, 3000).withColumn("l_extendedprice", 50_000.0 - 3 * F.col("l_quantity") + F.col("l_extendedprice") / 1000)
+    assert rows.corr("l_quantity", "l_extendedprice") < 0
+    agree(spark, tmp_path, "K24_two_components", lineitem=rows)
+
+
+def test_nearly_uncorrelated_columns_keep_their_diagonals(spark):
+    """One stray row in 10,000 decides the coefficient; the axes stay at 45 degrees to the last digit."""
+    df = spark.range(10_000).select((F.col("id") % 100).cast("double").alias("a"), F.expr("cast(id div 100 as double)").alias("b"))
+    for extra in ((), ((50.5, 49.50001),), ((49.5001, 49.5001),)):
+        some = df.unionByName(spark.createDataFrame(list(extra), "a double, b double")) if extra else df
+        for share, (a, b) in learners.correlation_axes(learners.standardise(some, ["a", "b"]), ["a", "b"]):
+            assert abs(abs(a) - 0.5**0.5) < 1e-15 and abs(abs(b) - 0.5**0.5) < 1e-15 and abs(share - 0.5) < 1e-6
+
+
+def test_axes_of_three_columns(spark):
+    df = spark.range(200).select(F.col("id").cast("double").alias("a"), (2.0 * F.col("id") + 1).alias("b"), (F.col("id") * 37 % 200).cast("double").alias("c"))
+    (first, axis), (second, _), (third, _) = learners.correlation_axes(df, ["a", "b", "c"])
+    assert abs(first + second + third - 1) < 1e-12 and first >= second >= third and abs(third) < 1e-12
+    assert abs(axis[0] - axis[1]) < 1e-9 and abs(sum(v * v for v in axis) - 1) < 1e-12
