@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_path, released, small_side, stored, tune
 
-__all__ = ["table", "stored", "released", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_sample", "held_out", "ascii_lower", "tidy"]
+__all__ = ["table", "stored", "released", "fresh_path", "small_side", "Words", "words_of", "slices", "text_array", "mix", "labelled_rows", "held_out", "ascii_lower", "tidy"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = np.zeros(256, bool)
@@ -132,23 +132,23 @@ def held_out(doc_id):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
-    """At most `per_label` texts of each quality label, stored: (text, label).
+def labelled_rows(docs: DataFrame, labels: DataFrame, per_label: int | None = None) -> DataFrame:
+    """The texts of labelled rows outside the held-out fold, stored: (text, label).
 
-    The rows are those with the smallest hash of the id among labelled rows outside
-    the held-out fold, the same ones in every run; an id with both labels counts as
-    the lower one; ids or labels that are null are left out; of rows with one id the text with the
-    smallest (hash, text) counts.  The bound on the sample makes the broadcast of its ids bounded too.
+    An id with both labels counts as the lower one; ids or labels that are null are left out; of rows with one id
+    the text with the smallest (hash, text) counts.  With `per_label` at most so many of each label: those with the smallest
+    hash of the id, the same ones in every run.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    known = known.select("doc_id", "label", F.xxhash64("doc_id", F.lit(7)).alias("rank"))
-    drawn = [known.where(F.col("label") == c).orderBy("rank", "doc_id").limit(per_label) for c in (0, 1)]
-    ids = stored(drawn[0].unionByName(drawn[1]), "sampled-ids")
+    if per_label is not None:
+        known = known.select("doc_id", "label", F.xxhash64("doc_id", F.lit(7)).alias("rank"))
+        drawn = [known.where(F.col("label") == c).orderBy("rank", "doc_id").limit(per_label) for c in (0, 1)]
+        known = drawn[0].unionByName(drawn[1]).select("doc_id", "label")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(ids.select("doc_id", "label")), "doc_id")
+    found = texts.join(small_side(known), "doc_id")
     one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "label")).alias("row"))
-    return stored(one.select("row.text", "row.label"), "sample")
+    return stored(one.select("row.text", "row.label"), "labelled")
 
 
 def word_starts(data: np.ndarray, offset: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import labelled_sample, mix, slices, text_array, tidy, words_of
+from .common import labelled_rows, mix, slices, text_array, tidy, words_of
 
 BUCKETS = 4096
 PER_LABEL = 1500  # the documented bound on labelled rows used for fitting
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, rank: in
     """Statistics over all documents, axes and vectors from at most `per_label` rows of each label."""
     df, n = document_frequencies(docs)
     idf = np.log((1 + n) / (1 + df)).astype(np.float32)
-    rows = labelled_sample(docs, labels, per_label).orderBy(F.xxhash64("text"), "text", "label").toArrow()
+    rows = labelled_rows(docs, labels, per_label).orderBy(F.xxhash64("text"), "text", "label").toArrow()
     texts, label = text_array(rows.column("text")), rows.column("label").to_numpy().astype(np.float64)
     if not len(texts):
         return Model(idf, np.zeros((BUCKETS, 1), np.float32), np.zeros((0, 1), np.float32), label, 0.5)

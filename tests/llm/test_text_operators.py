@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyfield.llm import bpe, chat, imatch, jaccard, licenses, linededup, mixing, pii, quality, rules
+from tallyfield.llm.common import held_out, labelled_rows
 from tallyfield.llm.queries import VOCABULARY
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -448,3 +449,34 @@ def test_line_passages(spark, none):
     assert got[901].text.count("same") < 100 and got[906].text == "" and got[905].text == "x\ny" and got[904].removed == 0
     assert all(got[10 * k].removed == 0 for k in range(60))
     assert linededup.dedup_passages(none).count() == 0
+
+
+def test_threshold_is_exact_over_all_rows(spark):
+    rng = np.random.default_rng(3)
+    label = rng.integers(0, 2, 3000)
+    ratio = np.round(rng.normal(label * 0.5, 1.0), 2)
+    df = spark.createDataFrame([(int(x), float(y)) for x, y in zip(label, ratio)], "label int, ratio double")
+    good, bad = ratio[label == 1], ratio[label == 0]
+    cuts = np.unique(ratio)
+    cut = np.concatenate([[cuts[0] - 1e-6], 0.7 * cuts[:-1] + 0.3 * cuts[1:]])
+    gain = np.array([int((bad < c).sum()) * len(good) - int((good < c).sum()) * len(bad) for c in cut])
+    width = np.concatenate([[0], np.diff(cuts)])
+    want = max(zip(gain, width, -cut))
+    for slice_rows in (50_000, 20):
+        assert rules.best_threshold(df, slice_rows) == pytest.approx(-want[2], abs=1e-12)
+    only = rules.best_threshold(df.where("label = 1"))
+    assert only < good.min() and rules.best_threshold(df.where("label = 0")) == -np.inf
+
+
+def test_rules_learn_from_every_labelled_row(spark):
+    """Beyond 4,000 rows of a label, too: each of them carries a word of its own."""
+    n = 4300
+    docs = spark.range(n * 5 // 4 + 60).select(F.col("id").alias("doc_id"), F.format_string("own%d w%d common words", F.col("id"), F.col("id") % 7).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    used = labels.where(~held_out("doc_id")).count()
+    assert used > 4000
+    known = labelled_rows(docs, labels)
+    assert known.count() == used
+    target = rules.gram_counts(known, 64)
+    found = rules.fit(docs, labels, buckets=64)
+    assert target.sum() == used * 7 and np.allclose(found.weight, rules.log_ratio(target, rules.gram_counts(docs, 64), 1.0))
