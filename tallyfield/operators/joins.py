@@ -37,6 +37,19 @@ def merge_all(first: DataFrame, others: Sequence[tuple[DataFrame, Sequence[str]]
     return reduce(lambda left, right: left.join(right[0], list(right[1]), "inner"), others, first)
 
 
+TASK_ROWS = 500_000
+
+
+def dealt(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """The table dealt by its keys for about TASK_ROWS of ``rows`` rows per task.
+
+    The number of partitions follows from the rows, and is not merged at run time, so the memory of a task
+    stays the same however large the table is.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return df.repartition(parts, *keys)
+
+
 def match_bin(bin_index: Column, matching: Sequence[int]) -> Column:
     """Analysis bin number -> skim bin number."""
     table = F.array(*[F.lit(int(m)) for m in matching])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.bins import Edges, Uniform, by_width, first_bin
-from ..functions.predicates import gt
+from ..functions.predicates import gt, select_rows
 from ..operators import hist, joins, scans
 from .matching import BINS2_SQL, MULT, orders
 from .registry import (MASS, MULT_HIGH, MULT_LOW, PT, PT_HIGH, PT_LOW, SHAPE, query, rounded, sql_bin, sql_first_bin,
@@ -503,8 +503,12 @@ def e30(spark, sf):
           (SELECT *, 'low' AS slice FROM f WHERE ipt < 2 UNION ALL SELECT *, 'high' FROM f WHERE ipt >= 2) GROUP BY ALL""",
 )
 def e31(spark, sf):
-    df = joins.merge_all(with_ipt(items(spark, sf)).select("l_orderkey", "l_discount", "ipt"), [(orders(spark, sf), ["l_orderkey"])])
+    li = items(spark, sf)
+    n = li.count()
+    # one row per order and pt bin before the join: an order of very many items sends no more than its bins
+    li = joins.dealt(with_ipt(select_rows(li, "l_discount > 0.015")).select("l_orderkey", "ipt"), ["l_orderkey"], n).distinct()
+    df = joins.merge_all(li, [(joins.dealt(orders(spark, sf), ["l_orderkey"], n), ["l_orderkey"])])
     return hist.distribution_job(
-        df, query="o_orderstatus != 'P' and l_discount > 0.015", unique=["l_orderkey", "ipt"],
+        df, query="o_orderstatus != 'P'", unique=["l_orderkey", "ipt"],
         columns=["period", "o_totalprice"], axis=("o_totalprice", MULT), by=["period"],
         slices={"low": "ipt < 2", "high": "ipt >= 2"}).drop("sumw2")

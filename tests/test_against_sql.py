@@ -7,7 +7,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from tallyfield.operators import learners
+from tallyfield.operators import joins, learners
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "..", "tools"))
 
@@ -75,3 +75,23 @@ def test_axes_of_three_columns(spark):
     (first, axis), (second, _), (third, _) = learners.correlation_axes(df, ["a", "b", "c"])
     assert abs(first + second + third - 1) < 1e-12 and first >= second >= third and abs(third) < 1e-12
     assert abs(axis[0] - axis[1]) < 1e-9 and abs(sum(v * v for v in axis) - 1) < 1e-12
+
+
+def test_tables_are_dealt_by_their_rows(spark):
+    """Ten times the rows: ten times the tasks, each as large as before; nothing merges them again."""
+    df = spark.range(1000).withColumn("k", F.col("id") % 100)
+    n = spark.sparkContext.defaultParallelism
+    sizes = [joins.dealt(df, ["k"], rows).rdd.getNumPartitions() for rows in (10, 100 * joins.TASK_ROWS, 1000 * joins.TASK_ROWS)]
+    assert sizes == [n, 100, 1000]
+
+
+def test_distribution_job_of_orders_with_many_items(spark, tmp_path):
+    rows = priced(spark, 4000).withColumns({"l_orderkey": F.when(F.col("l_orderkey") % 3 == 0, 7).otherwise(F.col("l_orderkey") % 900),
+                                            "l_discount": F.col("l_orderkey") % 11 / 100})
+    orders = spark.range(1000).select(
+        F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.substring(F.lit("FOP"), (F.col("id") % 3 + 1).cast("int"), F.lit(1)).alias("o_orderstatus"),
+        (F.col("id") * 457.0).alias("o_totalprice"), F.expr("timestamp_ntz'1995-01-01' + make_dt_interval(cast(id % 900 as int))").alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"))
+    plan = contract.queries()["E31_distribution_job"]
+    out = agree(spark, tmp_path, "E31_distribution_job", lineitem=rows, orders=orders)
+    text = plan(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert out and text.count("REPARTITION_BY_NUM") == 2 and text.count("Exchange hashpartitioning(l_orderkey") == 2
