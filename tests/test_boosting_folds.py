@@ -108,3 +108,10 @@ def test_reweighted_counters(spark):
     got = {(r.g, r.ibin2): (r["all"], r.all_err, r.ok, r.ok_err) for r in out.collect()}
     assert got == {(1, 0): (3.0, math.sqrt(3), 2.0, math.sqrt(2)), (2, 0): (1.0, 1.0, 1.0, 1.0), (1, 1): (2.0, 2.0, 2.0, 2.0),
                    (1, 2): (3.0, 3.0, 0.0, 0.0), (2, 2): (0.5, 0.5, 0.5, 0.5)}
+
+
+def test_places_sort_the_rows_once(spark):
+    """Ranges are numbered where they are written: what reads them neither shuffles nor sorts their rows."""
+    df = spark.range(500).selectExpr("id % 90 k", "id v", "'x' label")
+    text = ranks.shuffled_places(df, ["label"], ["k"], 1, range_rows=40)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in text and "Sort" not in text and "Union" not in text
