@@ -240,3 +240,22 @@ def test_halving_finds_the_winner_of_the_whole_search(separable):
     assert learners.score(copies, model, "").count() == 2000
     with pytest.raises(ValueError, match="parameter set"):
         learners.halving(copies, FEATURES, "random_forest", [], "label", ["k"])
+
+
+def test_importance_by_expression_equals_scored_copies(spark, separable):
+    """The compiled forest gives the areas of the scored copies, without a vector per copy; a feature without a cut loses nothing."""
+    df = separable.withColumn("flat", F.lit(1.0))
+    columns = [*FEATURES, "flat"]
+    for estimator in (learners.random_forest(depth=3, trees=8), learners.decision_tree(2)):
+        model = learners.train(df, columns, estimator)
+        formula, cut = learners._forest_score(model, lambda f: columns[f])
+        assert columns.index("flat") not in cut
+        scored = learners.score(df, model, "").withColumn("p", F.expr(formula))
+        assert scored.where("p <> y_test_prob").count() == 0
+        copies = learners.score(learners.shuffled_one_by_one(df, columns, ["k"], 1), model, "")
+        want = {r.feature: r.auc for r in evaluate.area_under_curve(copies, "label", "y_test_prob", ["feature"]).collect()}
+        got = {r.feature: (r.auc, r["drop"]) for r in learners.permutation_importance(df, model, columns, ["k"], "label").collect()}
+        assert {f: a for f, (a, _) in got.items()} == pytest.approx(want, abs=1e-12) and got["flat"][1] == 0
+        assert learners.permutation_importance(df.limit(0), model, columns, ["k"], "label").count() == 0
+    other = learners.train(df, columns, learners.linear_regression())
+    assert learners._forest_score(other, str) is None
