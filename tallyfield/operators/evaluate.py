@@ -109,20 +109,21 @@ def scan_thresholds(n_steps: int) -> list[float]:
 
 
 def thresholds_passed(score: Operand, thresholds: Sequence[float]) -> Column:
-    """How many of the sorted thresholds are at or below the score (NaN passes none)."""
+    """How many of the sorted thresholds are at or below the score (NaN and NULL pass none)."""
     s = col(score).cast("double")
-    return F.when(F.isnan(s), F.lit(0)).otherwise(Edges(tuple(thresholds)).index(s))
+    return F.when(s.isNull() | F.isnan(s), F.lit(0)).otherwise(Edges(tuple(thresholds)).index(s))
 
 
-def signal_efficiency(signal: DataFrame, score: str, thresholds: Sequence[float]) -> DataFrame:
+def signal_efficiency(signal: DataFrame, score: str, thresholds: Sequence[float], keep_empty: bool = True) -> DataFrame:
     """(step, threshold, eff, eff_err) with ``score >= threshold``.
 
     Rows are counted per number of thresholds passed; the efficiency at a step is a
-    running sum over those counters.
+    running sum over those counters.  Without any signal row it is 0, or with ``keep_empty`` off there are no steps.
     """
     n = len(thresholds)
     counts = signal.groupBy(thresholds_passed(score, thresholds).alias("k")).agg(F.count("*").alias("c"))
     table = counts.agg(F.map_from_entries(F.collect_list(F.struct("k", "c"))).alias("m"), F.coalesce(F.sum("c"), F.lit(0)).alias("total"))
+    table = table if keep_empty else table.where("total > 0")
     steps = table.select("m", "total", F.posexplode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("step", "threshold"))
     steps = steps.withColumn("num", F.aggregate(F.sequence(F.col("step") + 1, F.lit(n)), F.lit(0).cast("long"), lambda a, k: a + F.coalesce(F.try_element_at("m", k), F.lit(0))))
     eff, err = efficiency("num", "total")
@@ -131,26 +132,28 @@ def signal_efficiency(signal: DataFrame, score: str, thresholds: Sequence[float]
 
 def background_scan(
     data: DataFrame, score: str, mass: str, thresholds: Sequence[float], axis: Uniform, lo: float, hi: float, order: int = 1, min_entries: int = 5,
-    flow: bool = False,
+    flow: bool = False, quotients: bool = False,
 ) -> DataFrame:
     """(step, threshold, bkg, bkg_err): polynomial through the side bands above each threshold, integrated over [lo, hi].
 
     One scan fills (thresholds passed, mass bin) counters; only these are spread over
-    the thresholds.  A threshold with at most ``min_entries`` rows gets 0.  With ``flow`` the rows beyond
-    both ends count as one more bin at each.
+    the thresholds.  A threshold with at most ``min_entries`` rows gets 0, and so does one without a solution (all rows
+    in one bin); with ``quotients`` the latter gets what the division of the determinants gives, NaN mostly.  With ``flow``
+    the rows beyond both ends count as one more bin at each.
     """
     n = len(thresholds)
     h = fill(data.withColumn("k", thresholds_passed(score, thresholds)).where("k > 0"), [(mass, axis)], ["k"], flow=flow)
     per = project(h.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("k") - 1))), ["step", "ix"])
     centre, half = (axis.lo + axis.hi) / 2, (axis.hi - axis.lo) / 2
-    fit = polynomial_fit(per.withColumn("x", axis.centre("ix")), ["step"], order, "x", "content", F.try_divide(F.lit(1.0), F.col("sumw2")), centre, half)
+    fit = polynomial_fit(per.withColumn("x", axis.centre("ix")), ["step"], order, "x", "content", F.try_divide(F.lit(1.0), F.col("sumw2")), centre, half, quotients=quotients)
     total = per.groupBy("step").agg(F.sum("content").alias("n_side"))
     bkg = curve_integral(F.lit(lo), F.lit(hi), [f"c{i}" for i in range(order + 1)], axis) / axis.width
     enough = (F.col("n_side") > min_entries) & bkg.isNotNull()
     found = fit.join(total, "step").select(
         "step", F.when(enough, bkg).otherwise(0.0).alias("bkg"), F.when(enough, F.abs(bkg) / F.sqrt("n_side")).otherwise(0.0).alias("bkg_err"))
     steps = data.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("step", "threshold"))
-    return steps.join(found, "step", "left").fillna(0.0, subset=["bkg", "bkg_err"])
+    # fillna would turn NaN into 0 as well
+    return steps.join(found, "step", "left").withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("bkg", "bkg_err")})
 
 
 def expected_signal(

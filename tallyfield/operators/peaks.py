@@ -49,15 +49,18 @@ def determinant(m: Sequence[Sequence[str]]) -> str:
     return "(" + " ".join(terms).lstrip("+ ") + ")"
 
 
-def solve(sums: Sequence[str], rhs: Sequence[str]) -> list[Column]:
-    """Least-squares coefficients from the columns of power sums S_0..S_2k and right-hand sides T_0..T_k; null if singular."""
+def solve(sums: Sequence[str], rhs: Sequence[str], quotients: bool = False) -> list[Column]:
+    """Least-squares coefficients from the columns of power sums S_0..S_2k and right-hand sides T_0..T_k; null if singular.
+
+    With ``quotients`` a singular system gives NaN or infinity, as a division of doubles does in SQL.
+    """
     k = len(rhs)
     m = [[sums[i + j] for j in range(k)] for i in range(k)]
     det = determinant(m)
-    return [
-        F.expr(f"try_divide({determinant([[rhs[r] if c == p else m[r][c] for c in range(k)] for r in range(k)])}, {det})")
-        for p in range(k)
-    ]
+    tops = [determinant([[rhs[r] if c == p else m[r][c] for c in range(k)] for r in range(k)]) for p in range(k)]
+    if quotients:
+        return [F.expr(f"CASE WHEN {det} = 0 THEN {top} * double('Infinity') ELSE {top} / {det} END") for top in tops]
+    return [F.expr(f"try_divide({top}, {det})") for top in tops]
 
 
 def polynomial_fit(
@@ -70,14 +73,16 @@ def polynomial_fit(
     centre: float,
     half_width: float,
     keep: Column | None = None,
+    quotients: bool = False,
 ) -> DataFrame:
     """Weighted polynomial through the points: (by..., c0..ck, n_points) in t = (x - centre) / half_width.
 
     Scaling x keeps the power sums well conditioned.  Null coefficients when
-    there are no more points than the order, or the system is singular.
+    there are no more points than the order, or the system is singular; with ``quotients``
+    what the division of the determinants gives there.
     """
     sums = _power_sums(points, by, order, x, y, weight, centre, half_width, keep)
-    return sums.select(*by, *[c.alias(f"c{i}") for i, c in enumerate(_coefficients(order))], "n_points")
+    return sums.select(*by, *[c.alias(f"c{i}") for i, c in enumerate(_coefficients(order, quotients))], "n_points")
 
 
 def _power_sums(points, by, order, x, y, weight, centre, half_width, keep) -> DataFrame:
@@ -96,10 +101,10 @@ def _power_sums(points, by, order, x, y, weight, centre, half_width, keep) -> Da
     )
 
 
-def _coefficients(order: int) -> list[Column]:
+def _coefficients(order: int, quotients: bool = False) -> list[Column]:
     """Solution for one order; power sums of a higher order contain those of the lower ones."""
-    coeff = solve([f"__s{i}" for i in range(2 * order + 1)], [f"__t{i}" for i in range(order + 1)])
-    return [F.when(F.col("n_points") > order, c) for c in coeff]
+    coeff = solve([f"__s{i}" for i in range(2 * order + 1)], [f"__t{i}" for i in range(order + 1)], quotients)
+    return coeff if quotients else [F.when(F.col("n_points") > order, c) for c in coeff]
 
 
 def sideband_fit(hist: DataFrame, by: Sequence[str], axis: Uniform, order: int, lo: Operand, hi: Operand) -> DataFrame:

@@ -4,6 +4,7 @@ import os
 import sys
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
@@ -55,6 +56,41 @@ def test_significance_with_prices_beyond_the_axis(spark, tmp_path):
     agree(spark, tmp_path, "K30_significance_scan", lineitem=rows, part=part)
 
 
+def scanned(spark, tmp_path, rows):
+    """K27 to K31 share the scan over thresholds; all of them against their SQL."""
+    part = spark.range(50).select(F.col("id").alias("p_partkey"), F.col("id").cast("int").alias("p_size"), (F.col("id") * 1.5e6).cast("double").alias("p_retailprice"))
+    keys = ("K27_signal_efficiency", "K28_background_scan", "K29_expected_signal", "K30_significance_scan", "K31_acceptance")
+    return {key: agree(spark, tmp_path / key, key, lineitem=rows, part=part) for key in keys}
+
+
+def returned(spark, n=3000):
+    return priced(spark, n, 7).withColumn("l_returnflag", F.substring(F.lit("ANR"), (F.col("l_orderkey") % 3 + 1).cast("int"), F.lit(1)))
+
+
+@pytest.mark.parametrize("price, nan", [(6105.0, True), (20_000.0, False)])
+def test_thresholds_with_copies_of_one_row(spark, tmp_path, price, nan):
+    """Six copies of a row pass the last thresholds: no line goes through their one bin; the SQL says NaN, or rounds to a level one."""
+    lone = returned(spark, 1).withColumns({"l_quantity": F.lit(54.0), "l_linenumber": F.lit(7), "l_extendedprice": F.lit(price), "l_returnflag": F.explode(F.split(F.lit("A,R"), ","))})
+    rows = returned(spark).unionByName(lone.crossJoin(spark.range(6)).drop("id"))
+    out = scanned(spark, tmp_path, rows)
+    assert all(any("nan" in r for r in out[key]) == nan for key in ("K28_background_scan", "K30_significance_scan"))
+
+
+def test_thresholds_when_all_prices_share_a_bin(spark, tmp_path):
+    scanned(spark, tmp_path, returned(spark).withColumn("l_extendedprice", F.lit(2000.0)))
+
+
+def test_thresholds_of_missing_scores(spark, tmp_path):
+    """NULL passes no threshold, NaN lies above all of them; both count among all."""
+    odd = F.when(F.col("l_orderkey") % 40 == 0, None).when(F.col("l_orderkey") % 41 == 0, float("nan")).otherwise(F.col("l_quantity"))
+    scanned(spark, tmp_path, returned(spark).withColumn("l_quantity", odd))
+
+
+def test_thresholds_without_a_signal_row_or_an_accepted_one(spark, tmp_path):
+    for flag in "RA":
+        scanned(spark, tmp_path / flag, returned(spark, 300).where(F.col("l_returnflag") != flag))
+
+
 def test_first_component_is_the_rising_diagonal(spark, tmp_path):
     rows = priced(spark, 3000).withColumn("l_extendedprice", 50_000.0 - 3 * F.col("l_quantity") + F.col("l_extendedprice") / 1000)
     assert rows.corr("l_quantity", "l_extendedprice") < 0
