@@ -186,9 +186,11 @@ def search(blocks: DataFrame, queries: DataFrame, same: bool, k: int = K) -> Dat
         }),
         "batch long, anchor binary, label binary, tag binary, low binary, high binary, sizes binary, wanted binary",
     )
-    # a stated set of queries against all rows: every batch travels once to every slot of blocks
+    # a stated set of queries against all rows: every batch travels once to every slot of blocks, by a shuffle, as the optimizer
+    # would broadcast all copies by the size of one; the blocks of a slot are few and stand on the right, which the join holds
     packed = packed.withColumnRenamed("label", "own").withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    pairs = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int")).join(packed, "slot").drop("slot", "block", "batch")
+    placed = blocks.withColumn("slot", F.pmod(F.xxhash64("block"), F.lit(slots)).cast("int"))
+    pairs = packed.hint("merge").join(placed, "slot").drop("slot", "block", "batch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +230,7 @@ def hard_negatives(rows: DataFrame, id_col: str = "vec_id", vector: str = "embed
     positives = stored(search(blocks, all_scores, True, k).select("anchor", F.col("vec_id").alias("tag"), F.col("score").alias("high")), "positives")
     # least_percent * positive <= 100 * negative <= 100 * positive, in whole numbers
     low = F.ceil(F.col("high").cast("decimal(38,0)") * least_percent / 100).cast("long")
-    windows = anchors.join(positives.withColumn("low", low).where("low <= high"), "anchor")
+    windows = anchors.hint("merge").join(positives.withColumn("low", low).where("low <= high"), "anchor")
     found = search(blocks, windows.select("anchor", "label", "q", "tag", "low", "high"), False, k)
     return found.select(
         F.col("anchor").alias("anchor_id"), F.col("tag").alias("positive_id"), F.col("place").cast("int").alias("rank"), F.col("vec_id").alias("negative_id"),

@@ -58,6 +58,19 @@ def test_hard_negatives_equal_brute_force(spark, monkeypatch, seed, wide, block)
     assert found == brute_negatives(single) and len(found) > 20
 
 
+def test_hard_negatives_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "BLOCK", 17)
+    monkeypatch.setattr(negatives, "ANCHORS", 4)
+    r = random.Random(5)
+    rows = [(i, [float(np.float32(r.uniform(-1, 1))) for _ in range(16)], r.randint(0, 3)) for i in range(2500)]
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1k")  # any broadcast is larger
+    try:
+        found = mined(spark, rows)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    assert found == brute_negatives(rows) and len(found) > 20
+
+
 def test_hard_negatives_of_nothing(spark):
     assert mined(spark, []) == [] and mined(spark, [(0, [1.0], 1)]) == []
     with pytest.raises(Exception, match="63 bits"):
