@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 BLOCK = 8192  # rows of a block at most
+FILE_BLOCKS = 4  # of a file at most: a task holds the blocks of a file at once
 ANCHORS = 512  # anchors of a batch, about
 K = 5
 PACKED_BYTES = 32 << 20  # of packed blocks and batches in one Arrow batch
@@ -223,7 +224,7 @@ def search(blocks: DataFrame, queries: DataFrame, same: bool, k: int = K) -> Dat
 
 def hard_negatives(rows: DataFrame, id_col: str = "vec_id", vector: str = "embedding", label: str = "label", k: int = K, least_percent: int = 80) -> DataFrame:
     """anchor_id, positive_id, rank, negative_id, positive_score, negative_score of every anchor and positive."""
-    blocks = stored(sorted_lists(whole_vectors(rows, id_col, vector, label)), "sorted-lists")
+    blocks = stored(sorted_lists(whole_vectors(rows, id_col, vector, label)), "sorted-lists", maxRecordsPerFile=FILE_BLOCKS)
     anchors = stored(anchors_of(blocks), "anchors")
     limit = (1 << 63) - 1
     all_scores = anchors.select("*", F.lit(0).cast("long").alias("tag"), F.lit(-limit).alias("low"), F.lit(limit).alias("high"))

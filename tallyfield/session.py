@@ -105,7 +105,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, label: str = "table") -> DataFrame:
+def stored(df: DataFrame, label: str = "table", **options) -> DataFrame:
     """Write a (small) intermediate table to the shared folder and read it back.
 
     Histograms filled from the event tables are used several times by the algebra;
@@ -113,7 +113,7 @@ def stored(df: DataFrame, label: str = "table") -> DataFrame:
     and the optimizer knows the true size when it picks join strategies.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -71,6 +71,16 @@ def test_hard_negatives_are_not_broadcast(spark, monkeypatch):
     assert found == brute_negatives(rows) and len(found) > 20
 
 
+def test_hard_negatives_keep_few_blocks_in_a_file(spark, monkeypatch):
+    monkeypatch.setattr(negatives, "BLOCK", 17)
+    kept, stored = {}, negatives.stored
+    monkeypatch.setattr(negatives, "stored", lambda df, label, **options: kept.setdefault(label, stored(df, label, **options)))
+    rows = [r for r in vectors(6, 520, 4, 50) if r[0] is not None]
+    assert mined(spark, rows)
+    files = kept["sorted-lists"].groupBy(F.input_file_name()).agg(F.count("*").alias("blocks")).collect()
+    assert sum(f.blocks for f in files) >= 30 and max(f.blocks for f in files) <= 4
+
+
 def test_hard_negatives_of_nothing(spark):
     assert mined(spark, []) == [] and mined(spark, [(0, [1.0], 1)]) == []
     with pytest.raises(Exception, match="63 bits"):
